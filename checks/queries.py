@@ -467,7 +467,13 @@ def _csv_sources(spark, sf, scratch, tables) -> dict[str, str]:
     paths = {}
     for table in tables:
         paths[table] = scratch.path(f"csv/{table}")
-        raw(spark, sf, table).write.option("header", True).csv(paths[table])
+        (
+            raw(spark, sf, table)
+            .write.option("header", True)
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+            .csv(paths[table])
+        )
     return paths
 
 

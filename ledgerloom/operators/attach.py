@@ -21,15 +21,21 @@ def broadcast_if_bounded(stats: DataFrame, by: Sequence[str]) -> DataFrame:
     return F.broadcast(stats) if dated else stats
 
 
-def attach(df: DataFrame, stats: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Left join one row of ``stats`` per group; keeps every row of ``df``.
-
-    A NULL group key is a group of its own, as in ``groupBy``.
+def attach(
+    df: DataFrame,
+    stats: DataFrame,
+    by: Sequence[str],
+    *,
+    within: Sequence[str] = (),
+    how: str = "left",
+) -> DataFrame:
+    """Join one row of ``stats`` per group; by default keeps every row of ``df``.
+
+    ``within`` names further key columns that take a fixed few values in each
+    group (a series number, a column name), so that ``stats`` is bounded
+    whenever ``by`` is.  A NULL key is a group of its own, as in ``groupBy``.
     """
-    right = broadcast_if_bounded(stats, by)
-    for key in by:
-        right = right.withColumnRenamed(key, f"__{key}")
-    same = reduce(
-        lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"__{key}")) for key in by]
-    )
-    return df.join(right, same, "left").drop(*[f"__{key}" for key in by])
+    keys = [*by, *within]
+    right = broadcast_if_bounded(stats, by).withColumnsRenamed({k: f"__{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    return df.join(right, same, how).drop(*[f"__{k}" for k in keys])

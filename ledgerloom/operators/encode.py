@@ -94,7 +94,7 @@ def rank_levels_by_sort(counts: DataFrame, by: Sequence[str], scratch: Scratch)
         "position", F.col("start") + F.col("offset")
     )
     firsts = placed.groupBy(*by, "column").agg(F.min("position").alias("first"))
-    return attach(placed, firsts, [*by, "column"]).select(
+    return attach(placed, firsts, by, within=["column"]).select(
         *by, "column", "value", "count", (F.col("position") - F.col("first")).cast("int").alias("level")
     )
 

@@ -1,6 +1,7 @@
-"""Grouped quantiles: an element of the data, NULLs and NaNs ignored.
+"""Grouped quantiles of numeric columns.
 
-``q`` selects the smallest value whose cumulative share is at least ``q``
+A quantile is an element of the data; NULLs and NaNs are ignored.  ``q``
+selects the smallest value whose cumulative share is at least ``q``
 (``percentile_disc``).  Three ways, chosen per column:
 
 * *sketch* - ``accuracy`` given: ``percentile_approx``, rank error 1/accuracy.
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ledgerloom.operators.attach import attach, broadcast_if_bounded
+from ledgerloom.operators.attach import attach
 
 _SKETCH = 10_000  # accuracy of the bracketing sketch
 _MARGIN = 4 / _SKETCH  # bracket half-width in ranks, well above the sketch's error
@@ -84,13 +85,17 @@ def _select_exact(df: DataFrame, series: list[tuple[str, float]], by: Sequence[s
     by = list(by)
     slim = df.select(*by, *[_proper(df, name).alias(name) for name in dict.fromkeys(n for n, _ in series)])
 
-    # 1. Per group: the wanted rank and two values that enclose it.
+    # 1. Per group: the wanted rank and two values that enclose it.  Sketches
+    #    hold doubles, so whatever is compared with one is cast first; the
+    #    order of the values survives the cast, and the result is not cast.
     brackets = slim.groupBy(*by).agg(
         *[
             F.struct(
                 F.greatest(F.ceil(F.count(name) * F.lit(q)), F.lit(1)).cast("long").alias("rank"),
                 F.percentile_approx(
-                    name, [max(q - _MARGIN, 0.0), min(q + _MARGIN, 1.0)], _SKETCH
+                    F.col(name).cast("double"),
+                    [max(q - _MARGIN, 0.0), min(q + _MARGIN, 1.0)],
+                    _SKETCH,
                 ).alias("ends"),
             ).alias(f"b{i}")
             for i, (name, q) in enumerate(series)
@@ -118,28 +123,36 @@ def _select_exact(df: DataFrame, series: list[tuple[str, float]], by: Sequence[s
         .select(*by, "e.*")
         # "rank" is never NULL; saying so keeps the filter, and with it the
         # shuffle, the same for all three readers of this table.
-        .where((F.col("raw") <= F.col("hi")) & F.col("rank").isNotNull())
-        .select(*by, "series", "rank", F.when(F.col("raw") >= F.col("lo"), F.col("raw")).alias("value"))
+        .where((F.col("raw").cast("double") <= F.col("hi")) & F.col("rank").isNotNull())
+        .select(
+            *by,
+            "series",
+            "rank",
+            F.when(F.col("raw").cast("double") >= F.col("lo"), F.col("raw")).alias("value"),
+        )
         .groupBy(*by, "series", "rank", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
     # 3. Cut the bracket's distinct values into cells; "below" is cell -1.
-    keys = [*by, "series", "rank"]
+    within = ["series", "rank"]
+    keys = [*by, *within]
     cuts = (
         counts.groupBy(*keys)
         .agg(
-            F.percentile_approx("value", [i / _CELLS for i in range(1, _CELLS)], _SKETCH).alias("cuts"),
+            F.percentile_approx(
+                F.col("value").cast("double"), [i / _CELLS for i in range(1, _CELLS)], _SKETCH
+            ).alias("cuts"),
             F.sum("n").alias("reach"),
         )
         .select(*keys, _or_fail(F.col("reach") < F.col("rank"), F.col("cuts")).alias("cuts"))
     )
-    celled = attach_series(counts, cuts, keys, by).select(
+    celled = attach(counts, cuts, by, within=within, how="inner").select(
         *keys,
         "value",
         "n",
         F.when(F.col("value").isNull(), F.lit(-1))
-        .otherwise(F.size(F.filter("cuts", lambda cut: cut < F.col("value"))))
+        .otherwise(F.size(F.filter("cuts", lambda cut: cut < F.col("value").cast("double"))))
         .alias("cell"),
     )
 
@@ -155,7 +168,7 @@ def _select_exact(df: DataFrame, series: list[tuple[str, float]], by: Sequence[s
 
     # 5. Walk that cell's values up to the rank.
     found = (
-        attach_series(celled, chosen, keys, by)
+        attach(celled, chosen, by, within=within, how="inner")
         .where(F.col("cell") == F.col("hit"))
         .withColumn("upto", F.col("before") + F.sum("n").over(along.orderBy("value")))
         .where(_holds_rank())
@@ -176,15 +189,3 @@ def _holds_rank():
 def _or_fail(missed, value):
     """``value``, or an error where the bracket missed the rank."""
     return F.when(missed, F.raise_error(F.lit("quantile sketch missed the rank"))).otherwise(value)
-
-
-def attach_series(df: DataFrame, small: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """Inner-style join on group and series; bounded whenever the group is."""
-    bounded = broadcast_if_bounded(small, by)
-    right = bounded
-    for key in keys:
-        right = right.withColumnRenamed(key, f"__{key}")
-    same = reduce(
-        lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"__{key}")) for key in keys]
-    )
-    return df.join(right, same).drop(*[f"__{key}" for key in keys])

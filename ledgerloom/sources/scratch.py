@@ -43,8 +43,7 @@ class Scratch:
 
     def discard(self) -> None:
         """Delete the folder; call only once nothing reads from it any more."""
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.root)
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         folder.getFileSystem(conf).delete(folder, True)
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,10 +53,39 @@ def write_snapshots(
     into several evenly sized tasks.  ``clustered=True`` skips that shuffle for
     input that was read from, and still is in, snapshot order.
 
-    Dynamic overwrite leaves directories alone that receive no row, so a
-    snapshot of ``dates`` without rows is emptied explicitly.
+    Dynamic overwrite leaves directories alone that receive no row, so an
+    earlier snapshot of ``dates`` that now has no rows is removed explicitly.
+    Which dates did receive rows is observed during the write itself.
     """
     spark = df.sparkSession
+    if dates is None:
+        _write(df, path, snapshot, clustered)
+        return
+    seen = Observation()
+    # At most one entry per snapshot directory.
+    _write(df.observe(seen, F.collect_set(snapshot).alias("days")), path, snapshot, clustered)
+    stored = snapshot_directories(spark, path, snapshot)
+    stale = (stored.keys() & {as_date(d) for d in dates}) - _observed_days(seen, df, stored)
+    for day in stale:
+        hadoop_path, files = _hadoop(spark, stored[day])
+        files.delete(hadoop_path, True)
+    if dates and stored.keys() == stale:
+        # Nothing is stored at all: one empty file keeps the schema readable.
+        body = T.StructType([f for f in df.schema if f.name != snapshot])
+        empty = f"{path}/{snapshot}={min(as_date(d) for d in dates).isoformat()}"
+        spark.createDataFrame([], body).write.mode("overwrite").parquet(empty)
+
+
+def _observed_days(seen: Observation, df: DataFrame, stored: Collection[dt.date]) -> set[dt.date]:
+    try:
+        return set(seen.get["days"])
+    except Py4JJavaError:
+        # A plan that the optimizer proves empty loses its metrics.  If that is
+        # not the reason, count every stored snapshot as written.
+        return set() if df.isEmpty() else set(stored)
+
+
+def _write(df: DataFrame, path: str, snapshot: str, clustered: bool) -> None:
     out = df if clustered else df.hint("rebalance", F.col(snapshot))
     (
         out.write.mode("overwrite")
@@ -63,18 +93,29 @@ def write_snapshots(
         .option("partitionOverwriteMode", "dynamic")
         .parquet(path)
     )
-    if dates is None:
-        return
-    # At most one row per requested snapshot reaches the driver.
-    written = read_snapshots(spark, path, df.schema, dates=dates, snapshot=snapshot)
-    kept = {row[0] for row in written.select(snapshot).distinct().collect()}
-    body = T.StructType([f for f in df.schema if f.name != snapshot])
-    for day in sorted({as_date(d) for d in dates} - kept):
-        (
-            spark.createDataFrame([], body)
-            .write.mode("overwrite")
-            .parquet(f"{path}/{snapshot}={day.isoformat()}")
-        )
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """A path and its file system, for directory listings and removals."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def snapshot_directories(
+    spark: SparkSession, path: str, snapshot: str = SNAPSHOT
+) -> dict[dt.date, str]:
+    """The stored snapshots and their directories; lists one level, reads no data."""
+    hadoop_path, files = _hadoop(spark, path)
+    if not files.exists(hadoop_path):
+        return {}
+    prefix = f"{snapshot}="
+    found = {}
+    for status in files.listStatus(hadoop_path):
+        name = status.getPath().getName()
+        value = name.removeprefix(prefix)
+        if name != value and value != "__HIVE_DEFAULT_PARTITION__":
+            found[as_date(value)] = status.getPath().toString()
+    return found
 
 
 def read_snapshots(
