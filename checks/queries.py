@@ -445,7 +445,7 @@ def flat(features: DataFrame) -> DataFrame:
             for i, c in enumerate(schemas.NUMERIC_FEATURES)
         ],
         *[F.col(f"{c}_ohe.size").alias(f"{c}_size") for c in schemas.CATEGORIES],
-        *[F.get(f"{c}_ohe.indices", F.lit(0)).alias(f"{c}_slot") for c in schemas.CATEGORIES],
+        *[F.col(f"{c}_ohe.slot").alias(f"{c}_slot") for c in schemas.CATEGORIES],
     )
 
 

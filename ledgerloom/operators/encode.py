@@ -126,33 +126,72 @@ def index_columns(df: DataFrame, levels: Levels, **limits) -> DataFrame:
     NULL and values outside the vocabulary get the extra last index, which is
     the number of levels.
     """
-    return _indexed(df, levels, **limits).drop(*[f"__{c}_size" for c in levels.columns])
+    indexes = [
+        F.coalesce(f"__{c}_slot", f"__{c}_size").alias(f"{c}_index") for c in levels.columns
+    ]
+    return _looked_up(df, levels, **limits).select(*df.columns, *indexes)
+
+
+def one_hot_columns(
+    df: DataFrame, levels: Levels, *, alongside: DataFrame | None = None, **limits
+) -> DataFrame:
+    """Replace each categorical column by its one-hot vector ``<column>_ohe``.
+
+    A vector is stored as ``{size, slot}``: its length and the position of the
+    one, NULL for the all-zero vector of NULL and unseen values.  Its width in
+    storage does not grow with the vocabulary; :func:`dense` spells it out.
+
+    ``alongside`` are further statistics, a row for every group, whose columns
+    are added by the same join.
+    """
+    kept = [c for c in df.columns if c not in levels.columns]
+    vectors = [
+        F.struct(F.col(f"__{c}_size").alias("size"), F.col(f"__{c}_slot").alias("slot")).alias(
+            f"{c}_ohe"
+        )
+        for c in levels.columns
+    ]
+    added = [] if alongside is None else [c for c in alongside.columns if c not in levels.by]
+    looked_up = _looked_up(df, levels, alongside=alongside, **limits)
+    return looked_up.select(*kept, *vectors, *added)
+
+
+def dense(vector: Column) -> Column:
+    """A one-hot vector as ``array<double>``."""
+    zeros = F.array_repeat(F.lit(0.0), vector["size"])
+    return F.when(vector["slot"].isNull(), zeros).otherwise(
+        F.transform(zeros, lambda zero, i: F.when(i == vector["slot"], F.lit(1.0)).otherwise(zero))
+    )
 
 
-def _indexed(
+def _looked_up(
     df: DataFrame,
     levels: Levels,
     *,
+    alongside: DataFrame | None = None,
     mapped_levels: int = MAPPED_LEVELS,
     broadcast_levels: int = BROADCAST_LEVELS,
 ) -> DataFrame:
-    """``df`` with ``<column>_index`` and ``__<column>_size`` for every column."""
-    size = {c: F.coalesce(F.col(f"__{c}_size"), F.lit(0)) for c in levels.columns}
+    """``df`` with ``__<column>_size`` and ``__<column>_slot`` (or NULL)."""
     if levels.widest <= mapped_levels:
-        return _look_up_maps(df, levels)
+        return _look_up_maps(df, levels, alongside)
+    if alongside is not None:
+        df = attach(df, alongside, levels.by)
     sizes = levels.table.groupBy(*levels.by).agg(
-        *[F.count_if(F.col("column") == c).cast("int").alias(f"__{c}_size") for c in levels.columns]
+        *[F.count_if(F.col("column") == c).cast("int").alias(f"__{c}_n") for c in levels.columns]
     )
     small = levels.rows <= broadcast_levels
     if not small:
         # Salts must survive a repeated task: take them from a written row id.
         df = levels.scratch.stage(df.withColumn("__row", F.monotonically_increasing_id()), "rows")
-    out = attach(df, sizes, levels.by).withColumns({f"__{c}_size": size[c] for c in levels.columns})
+    out = attach(df, sizes, levels.by).withColumns(
+        {f"__{c}_size": F.coalesce(f"__{c}_n", F.lit(0)) for c in levels.columns}
+    )
     for c in levels.columns:
         one = levels.table.where(F.col("column") == c).select(
             *[F.col(k).alias(f"__{k}") for k in levels.by],
             F.col("value").alias("__value"),
-            F.col("level").alias("__level"),
+            F.col("level").alias(f"__{c}_slot"),
         )
         if small:
             out = out.join(F.broadcast(one), _same_level(levels.by, F.col(c)), "left").drop(
@@ -160,26 +199,26 @@ def _indexed(
             )
         else:
             out = _look_up_large(out, one, c, levels.by, broadcast_levels // len(levels.columns))
-        out = out.withColumn(f"{c}_index", F.coalesce("__level", f"__{c}_size")).drop("__level")
-    return out.drop("__row")
+    return out
 
 
-def _look_up_maps(df: DataFrame, levels: Levels) -> DataFrame:
+def _look_up_maps(df: DataFrame, levels: Levels, alongside: DataFrame | None) -> DataFrame:
     """One join for all columns: each group's row holds a value map per column."""
-    maps = levels.table.groupBy(*levels.by).agg(
-        *[
-            F.map_from_entries(
-                F.collect_list(F.when(F.col("column") == c, F.struct("value", "level")))
-            ).alias(f"__{c}_map")
-            for c in levels.columns
-        ]
+    entries = {
+        c: F.collect_list(F.when(F.col("column") == c, F.struct("value", "level")))
+        for c in levels.columns
+    }
+    fitted = levels.table.groupBy(*levels.by).agg(
+        *[F.map_from_entries(e).alias(f"__{c}_map") for c, e in entries.items()],
+        *[F.size(e).alias(f"__{c}_n") for c, e in entries.items()],
     )
+    if alongside is not None:
+        fitted = attach(alongside, fitted, levels.by)
     found = {}
     for c in levels.columns:
-        size = F.coalesce(F.size(f"__{c}_map"), F.lit(0))
-        found[f"__{c}_size"] = size
-        found[f"{c}_index"] = F.coalesce(F.try_element_at(f"__{c}_map", F.col(c).cast("string")), size)
-    return attach(df, maps, levels.by).withColumns(found).drop(*[f"__{c}_map" for c in levels.columns])
+        found[f"__{c}_size"] = F.coalesce(f"__{c}_n", F.lit(0))
+        found[f"__{c}_slot"] = F.try_element_at(f"__{c}_map", F.col(c).cast("string"))
+    return attach(df, fitted, levels.by).withColumns(found)
 
 
 def _same_level(by: Sequence[str], value: Column) -> Column:
@@ -197,54 +236,21 @@ def _look_up_large(df: DataFrame, one: DataFrame, c: str, by: Sequence[str], hea
     values is frequent, goes through a shuffle.  Rows already resolved (and
     NULLs) carry no tail key and are spread evenly by their salt.
     """
-    hot = one.orderBy("__level", *[f"__{k}" for k in by]).limit(head)
-    found = df.join(F.broadcast(hot), _same_level(by, F.col(c)), "left").withColumn(
-        "__head", F.col("__level")
-    ).drop("__value", "__level", *[f"__{k}" for k in by])
+    slot = f"__{c}_slot"
+    helpers = ["__value", *[f"__{k}" for k in by]]
+    hot = one.orderBy(slot, *[f"__{k}" for k in by]).limit(head).withColumnRenamed(slot, "__head")
+    found = df.join(F.broadcast(hot), _same_level(by, F.col(c)), "left").drop(*helpers)
+    open_ = F.col("__head").isNull() & F.col(c).isNotNull()
     found = found.withColumns(
         {
-            "__tail": F.when(F.col("__head").isNull(), F.col(c).cast("string")),
-            "__salt": F.when(
-                F.col("__head").isNotNull() | F.col(c).isNull(),
-                F.pmod("__row", F.lit(_SPREAD)).cast("int"),
-            ).otherwise(F.lit(0)),
+            "__tail": F.when(open_, F.col(c).cast("string")),
+            "__salt": F.when(open_, F.lit(0)).otherwise(F.pmod("__row", F.lit(_SPREAD)).cast("int")),
         }
     )
-    right = one.withColumnRenamed("__level", "__rest")
+    tail = one.withColumnRenamed(slot, "__rest").withColumn("__zero", F.lit(0))
     same = _same_level(by, F.col("__tail")) & (F.col("__salt") == F.col("__zero"))
     return (
-        found.join(right.withColumn("__zero", F.lit(0)), same, "left")
-        .withColumn("__level", F.coalesce(F.col("__head"), F.col("__rest")))
-        .drop("__head", "__rest", "__tail", "__salt", "__zero", "__value", *[f"__{k}" for k in by])
-    )
-
-
-def one_hot(index: Column, size: Column) -> Column:
-    """Sparse one-hot vector ``{size, indices, values}``; all zero from ``size`` on.
-
-    The layout is that of an ML sparse vector, so its width in storage does not
-    grow with the vocabulary.
-    """
-    known = index < size
-    return F.struct(
-        size.alias("size"),
-        F.when(known, F.array(index)).otherwise(F.array().cast("array<int>")).alias("indices"),
-        F.when(known, F.array(F.lit(1.0))).otherwise(F.array().cast("array<double>")).alias("values"),
-    )
-
-
-def one_hot_columns(df: DataFrame, levels: Levels, **limits) -> DataFrame:
-    """Replace each categorical column by its one-hot vector ``<column>_ohe``."""
-    vectors = [
-        one_hot(F.col(f"{c}_index"), F.col(f"__{c}_size")).alias(f"{c}_ohe") for c in levels.columns
-    ]
-    kept = [c for c in df.columns if c not in levels.columns]
-    return _indexed(df, levels, **limits).select(*kept, *vectors)
-
-
-def dense(vector: Column) -> Column:
-    """A sparse one-hot vector as ``array<double>``."""
-    slots = F.when(vector["size"] > 0, F.sequence(F.lit(0), vector["size"] - 1)).otherwise(
-        F.array().cast("array<int>")
+        found.join(tail, same, "left")
+        .withColumn(slot, F.coalesce("__head", "__rest"))
+        .drop("__head", "__rest", "__tail", "__salt", "__zero", *helpers)
     )
-    return F.transform(slots, lambda i: F.array_contains(vector["indices"], i).cast("double"))

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ledgerloom.operators.attach import attach
 from ledgerloom.operators.quantiles import group_quantiles, quantile_name
 from ledgerloom.schemas import SNAPSHOT
+from ledgerloom.sources.scratch import Scratch
 
 MEDIAN, P99 = 0.5, 0.99
 
@@ -24,6 +25,7 @@ def with_imputation(
     by: Sequence[str] = (SNAPSHOT,),
     bounded: Sequence[str] = (),
     accuracy: int | None = None,
+    scratch: Scratch | None = None,
 ) -> DataFrame:
     """Both rules below from one set of statistics and one join.
 
@@ -49,7 +51,7 @@ def with_imputation(
         fill = want(source, MEDIAN).try_cast(df.schema[name].dataType)
         changed[name] = F.when(F.col(name) > want(name, q), fill).otherwise(F.col(name))
 
-    stats = group_quantiles(df, wanted, by, bounded=bounded, accuracy=accuracy)
+    stats = group_quantiles(df, wanted, by, bounded=bounded, accuracy=accuracy, scratch=scratch)
     stats = stats.select(*by, *[F.col(c).alias(f"__{c}") for c in stats.columns if c not in by])
     return attach(df, stats, by).select(
         *[changed[c].alias(c) if c in changed else F.col(c) for c in df.columns]

@@ -8,29 +8,33 @@ selects the smallest value whose cumulative share is at least ``q``
 * *bounded domain* - the caller names columns with few possible values, such
   as a percentage that was range-checked: the exact aggregate, whose state is
   one counter per possible value.
-* *otherwise* - exact without keeping a group's values in one place: a sketch
-  brackets the wanted rank, one pass counts the rows below the bracket and
-  the distinct values inside it, a second sketch cuts those values into cells,
-  and only the cell that holds the rank is sorted.  With the default sketch
-  size that cell has about one millionth of the group's rows.
+* *otherwise* - exact without keeping a group's values in one place: a first
+  pass encloses the wanted rank between two values of a sketch, a second one
+  counts the rows below them and each distinct value between them.  That
+  table, under a thousandth of the rows, is stored and measured.  Small, its
+  values are summed up in order; large, a second sketch cuts them into cells
+  and only the cell that holds the rank is summed up.
+
+The first two are lazy; the last runs its two passes when called.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 from itertools import groupby
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ledgerloom.operators.attach import attach
+from ledgerloom.sources.scratch import Scratch
 
-_SKETCH = 10_000  # accuracy of the bracketing sketch
+SUMMED_IN_PLACE = 1_000_000  # counted values, all groups together
+_SKETCH = 10_000  # accuracy of the sketches
 _MARGIN = 4 / _SKETCH  # bracket half-width in ranks, well above the sketch's error
-_CELLS = 256  # cells the bracket is cut into
+_CELLS = 256
 
 
 def quantile_name(column: str, q: float) -> str:
@@ -44,67 +48,88 @@ def group_quantiles(
     *,
     bounded: Sequence[str] = (),
     accuracy: int | None = None,
+    scratch: Scratch | None = None,
+    summed_in_place: int = SUMMED_IN_PLACE,
 ) -> DataFrame:
-    """One row per group with a column ``<name>_p<percent>`` per quantile.
+    """One row per group with a column ``<name>_p<percent>`` per quantile."""
+    by = list(by)
+    series = [(name, q) for name, qs in wanted.items() for q in qs]
+    slim = df.select(*by, *[_proper(df, name).alias(name) for name in wanted])
+    selected = [] if accuracy else [s for s in series if s[0] not in bounded]
+    direct = [
+        _direct(name, q, accuracy).cast(df.schema[name].dataType).alias(quantile_name(name, q))
+        for name, q in series
+        if (name, q) not in selected
+    ]
+    if not selected:
+        return slim.groupBy(*by).agg(*direct)
+
+    scratch = scratch or Scratch(df.sparkSession)
+    first = scratch.stage(
+        slim.groupBy(*by).agg(
+            *direct, *[_bracket(name, q).alias(f"b{i}") for i, (name, q) in enumerate(selected)]
+        ),
+        "brackets",
+    )
+    # One selection per type, so that longs and decimals never become doubles.
+    numbered = sorted(
+        enumerate(selected), key=lambda s: df.schema[s[1][0]].dataType.simpleString()
+    )
+    out = first
+    for _, same_type in groupby(numbered, key=lambda s: df.schema[s[1][0]].dataType.simpleString()):
+        found = _select_exact(slim, list(same_type), first, by, scratch, summed_in_place)
+        out = attach(out, found, by)
+    values = {
+        quantile_name(name, q): _or_fail(
+            F.col(f"v{i}").isNull() & (F.col(f"b{i}.count") > 0), F.col(f"v{i}")
+        )
+        for i, (name, q) in enumerate(selected)
+    }
+    names = [quantile_name(name, q) for name, q in series]
+    return out.select(*by, *[values[n].alias(n) if n in values else n for n in names])
 
-    Groups without any value may be absent from the result.
-    """
-    direct, selected = [], []
-    for name, qs in wanted.items():
-        for q in qs:
-            if accuracy is not None:
-                agg = F.percentile_approx(_proper(df, name), q, accuracy)
-                direct.append(agg.alias(quantile_name(name, q)))
-            elif name in bounded:
-                agg = F.expr(f"percentile_disc({q!r}) WITHIN GROUP (ORDER BY `{name}`)")
-                direct.append(agg.cast(df.schema[name].dataType).alias(quantile_name(name, q)))
-            else:
-                selected.append((name, q))
-    parts = []
-    if direct:
-        parts.append(df.groupBy(*by).agg(*direct))
-    # The selection runs on values of one type, so that longs and decimals
-    # never pass through double.
-    type_of = lambda item: df.schema[item[0]].dataType.simpleString()
-    for _, same_type in groupby(sorted(selected, key=type_of), key=type_of):
-        parts.append(_select_exact(df, list(same_type), by))
-    if len(parts) > 1 and not direct:
-        # No single selection has all groups: start from the full list.
-        parts.insert(0, df.select(*by).distinct())
-    return reduce(lambda left, right: attach(left, right, by), parts)
-
-
-def _proper(df: DataFrame, name: str):
+
+def _proper(df: DataFrame, name: str) -> Column:
     """The column with NaN as NULL."""
     if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
         return F.when(~F.isnan(name), F.col(name))
     return F.col(name)
 
 
-def _select_exact(df: DataFrame, series: list[tuple[str, float]], by: Sequence[str]) -> DataFrame:
-    by = list(by)
-    slim = df.select(*by, *[_proper(df, name).alias(name) for name in dict.fromkeys(n for n, _ in series)])
+def _direct(name: str, q: float, accuracy: int | None) -> Column:
+    if accuracy:
+        return F.percentile_approx(name, q, accuracy)
+    return F.expr(f"percentile_disc({q!r}) WITHIN GROUP (ORDER BY `{name}`)")
 
-    # 1. Per group: the wanted rank and two values that enclose it.  Sketches
-    #    hold doubles, so whatever is compared with one is cast first; the
-    #    order of the values survives the cast, and the result is not cast.
-    brackets = slim.groupBy(*by).agg(
-        *[
-            F.struct(
-                F.greatest(F.ceil(F.count(name) * F.lit(q)), F.lit(1)).cast("long").alias("rank"),
-                F.percentile_approx(
-                    F.col(name).cast("double"),
-                    [max(q - _MARGIN, 0.0), min(q + _MARGIN, 1.0)],
-                    _SKETCH,
-                ).alias("ends"),
-            ).alias(f"b{i}")
-            for i, (name, q) in enumerate(series)
-        ]
+
+def _bracket(name: str, q: float) -> Column:
+    """The rank to find and two values that enclose it.
+
+    Sketches hold doubles, so whatever is compared with one is cast first: the
+    order of the values survives that, and the results are not cast.
+    """
+    count = F.count(name)
+    return F.struct(
+        count.alias("count"),
+        F.greatest(F.ceil(count * F.lit(q)), F.lit(1)).cast("long").alias("rank"),
+        F.percentile_approx(
+            F.col(name).cast("double"), [max(q - _MARGIN, 0.0), min(q + _MARGIN, 1.0)], _SKETCH
+        ).alias("ends"),
     )
 
-    # 2. Count rows below the bracket (value NULL) and each value inside it.
-    #    Map-side combine leaves one row per task for "below" and for any value
-    #    that many rows share.
+
+def _select_exact(
+    slim: DataFrame,
+    series: list[tuple[int, tuple[str, float]]],
+    brackets: DataFrame,
+    by: list[str],
+    scratch: Scratch,
+    summed_in_place: int,
+) -> DataFrame:
+    """One row per group with a column ``v<number>`` per series."""
+    # Count the rows below the bracket (value NULL) and each value inside it.
+    # Map-side combine leaves one row per task for "below" and for any value
+    # that many rows share.
     entries = F.array(
         *[
             F.struct(
@@ -114,78 +139,59 @@ def _select_exact(df: DataFrame, series: list[tuple[str, float]], by: Sequence[s
                 F.col(f"b{i}.ends")[0].alias("lo"),
                 F.col(f"b{i}.ends")[1].alias("hi"),
             )
-            for i, (name, _) in enumerate(series)
+            for i, (name, _) in series
         ]
     )
-    counts = (
-        attach(slim, brackets, by)
+    raw = F.col("raw").cast("double")
+    counts = scratch.stage(
+        attach(slim, brackets.select(*by, *[f"b{i}" for i, _ in series]), by)
         .select(*by, F.explode(entries).alias("e"))
         .select(*by, "e.*")
-        # "rank" is never NULL; saying so keeps the filter, and with it the
-        # shuffle, the same for all three readers of this table.
-        .where((F.col("raw").cast("double") <= F.col("hi")) & F.col("rank").isNotNull())
-        .select(
-            *by,
-            "series",
-            "rank",
-            F.when(F.col("raw").cast("double") >= F.col("lo"), F.col("raw")).alias("value"),
-        )
+        .where(raw <= F.col("hi"))
+        .select(*by, "series", "rank", F.when(raw >= F.col("lo"), F.col("raw")).alias("value"))
         .groupBy(*by, "series", "rank", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n")),
+        "bracket-counts",
     )
-
-    # 3. Cut the bracket's distinct values into cells; "below" is cell -1.
     within = ["series", "rank"]
-    keys = [*by, *within]
-    cuts = (
-        counts.groupBy(*keys)
-        .agg(
-            F.percentile_approx(
-                F.col("value").cast("double"), [i / _CELLS for i in range(1, _CELLS)], _SKETCH
-            ).alias("cuts"),
-            F.sum("n").alias("reach"),
-        )
-        .select(*keys, _or_fail(F.col("reach") < F.col("rank"), F.col("cuts")).alias("cuts"))
-    )
-    celled = attach(counts, cuts, by, within=within, how="inner").select(
-        *keys,
-        "value",
-        "n",
-        F.when(F.col("value").isNull(), F.lit(-1))
-        .otherwise(F.size(F.filter("cuts", lambda cut: cut < F.col("value").cast("double"))))
-        .alias("cell"),
+    along = Window.partitionBy(*by, *within).rowsBetween(Window.unboundedPreceding, 0)
+    if counts.count() <= summed_in_place:
+        ready = counts.withColumn("before", F.lit(0))
+    else:
+        ready = _cell_of_rank(counts, by, within, along)
+    found = ready.withColumn(
+        "upto", F.col("before") + F.sum("n").over(along.orderBy("value"))
+    ).where(_holds_rank())
+    return found.groupBy(*by).agg(
+        *[F.max(F.when(F.col("series") == i, F.col("value"))).alias(f"v{i}") for i, _ in series]
     )
 
-    # 4. The cell that holds the rank: at most 257 totals per group and series.
-    along = Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
+
+def _cell_of_rank(counts: DataFrame, by: list[str], within: list[str], along) -> DataFrame:
+    """The counted values of the cell that holds the rank, and the rows before it."""
+    value = F.col("value").cast("double")
+    cuts = counts.groupBy(*by, *within).agg(
+        F.percentile_approx(value, [i / _CELLS for i in range(1, _CELLS)], _SKETCH).alias("cuts")
+    )
+    celled = attach(counts, cuts, by, within=within).withColumn(
+        "cell",
+        F.when(value.isNull(), F.lit(-1)).otherwise(F.size(F.filter("cuts", lambda cut: cut < value))),
+    )
+    # At most 257 totals per group and series.
     chosen = (
-        celled.groupBy(*keys, "cell")
+        celled.groupBy(*by, *within, "cell")
         .agg(F.sum("n").alias("n"))
         .withColumn("upto", F.sum("n").over(along.orderBy("cell")))
         .where(_holds_rank())
-        .select(*keys, F.col("cell").alias("hit"), (F.col("upto") - F.col("n")).alias("before"))
-    )
-
-    # 5. Walk that cell's values up to the rank.
-    found = (
-        attach(celled, chosen, by, within=within, how="inner")
-        .where(F.col("cell") == F.col("hit"))
-        .withColumn("upto", F.col("before") + F.sum("n").over(along.orderBy("value")))
-        .where(_holds_rank())
-        .select(*by, "series", _or_fail(F.col("hit") == -1, F.col("value")).alias("value"))
-    )
-    return found.groupBy(*by).agg(
-        *[
-            F.max(F.when(F.col("series") == i, F.col("value"))).alias(quantile_name(name, q))
-            for i, (name, q) in enumerate(series)
-        ]
+        .select(*by, *within, F.col("cell").alias("hit"), (F.col("upto") - F.col("n")).alias("before"))
     )
+    return attach(celled, chosen, by, within=within, how="inner").where(F.col("cell") == F.col("hit"))
 
 
-def _holds_rank():
+def _holds_rank() -> Column:
     return (F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank"))
 
 
-def _or_fail(missed, value):
-    """``value``, or an error where the bracket missed the rank."""
+def _or_fail(missed: Column, value: Column) -> Column:
+    """``value``, or an error where a bracket missed its rank: never a wrong value."""
     return F.when(missed, F.raise_error(F.lit("quantile sketch missed the rank"))).otherwise(value)

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.functions import rules
-from ledgerloom.operators.attach import attach
 from ledgerloom.operators.encode import dense, fit_levels, one_hot_columns
 from ledgerloom.operators.joins import feature_join, hot_keys
 from ledgerloom.operators.labels import build_labels
@@ -65,7 +64,7 @@ def encode_features(joined: DataFrame, scratch: Scratch) -> DataFrame:
         *[min_max(F.col(c), F.col(f"{c}_min"), F.col(f"{c}_max")) for c in numeric]
     )
     return (
-        attach(one_hot_columns(complete, levels), limits, [SNAPSHOT])
+        one_hot_columns(complete, levels, alongside=limits)
         .withColumns({"numeric_features": assemble(numeric), "scaled_numeric_features": scaled})
         .drop(*limits.drop(SNAPSHOT).columns)
     )
@@ -88,7 +87,7 @@ def build_features(
 
 
 def as_vectors(features: DataFrame) -> DataFrame:
-    """The array-valued features as ML vectors, for estimators that want them."""
+    """One-hot codes and numeric arrays as ML vectors, for estimators that want them."""
     return features.withColumns(
         {
             **{f"{c}_ohe": array_to_vector(dense(F.col(f"{c}_ohe"))) for c in schemas.CATEGORIES},

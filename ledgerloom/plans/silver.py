@@ -15,6 +15,7 @@ from ledgerloom.operators.conform import enforce_schema, typed
 from ledgerloom.operators.impute import fill_constants, with_imputation
 from ledgerloom.operators.labels import enrich_ledger
 from ledgerloom.plans.bronze import LEDGER_TABLE, table_path
+from ledgerloom.sources.scratch import Scratch
 from ledgerloom.sources.snapshots import read_snapshots, write_snapshots
 
 
@@ -61,7 +62,10 @@ def clean_attributes(df: DataFrame, choices: CleaningRules = CleaningRules()) ->
     return enforce_schema(filled, schemas.ATTRIBUTES)
 
 
-def clean_financials(df: DataFrame, choices: CleaningRules = CleaningRules()) -> DataFrame:
+def clean_financials(
+    df: DataFrame, choices: CleaningRules = CleaningRules(), scratch: Scratch | None = None
+) -> DataFrame:
+    """Exact outlier limits are looked up when called; they read ``df`` twice."""
     ranged = {
         "Interest_Rate": typed(df, "Interest_Rate", "double"),
         "Num_of_Loan": typed(df, "Num_of_Loan", "int", strip="_"),
@@ -97,6 +101,7 @@ def clean_financials(df: DataFrame, choices: CleaningRules = CleaningRules()) ->
         outliers={"Num_Bank_Accounts": "Num_Bank_Accounts", "Num_Credit_Card": choices.cards_from},
         bounded=list(ranged),
         accuracy=choices.accuracy,
+        scratch=scratch,
     )
     return enforce_schema(filled, schemas.FINANCIALS)
 
@@ -112,16 +117,17 @@ def refine_features(
     Bronze is laid out by snapshot and nothing here moves rows, so the write
     needs no shuffle either.
     """
-    cleaners = {
-        "clickstream": clean_clickstream,
-        "attributes": lambda df: clean_attributes(df, choices),
-        "financials": lambda df: clean_financials(df, choices),
-    }
-    for table, clean in cleaners.items():
-        raw = read_snapshots(spark, table_path(lake, "bronze", table), dates=dates)
-        write_snapshots(
-            clean(raw), table_path(lake, "silver", table), dates=dates, clustered=True
-        )
+    with Scratch(spark) as scratch:
+        cleaners = {
+            "clickstream": clean_clickstream,
+            "attributes": lambda df: clean_attributes(df, choices),
+            "financials": lambda df: clean_financials(df, choices, scratch),
+        }
+        for table, clean in cleaners.items():
+            raw = read_snapshots(spark, table_path(lake, "bronze", table), dates=dates)
+            write_snapshots(
+                clean(raw), table_path(lake, "silver", table), dates=dates, clustered=True
+            )
 
 
 def refine_ledger(

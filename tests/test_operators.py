@@ -49,7 +49,8 @@ def test_replacement_may_come_from_another_column(spark):
     assert got.count(7) == 3 and max(got) == 198
 
 
-def test_exact_quantiles_equal_the_builtin(spark):
+@pytest.mark.parametrize("in_place", [0, 10**6])
+def test_exact_quantiles_equal_the_builtin(spark, in_place):
     rng = random.Random(7)
     rows = []
     for size in [1, 2, 3, 4, 5, 99, 100, 101, 200, 1000, 5000]:
@@ -57,7 +58,7 @@ def test_exact_quantiles_equal_the_builtin(spark):
             x = rng.choice([None, float("nan"), -0.0, 1e300, rng.gauss(0, 1), float(rng.randrange(5))])
             rows.append((dt.date(2000, 1, 1) + dt.timedelta(size), x, rng.randrange(-(2**62), 2**62)))
     df = dated(spark, rows, "x double, n bigint")
-    got = group_quantiles(df, {"x": [0.5, 0.99], "n": [0.5, 0.01]}, ["snapshot_date"])
+    got = group_quantiles(df, {"x": [0.5, 0.99], "n": [0.5, 0.01]}, ["snapshot_date"], summed_in_place=in_place)
     clean = df.withColumn("x", F.when(~F.isnan("x"), F.col("x")))
     disc = "percentile_disc({}) WITHIN GROUP (ORDER BY {})"
     want = clean.groupBy("snapshot_date").agg(
@@ -77,13 +78,15 @@ def test_exact_quantiles_equal_the_builtin(spark):
         assert r["n_p1"] == values[max(math.ceil(len(values) * 0.01), 1) - 1]
 
 
-def test_exact_quantiles_with_a_dominant_value_and_null_group(spark):
+@pytest.mark.parametrize("in_place", [0, 10**6])
+def test_exact_quantiles_with_a_dominant_value_and_null_group(spark, in_place):
     df = spark.range(30_000).select(
         F.when(F.col("id") % 2 == 0, F.lit(JAN)).alias("snapshot_date"),
         F.when(F.col("id") % 3 == 0, F.lit(5.0)).otherwise(F.col("id").cast("double")).alias("x"),
     )
-    got = group_quantiles(df, {"x": [0.1, 0.5, 0.99]}, ["snapshot_date"]).collect()
-    builtin = group_quantiles(df, {"x": [0.1, 0.5, 0.99]}, ["snapshot_date"], bounded=["x"]).collect()
+    wanted = {"x": [0.1, 0.5, 0.99]}
+    got = group_quantiles(df, wanted, ["snapshot_date"], summed_in_place=in_place).collect()
+    builtin = group_quantiles(df, wanted, ["snapshot_date"], bounded=["x"]).collect()
     assert sorted(got, key=str) == sorted(builtin, key=str) and len(got) == 2
 
 
@@ -175,7 +178,7 @@ def test_levels_of_an_empty_or_all_null_column(spark, scratch):
     df = dated(spark, [(JAN, 0, None)], "i int, x string")
     levels = encode.fit_levels(df, ["x"], scratch)
     row = encode.one_hot_columns(df, levels).first()
-    assert row["x_ohe"].asDict() == {"size": 0, "indices": [], "values": []}
+    assert row["x_ohe"].asDict() == {"size": 0, "slot": None}
 
 
 def test_unseen_values_get_the_last_index(spark, scratch):
