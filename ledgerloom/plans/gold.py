@@ -76,14 +76,16 @@ def build_features(
     """The feature store of all snapshots of ``clickstream``.
 
     Hot customers are looked up first (one column of the clickstream).  The
-    join is stored once, because the fits and the result all read it.  The
-    result reads from ``scratch``: store it before discarding that.
+    join is stored once, because the fits and the result all read it, and is
+    regrouped by snapshot while its rows are still narrow: nothing after it
+    moves rows.  The result reads from ``scratch``: store it before discarding
+    that.
     """
     hot = scratch.stage(hot_keys(clickstream), "hot-keys")
     joined = join_features(
         clickstream, attributes, financials, hot=None if hot.isEmpty() else hot
     )
-    return encode_features(scratch.stage(joined, "joined"), scratch)
+    return encode_features(scratch.stage(joined, "joined", cluster_by=SNAPSHOT), scratch)
 
 
 def as_vectors(features: DataFrame) -> DataFrame:
@@ -110,7 +112,7 @@ def publish_features(
         features = build_features(
             silver("clickstream", dates), silver("attributes"), silver("financials"), scratch
         )
-        write_snapshots(features, path, dates=dates)
+        write_snapshots(features, path, dates=dates, clustered=True)
     return read_snapshots(spark, path, dates=dates)
 
 

@@ -11,6 +11,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -35,10 +36,18 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def stage(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` once and return the table that was written."""
+    def stage(self, df: DataFrame, name: str, cluster_by: str | None = None) -> DataFrame:
+        """Write ``df`` once and return the table that was written.
+
+        ``cluster_by`` regroups the rows by that column on the way (AQE cuts
+        large groups into several tasks), so that a later write by the same
+        column needs no shuffle.
+        """
         path = self.path(f"{name}-{uuid.uuid4().hex}")
-        df.write.parquet(path)
+        if cluster_by:
+            df.hint("rebalance", F.col(cluster_by)).write.partitionBy(cluster_by).parquet(path)
+        else:
+            df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def discard(self) -> None:
