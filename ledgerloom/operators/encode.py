@@ -146,9 +146,7 @@ def one_hot_columns(
     """
     kept = [c for c in df.columns if c not in levels.columns]
     vectors = [
-        F.struct(F.col(f"__{c}_size").alias("size"), F.col(f"__{c}_slot").alias("slot")).alias(
-            f"{c}_ohe"
-        )
+        F.expr(f"struct(`__{c}_size` AS size, `__{c}_slot` AS slot) AS `{c}_ohe`")
         for c in levels.columns
     ]
     added = [] if alongside is None else [c for c in alongside.columns if c not in levels.by]
@@ -205,22 +203,26 @@ def _looked_up(
 def _look_up_maps(df: DataFrame, levels: Levels, alongside: DataFrame | None) -> DataFrame:
     """One join for all columns: each group's row holds a value map per column."""
     entries = {
-        c: F.collect_list(F.when(F.col("column") == c, F.struct("value", "level")))
+        c: f"collect_list(CASE WHEN column = {_quoted(c)} THEN struct(value, level) END)"
         for c in levels.columns
     }
     fitted = levels.table.groupBy(*levels.by).agg(
-        *[F.map_from_entries(e).alias(f"__{c}_map") for c, e in entries.items()],
-        *[F.size(e).alias(f"__{c}_n") for c, e in entries.items()],
+        *[F.expr(f"map_from_entries({e}) AS `__{c}_map`") for c, e in entries.items()],
+        *[F.expr(f"size({e}) AS `__{c}_n`") for c, e in entries.items()],
     )
     if alongside is not None:
         fitted = attach(alongside, fitted, levels.by)
     found = {}
     for c in levels.columns:
-        found[f"__{c}_size"] = F.coalesce(f"__{c}_n", F.lit(0))
-        found[f"__{c}_slot"] = F.try_element_at(f"__{c}_map", F.col(c).cast("string"))
+        found[f"__{c}_size"] = F.expr(f"coalesce(`__{c}_n`, 0)")
+        found[f"__{c}_slot"] = F.expr(f"try_element_at(`__{c}_map`, CAST(`{c}` AS STRING))")
     return attach(df, fitted, levels.by).withColumns(found)
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _same_level(by: Sequence[str], value: Column) -> Column:
     same = value.cast("string") == F.col("__value")
     for k in by:

@@ -18,7 +18,7 @@ def skip_incomplete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def assemble(columns: Sequence[str]) -> Column:
     """The columns as one ``array<double>``."""
-    return F.array(*[F.col(c).cast("double") for c in columns])
+    return F.expr(f"array({', '.join(_double(c) for c in columns)})")
 
 
 def fit_min_max(
@@ -26,16 +26,14 @@ def fit_min_max(
 ) -> DataFrame:
     """``<column>_min`` and ``<column>_max`` per group, all columns in one pass."""
     return df.groupBy(*by).agg(
-        *[F.min(F.col(c).cast("double")).alias(f"{c}_min") for c in columns],
-        *[F.max(F.col(c).cast("double")).alias(f"{c}_max") for c in columns],
+        *[F.expr(f"min({_double(c)}) AS `{c}_min`") for c in columns],
+        *[F.expr(f"max({_double(c)}) AS `{c}_max`") for c in columns],
     )
 
 
-def min_max(x: Column, lo: Column, hi: Column) -> Column:
-    """``x`` scaled to [0, 1]; 0.5 where the column is constant."""
-    return F.when(hi > lo, (x.cast("double") - lo) / (hi - lo)).otherwise(
-        F.when(x.isNotNull(), F.lit(0.5))
-    )
+def assemble_scaled(columns: Sequence[str]) -> Column:
+    """The scaled columns as one array; needs the limits' columns beside them."""
+    return F.expr(f"array({', '.join(_min_max(c) for c in columns)})")
 
 
 def scale_min_max(
@@ -47,11 +45,18 @@ def scale_min_max(
 ) -> DataFrame:
     """Add ``<column>_scaled``; ``limits`` defaults to a fit on ``df`` itself."""
     fitted = fit_min_max(df, columns, by) if limits is None else limits
-    scaled = {
-        f"{c}_scaled": min_max(F.col(c), F.col(f"{c}_min"), F.col(f"{c}_max")) for c in columns
-    }
     return (
         attach(df, fitted, by)
-        .withColumns(scaled)
-        .drop(*[f"{c}_min" for c in columns], *[f"{c}_max" for c in columns])
+        .withColumns({f"{c}_scaled": F.expr(_min_max(c)) for c in columns})
+        .drop(*fitted.drop(*by).columns)
     )
+
+
+def _double(column: str) -> str:
+    return f"CAST(`{column}` AS DOUBLE)"
+
+
+def _min_max(column: str) -> str:
+    """``column`` scaled to [0, 1], 0.5 where it is constant, as SQL."""
+    x, lo, hi = _double(column), f"`{column}_min`", f"`{column}_max`"
+    return f"CASE WHEN {hi} > {lo} THEN ({x} - {lo}) / ({hi} - {lo}) WHEN {x} IS NOT NULL THEN 0.5D END"

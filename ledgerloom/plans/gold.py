@@ -14,7 +14,7 @@ from ledgerloom.functions import rules
 from ledgerloom.operators.encode import dense, fit_levels, one_hot_columns
 from ledgerloom.operators.joins import feature_join, hot_keys
 from ledgerloom.operators.labels import build_labels
-from ledgerloom.operators.scale import assemble, fit_min_max, min_max, skip_incomplete
+from ledgerloom.operators.scale import assemble, assemble_scaled, fit_min_max, skip_incomplete
 from ledgerloom.plans.bronze import LEDGER_TABLE, table_path
 from ledgerloom.schemas import SNAPSHOT
 from ledgerloom.sources.scratch import Scratch
@@ -60,12 +60,14 @@ def encode_features(joined: DataFrame, scratch: Scratch) -> DataFrame:
     levels = fit_levels(joined, schemas.CATEGORIES, scratch)
     complete = skip_incomplete(joined, numeric)
     limits = fit_min_max(complete, numeric)
-    scaled = F.array(
-        *[min_max(F.col(c), F.col(f"{c}_min"), F.col(f"{c}_max")) for c in numeric]
-    )
     return (
         one_hot_columns(complete, levels, alongside=limits)
-        .withColumns({"numeric_features": assemble(numeric), "scaled_numeric_features": scaled})
+        .withColumns(
+            {
+                "numeric_features": assemble(numeric),
+                "scaled_numeric_features": assemble_scaled(numeric),
+            }
+        )
         .drop(*limits.drop(SNAPSHOT).columns)
     )
 
