@@ -238,6 +238,10 @@ FROM events JOIN customer ON user_id = c_custkey
 JOIN (SELECT o_custkey, count(*) AS orders, max(o_totalprice) AS largest FROM orders GROUP BY 1) o
   ON user_id = o_custkey"""
 
+FANOUT = f"""
+SELECT user_id, {EVENTS}, c_mktsegment, c_acctbal, o_orderkey, o_totalprice
+FROM events JOIN customer ON user_id = c_custkey JOIN orders ON user_id = o_custkey"""
+
 ORACLES = {
     "q_label_store": LABEL_STORE,
     "q_ledger_dpd": "SELECT loan_id, snapshot_date, installments_missed, first_missed_date, dpd "
@@ -348,9 +352,8 @@ SELECT snapshot_date, min(o_totalprice) AS o_totalprice_min, max(o_totalprice) A
 FROM ({ORDERS_BY_MONTH}) o GROUP BY 1""",
     "q_feature_join": FEATURE_JOIN,
     "q_feature_join_salted": FEATURE_JOIN,
-    "q_feature_join_fanout": f"""
-SELECT user_id, {EVENTS}, c_mktsegment, c_acctbal, o_orderkey, o_totalprice
-FROM events JOIN customer ON user_id = c_custkey JOIN orders ON user_id = o_custkey""",
+    "q_feature_join_fanout": FANOUT,
+    "q_feature_join_fanout_salted": FANOUT,
     "q_feature_store": FEATURE_STORE,
     "q_backfill_features": FEATURE_STORE,
     "q_backfill_labels": LABEL_STORE,

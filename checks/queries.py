@@ -423,15 +423,22 @@ def feature_join_salted(spark, sf):
     """The same join with every frequent user spread over salts."""
     clicks = events_by_day(spark, sf, "user_id")
     hot = joins.hot_keys(clicks, "user_id", hot_rows=50, rows_per_salt=20)
-    return feature_join(spark, sf, hot=hot)
+    return feature_join(spark, sf, hot=[hot, None, None])
 
 
-def feature_join_fanout(spark, sf):
+def feature_join_fanout(spark, sf, *, salted=False):
     """Side table with several rows per customer: one result row for each."""
     customers, orders = _customers(spark, sf)
     each = orders.selectExpr("o_custkey AS user_id", "o_orderkey", "o_totalprice")
     clicks = events_by_day(spark, sf, "user_id")
-    return joins.feature_join(clicks, [customers, each], "user_id")
+    hot = ()
+    if salted:
+        hot = [
+            joins.hot_keys(clicks, "user_id", hot_rows=50, rows_per_salt=20),
+            None,
+            joins.hot_keys(each, "user_id", hot_rows=5, rows_per_salt=5),
+        ]
+    return joins.feature_join(clicks, [customers, each], "user_id", hot=hot)
 
 
 def flat(features: DataFrame) -> DataFrame:
@@ -450,14 +457,17 @@ def flat(features: DataFrame) -> DataFrame:
 
 
 def feature_store(spark, sf):
-    return flat(
-        gold.build_features(
-            silver.clean_clickstream(raw(spark, sf, "clickstream")),
-            silver.clean_attributes(raw(spark, sf, "attributes")),
-            silver.clean_financials(raw(spark, sf, "financials")),
-            Scratch(spark),
+    """Source tables through silver to the feature store, stored in between."""
+    scratch = Scratch(spark)
+    cleaned = [
+        scratch.stage(clean(raw(spark, sf, table)), table)
+        for table, clean in (
+            ("clickstream", silver.clean_clickstream),
+            ("attributes", silver.clean_attributes),
+            ("financials", silver.clean_financials),
         )
-    )
+    ]
+    return flat(gold.build_features(*cleaned, scratch))
 
 
 # --- whole runs, CSV to gold ------------------------------------------------
@@ -546,6 +556,7 @@ QUERIES = {
     "q_feature_join": feature_join,
     "q_feature_join_salted": feature_join_salted,
     "q_feature_join_fanout": feature_join_fanout,
+    "q_feature_join_fanout_salted": partial(feature_join_fanout, salted=True),
     "q_feature_store": feature_store,
     "q_backfill_features": backfill_features,
     "q_backfill_labels": backfill_labels,

@@ -40,6 +40,7 @@ class Levels:
     columns: tuple[str, ...]
     by: tuple[str, ...]
     scratch: Scratch
+    vocabularies: int  # one per group and column
     rows: int  # levels in all
     widest: int  # levels of the largest vocabulary
 
@@ -110,14 +111,14 @@ def fit_levels(
     """Count and number the levels of ``columns`` (runs a job, like any fit)."""
     counts = scratch.stage(count_levels(df, columns, by), "level-counts")
     sizes = counts.groupBy(*by, "column").count()
-    rows, widest = sizes.agg(
-        F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0))
+    vocabularies, rows, widest = sizes.agg(
+        F.count("count"), F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0))
     ).first()
     if rows <= ranked_in_place:
         table = rank_levels(counts, by)
     else:
         table = scratch.stage(rank_levels_by_sort(counts, by, scratch), "levels")
-    return Levels(table, tuple(columns), tuple(by), scratch, rows, widest)
+    return Levels(table, tuple(columns), tuple(by), scratch, vocabularies, rows, widest)
 
 
 def index_columns(df: DataFrame, levels: Levels, **limits) -> DataFrame:
@@ -196,7 +197,7 @@ def _looked_up(
                 "__value", *[f"__{k}" for k in levels.by]
             )
         else:
-            out = _look_up_large(out, one, c, levels.by, broadcast_levels // len(levels.columns))
+            out = _look_up_large(out, one, c, levels.by, broadcast_levels // levels.vocabularies)
     return out
 
 
@@ -233,14 +234,14 @@ def _same_level(by: Sequence[str], value: Column) -> Column:
 def _look_up_large(df: DataFrame, one: DataFrame, c: str, by: Sequence[str], head: int) -> DataFrame:
     """Level lookup for a vocabulary too large to broadcast whole.
 
-    Levels are numbered by frequency, so the first ones are the hot keys: they
-    are broadcast, ``head`` rows at most, and only the long tail, none of whose
-    values is frequent, goes through a shuffle.  Rows already resolved (and
-    NULLs) carry no tail key and are spread evenly by their salt.
+    Levels are numbered by frequency, so the first ones are the hot keys: the
+    first ``head`` of each group are broadcast, and only the long tail, none of
+    whose values is frequent, goes through a shuffle.  Rows already resolved
+    (and NULLs) carry no tail key and are spread evenly by their salt.
     """
     slot = f"__{c}_slot"
     helpers = ["__value", *[f"__{k}" for k in by]]
-    hot = one.orderBy(slot, *[f"__{k}" for k in by]).limit(head).withColumnRenamed(slot, "__head")
+    hot = one.where(F.col(slot) < head).withColumnRenamed(slot, "__head")
     found = df.join(F.broadcast(hot), _same_level(by, F.col(c)), "left").drop(*helpers)
     open_ = F.col("__head").isNull() & F.col(c).isNotNull()
     found = found.withColumns(

@@ -44,34 +44,42 @@ def feature_join(
     sides: Sequence[DataFrame],
     key: str = CUSTOMER,
     *,
-    hot: DataFrame | None = None,
+    hot: Sequence[DataFrame | None] = (),
 ) -> DataFrame:
     """Inner join of ``rows`` with every side table on ``key``.
 
     All joins share the key, so each table is shuffled once.  Small sides are
     broadcast by Spark from their measured size, not by a hint.
 
-    ``hot`` (from :func:`hot_keys`) spreads the rows of a hot key over several
-    salts and repeats the few side rows of that key once per salt; other keys
-    keep the single salt 0.  ``rows`` must then be read from files, whose row
-    order is stable, so that a repeated task assigns the same salts.
+    ``hot`` holds a :func:`hot_keys` table, or None, for ``rows`` and each side
+    in turn.  A table's rows of a hot key are spread over salts, and the other
+    tables' rows of that key repeated once per salt, so that every combination
+    still meets exactly once; other keys keep the single salt 0.  A table that
+    has hot keys must be read from files, whose row order is stable, so that a
+    repeated task assigns the same salts.
     """
-    if hot is None:
-        for side in sides:
-            rows = rows.join(side, key)
-        return rows
-    hot = F.broadcast(hot)
-    salts = F.coalesce(F.col("salts"), F.lit(1))
-    out = (
-        rows.join(hot, key, "left")
-        .withColumn("__salt", F.pmod(F.monotonically_increasing_id(), salts).cast("int"))
-        .drop("salts")
-    )
-    for side in sides:
-        spread = (
-            side.join(hot, key, "left")
-            .withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-            .drop("salts")
-        )
-        out = out.join(spread, [key, "__salt"])
-    return out.drop("__salt")
+    salted = [i for i, keys in enumerate(hot) if keys is not None]
+    tables = [_salt(df, i, key, hot, salted) for i, df in enumerate([rows, *sides])]
+    salts = [f"__salt{i}" for i in salted]
+    out = tables[0]
+    for side in tables[1:]:
+        out = out.join(side, [key, *salts])
+    return out.drop(*salts)
+
+
+def _salt(
+    df: DataFrame,
+    own: int,
+    key: str,
+    hot: Sequence[DataFrame | None],
+    salted: Sequence[int],
+) -> DataFrame:
+    """Add a salt column per hot table; the own one first, before rows repeat."""
+    salts = F.coalesce("salts", F.lit(1))
+    for i in sorted(salted, key=lambda i: i != own):
+        if i == own:
+            salt = F.pmod(F.monotonically_increasing_id(), salts).cast("int")
+        else:
+            salt = F.explode(F.sequence(F.lit(0), salts - 1))
+        df = df.join(F.broadcast(hot[i]), key, "left").withColumn(f"__salt{i}", salt).drop("salts")
+    return df

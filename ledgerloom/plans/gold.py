@@ -77,16 +77,16 @@ def build_features(
 ) -> DataFrame:
     """The feature store of all snapshots of ``clickstream``.
 
-    Hot customers are looked up first (one column of the clickstream).  The
+    Hot customers are looked up first, in the key column of each table.  The
     join is stored once, because the fits and the result all read it, and is
     regrouped by snapshot while its rows are still narrow: nothing after it
     moves rows.  The result reads from ``scratch``: store it before discarding
-    that.
+    that.  The tables should be read from files (see ``feature_join``).
     """
-    hot = scratch.stage(hot_keys(clickstream), "hot-keys")
-    joined = join_features(
-        clickstream, attributes, financials, hot=None if hot.isEmpty() else hot
-    )
+    tables = (clickstream, attributes, financials)
+    found = [scratch.stage(hot_keys(df), "hot-keys") for df in tables]
+    hot = [None if keys.isEmpty() else keys for keys in found]
+    joined = join_features(*tables, hot=hot)
     return encode_features(scratch.stage(joined, "joined", cluster_by=SNAPSHOT), scratch)
 
 

@@ -14,6 +14,8 @@ from ledgerloom.schemas import SNAPSHOT
 
 
 def as_date(value: str | dt.date) -> dt.date:
+    if isinstance(value, dt.datetime):
+        return value.date()
     return value if isinstance(value, dt.date) else dt.date.fromisoformat(value)
 
 

@@ -211,14 +211,21 @@ def test_salted_join_equals_the_plain_one(spark, scratch):
         "rows",
     )
     side = rows.select("Customer_ID").distinct().withColumn("s", F.length("Customer_ID"))
-    twice = side.unionAll(side).withColumnRenamed("s", "t")
+    several = scratch.stage(
+        side.withColumn("t", F.explode(F.sequence(F.lit(1), F.when(F.col("s") == 3, 30).otherwise(2)))).drop("s"),
+        "several",
+    )
     hot = joins.hot_keys(rows, hot_rows=100, rows_per_salt=500)
     assert [tuple(r) for r in hot.collect()] == [("hot", 20)]
-    plain = joins.feature_join(rows, [side, twice])
-    salted = joins.feature_join(rows, [side, twice], hot=hot)
-    assert sorted(plain.columns) == sorted(salted.columns)
+    hot_side = joins.hot_keys(several, hot_rows=20, rows_per_salt=7)
     count = lambda df: sorted(map(tuple, df.groupBy("Customer_ID", "v", "s", "t").count().collect()))
-    assert count(plain) == count(salted)
+    plain = joins.feature_join(rows, [side, several])
+    want = count(plain)
+    assert sum(r[-1] for r in want) > 300_000
+    for choice in ([hot], [hot, None, None], [None, None, hot_side], [hot, None, hot_side]):
+        salted = joins.feature_join(rows, [side, several], hot=choice)
+        assert sorted(plain.columns) == sorted(salted.columns)
+        assert count(salted) == want
 
 
 def test_rules_keep_every_row(spark):
