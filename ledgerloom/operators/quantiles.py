@@ -33,7 +33,9 @@ from ledgerloom.sources.scratch import Scratch
 
 SUMMED_IN_PLACE = 1_000_000  # counted values, all groups together
 _SKETCH = 10_000  # accuracy of the sketches
-_MARGIN = 4 / _SKETCH  # bracket half-width in ranks, well above the sketch's error
+# Half-widths of the bracket, as shares of the rows: well above the sketch's
+# error, and wider ones should a sketch be worse than promised.
+_MARGINS = (4 / _SKETCH, 100 / _SKETCH, 1.0)
 _CELLS = 256
 
 
@@ -65,20 +67,23 @@ def group_quantiles(
         return slim.groupBy(*by).agg(*direct)
 
     scratch = scratch or Scratch(df.sparkSession)
-    first = scratch.stage(
-        slim.groupBy(*by).agg(
-            *direct, *[_bracket(name, q).alias(f"b{i}") for i, (name, q) in enumerate(selected)]
-        ),
-        "brackets",
-    )
-    # One selection per type, so that longs and decimals never become doubles.
-    numbered = sorted(
-        enumerate(selected), key=lambda s: df.schema[s[1][0]].dataType.simpleString()
-    )
-    out = first
-    for _, same_type in groupby(numbered, key=lambda s: df.schema[s[1][0]].dataType.simpleString()):
-        found = _select_exact(slim, list(same_type), first, by, scratch, summed_in_place)
-        out = attach(out, found, by)
+
+    def type_of(numbered):
+        return df.schema[numbered[1][0]].dataType.simpleString()
+
+    def search(margin: float) -> DataFrame | None:
+        brackets = [_bracket(*s, margin).alias(f"b{i}") for i, s in enumerate(selected)]
+        first = scratch.stage(slim.groupBy(*by).agg(*direct, *brackets), "brackets")
+        out = first
+        # One selection per type, so that longs and decimals never become doubles.
+        for _, same_type in groupby(sorted(enumerate(selected), key=type_of), key=type_of):
+            found = _select_exact(slim, list(same_type), first, by, scratch, summed_in_place)
+            if found is None:
+                return None
+            out = attach(out, found, by)
+        return out
+
+    out = next(found for found in map(search, _MARGINS) if found is not None)
     values = {
         quantile_name(name, q): _or_fail(
             F.col(f"v{i}").isNull() & (F.col(f"b{i}.count") > 0), F.col(f"v{i}")
@@ -102,7 +107,7 @@ def _direct(name: str, q: float, accuracy: int | None) -> Column:
     return F.expr(f"percentile_disc({q!r}) WITHIN GROUP (ORDER BY `{name}`)")
 
 
-def _bracket(name: str, q: float) -> Column:
+def _bracket(name: str, q: float, margin: float) -> Column:
     """The rank to find and two values that enclose it.
 
     Sketches hold doubles, so whatever is compared with one is cast first: the
@@ -113,7 +118,7 @@ def _bracket(name: str, q: float) -> Column:
         count.alias("count"),
         F.greatest(F.ceil(count * F.lit(q)), F.lit(1)).cast("long").alias("rank"),
         F.percentile_approx(
-            F.col(name).cast("double"), [max(q - _MARGIN, 0.0), min(q + _MARGIN, 1.0)], _SKETCH
+            F.col(name).cast("double"), [max(q - margin, 0.0), min(q + margin, 1.0)], _SKETCH
         ).alias("ends"),
     )
 
@@ -125,8 +130,11 @@ def _select_exact(
     by: list[str],
     scratch: Scratch,
     summed_in_place: int,
-) -> DataFrame:
-    """One row per group with a column ``v<number>`` per series."""
+) -> DataFrame | None:
+    """One row per group with a column ``v<number>`` per series.
+
+    None if a bracket does not hold its rank.
+    """
     # Count the rows below the bracket (value NULL) and each value inside it.
     # Map-side combine leaves one row per task for "below" and for any value
     # that many rows share.
@@ -154,8 +162,20 @@ def _select_exact(
         "bracket-counts",
     )
     within = ["series", "rank"]
+    below = F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0))
+    rows, missed = (
+        counts.groupBy(*by, *within)
+        .agg(F.count(F.lit(1)).alias("rows"), below.alias("below"), F.sum("n").alias("upto"))
+        .agg(
+            F.coalesce(F.sum("rows"), F.lit(0)),
+            F.count_if((F.col("below") >= F.col("rank")) | (F.col("upto") < F.col("rank"))),
+        )
+        .first()
+    )
+    if missed:
+        return None
     along = Window.partitionBy(*by, *within).rowsBetween(Window.unboundedPreceding, 0)
-    if counts.count() <= summed_in_place:
+    if rows <= summed_in_place:
         ready = counts.withColumn("before", F.lit(0))
     else:
         ready = _cell_of_rank(counts, by, within, along)

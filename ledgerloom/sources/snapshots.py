@@ -136,15 +136,27 @@ def read_snapshots(
     return df.where(F.col(snapshot).isin([as_date(d) for d in dates]))
 
 
-def legacy_path(folder: str, table: str, day: str | dt.date, suffix: str) -> str:
-    """File of one snapshot in the older one-file-per-month naming."""
-    return f"{folder.rstrip('/')}/{table}_{as_date(day):%Y_%m_%d}.{suffix}"
+def legacy_path(
+    folder: str, table: str, day: str | dt.date, suffix: str = "parquet", separator: str = "_"
+) -> str:
+    """File of one snapshot in the older one-file-per-month naming.
+
+    Feature stores of that layout have no ``separator`` before the date.
+    """
+    return f"{folder.rstrip('/')}/{table}{separator}{as_date(day):%Y_%m_%d}.{suffix}"
 
 
 def read_legacy_snapshots(
-    spark: SparkSession, folder: str, table: str, *, dates: Sequence[str | dt.date] | None = None
+    spark: SparkSession,
+    folder: str,
+    table: str,
+    *,
+    dates: Sequence[str | dt.date] | None = None,
+    separator: str = "_",
 ) -> DataFrame:
     """Read Parquet files named ``<table>_YYYY_MM_DD.parquet``, all or some."""
     if dates is None:
-        return spark.read.parquet(f"{folder.rstrip('/')}/{table}_*.parquet")
-    return spark.read.parquet(*[legacy_path(folder, table, d, "parquet") for d in dates])
+        return spark.read.parquet(f"{folder.rstrip('/')}/{table}{separator}*.parquet")
+    return spark.read.parquet(
+        *[legacy_path(folder, table, d, separator=separator) for d in dates]
+    )

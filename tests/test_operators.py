@@ -90,6 +90,20 @@ def test_exact_quantiles_with_a_dominant_value_and_null_group(spark, in_place):
     assert sorted(got, key=str) == sorted(builtin, key=str) and len(got) == 2
 
 
+def test_a_bad_sketch_only_costs_another_pass(spark, monkeypatch):
+    from ledgerloom.operators import quantiles
+
+    df = spark.range(20_000).select(F.lit(JAN).alias("snapshot_date"), (F.col("id") * 7919 % 20_011).alias("x"))
+    want = group_quantiles(df, {"x": [0.5, 0.99]}, ["snapshot_date"], bounded=["x"]).collect()
+    monkeypatch.setattr(quantiles, "_SKETCH", 3)
+    monkeypatch.setattr(quantiles, "_MARGINS", (0.0, 1.0))
+    tried = []
+    select = quantiles._select_exact
+    monkeypatch.setattr(quantiles, "_select_exact", lambda *a: tried.append(select(*a)) or tried[-1])
+    assert group_quantiles(df, {"x": [0.5, 0.99]}, ["snapshot_date"]).collect() == want
+    assert tried[0] is None and len(tried) == 2
+
+
 def test_fills(spark):
     df = dated(spark, [(JAN, None, None, None), (FEB, 1, float("nan"), "a")], "i int, d double, s string")
     assert impute.fill_constants(df, {"i": 0, "s": 0}).orderBy("snapshot_date").first()[1:] == (0, None, "0")
