@@ -11,7 +11,7 @@ selects the smallest value whose cumulative share is at least ``q``
 * *otherwise* - exact without keeping a group's values in one place: a first
   pass encloses the wanted rank between two values of a sketch, a second one
   counts the rows below them and each distinct value between them.  That
-  table, under a thousandth of the rows, is stored and measured.  Small, its
+  table, under half a percent of the rows, is stored and measured.  Small, its
   values are summed up in order; large, a second sketch cuts them into cells
   and only the cell that holds the rank is summed up.
 
@@ -32,10 +32,12 @@ from ledgerloom.operators.attach import attach
 from ledgerloom.sources.scratch import Scratch
 
 SUMMED_IN_PLACE = 1_000_000  # counted values, all groups together
-_SKETCH = 10_000  # accuracy of the sketches
+# Accuracy of the sketches: larger ones would narrow the brackets, but every
+# task sends one per group and column to the task that merges the group's.
+_SKETCH = 2_000
 # Half-widths of the bracket, as shares of the rows: well above the sketch's
 # error, and wider ones should a sketch be worse than promised.
-_MARGINS = (4 / _SKETCH, 100 / _SKETCH, 1.0)
+_MARGINS = (4 / _SKETCH, 40 / _SKETCH, 1.0)
 _CELLS = 256
 
 
@@ -72,7 +74,8 @@ def group_quantiles(
         return df.schema[numbered[1][0]].dataType.simpleString()
 
     def search(margin: float) -> DataFrame | None:
-        brackets = [_bracket(*s, margin).alias(f"b{i}") for i, s in enumerate(selected)]
+        columns = dict.fromkeys(name for name, _ in selected)
+        brackets = [_brackets(c, wanted[c], margin).alias(f"b_{c}") for c in columns]
         first = scratch.stage(slim.groupBy(*by).agg(*direct, *brackets), "brackets")
         out = first
         # One selection per type, so that longs and decimals never become doubles.
@@ -86,7 +89,7 @@ def group_quantiles(
     out = next(found for found in map(search, _MARGINS) if found is not None)
     values = {
         quantile_name(name, q): _or_fail(
-            F.col(f"v{i}").isNull() & (F.col(f"b{i}.count") > 0), F.col(f"v{i}")
+            F.col(f"v{i}").isNull() & (F.col(f"b_{name}.count") > 0), F.col(f"v{i}")
         )
         for i, (name, q) in enumerate(selected)
     }
@@ -107,19 +110,16 @@ def _direct(name: str, q: float, accuracy: int | None) -> Column:
     return F.expr(f"percentile_disc({q!r}) WITHIN GROUP (ORDER BY `{name}`)")
 
 
-def _bracket(name: str, q: float, margin: float) -> Column:
-    """The rank to find and two values that enclose it.
+def _brackets(name: str, qs: Sequence[float], margin: float) -> Column:
+    """The number of values, and for each quantile two values that enclose it.
 
     Sketches hold doubles, so whatever is compared with one is cast first: the
     order of the values survives that, and the results are not cast.
     """
-    count = F.count(name)
+    ends = [end for q in qs for end in (max(q - margin, 0.0), min(q + margin, 1.0))]
     return F.struct(
-        count.alias("count"),
-        F.greatest(F.ceil(count * F.lit(q)), F.lit(1)).cast("long").alias("rank"),
-        F.percentile_approx(
-            F.col(name).cast("double"), [max(q - margin, 0.0), min(q + margin, 1.0)], _SKETCH
-        ).alias("ends"),
+        F.count(name).alias("count"),
+        F.percentile_approx(F.col(name).cast("double"), ends, _SKETCH).alias("ends"),
     )
 
 
@@ -138,22 +138,23 @@ def _select_exact(
     # Count the rows below the bracket (value NULL) and each value inside it.
     # Map-side combine leaves one row per task for "below" and for any value
     # that many rows share.
-    entries = F.array(
-        *[
+    entries = []
+    for i, (name, q) in series:
+        bracket = F.col(f"b_{name}")
+        at = [other for _, (column, other) in series if column == name].index(q)
+        entries.append(
             F.struct(
                 F.lit(i).alias("series"),
-                F.col(f"b{i}.rank").alias("rank"),
+                F.greatest(F.ceil(bracket["count"] * F.lit(q)), F.lit(1)).cast("long").alias("rank"),
                 F.col(name).alias("raw"),
-                F.col(f"b{i}.ends")[0].alias("lo"),
-                F.col(f"b{i}.ends")[1].alias("hi"),
+                bracket["ends"][2 * at].alias("lo"),
+                bracket["ends"][2 * at + 1].alias("hi"),
             )
-            for i, (name, _) in series
-        ]
-    )
+        )
     raw = F.col("raw").cast("double")
     counts = scratch.stage(
-        attach(slim, brackets.select(*by, *[f"b{i}" for i, _ in series]), by)
-        .select(*by, F.explode(entries).alias("e"))
+        attach(slim, brackets.select(*by, *{f"b_{name}" for _, (name, _) in series}), by)
+        .select(*by, F.explode(F.array(*entries)).alias("e"))
         .select(*by, "e.*")
         .where(raw <= F.col("hi"))
         .select(*by, "series", "rank", F.when(raw >= F.col("lo"), F.col("raw")).alias("value"))
