@@ -12,6 +12,7 @@ from checks import queries as q
 from checks.raw import raw
 from conftest import SF_DIR
 from ledgerloom import schemas
+from ledgerloom.operators.joins import hot_keys
 from ledgerloom.plans import backfill, bronze, gold, silver
 from ledgerloom.plans.bronze import table_path
 from ledgerloom.plans.calendar import calendar, month_starts
@@ -78,6 +79,22 @@ def test_month_by_month_equals_one_pass(spark, run):
     assert stored(spark, lake, "gold", "feature_store", months[0]) == whole != []
 
 
+def test_hot_customers_do_not_change_the_store(spark, run, monkeypatch):
+    _, lake = run
+    month = dt.date(2023, 5, 1)
+    whole = stored(spark, lake, "gold", "feature_store", month)
+    found = []
+
+    def low_threshold(df):
+        found.append(hot_keys(df, hot_rows=2, rows_per_salt=1))
+        return found[-1]
+
+    monkeypatch.setattr(gold, "hot_keys", low_threshold)
+    gold.publish_features(spark, lake, [month])
+    assert not found[0].isEmpty()
+    assert stored(spark, lake, "gold", "feature_store", month) == whole != []
+
+
 def test_feature_store_schema(spark, run):
     _, lake = run
     store = read_snapshots(spark, table_path(lake, "gold", "feature_store"))
