@@ -95,6 +95,15 @@ def test_hot_customers_do_not_change_the_store(spark, run, monkeypatch):
     assert stored(spark, lake, "gold", "feature_store", month) == whole != []
 
 
+def test_a_month_without_rows_is_not_an_error(spark, run):
+    _, lake = run
+    path = table_path(lake, "gold", "feature_store")
+    before = read_snapshots(spark, path).count()
+    assert gold.publish_features(spark, lake, ["2030-01-01"]).count() == 0
+    assert gold.publish_labels(spark, lake, ["2030-01-01"], dpd=30, mob=6).count() == 0
+    assert read_snapshots(spark, path).count() == before
+
+
 def test_feature_store_schema(spark, run):
     _, lake = run
     store = read_snapshots(spark, table_path(lake, "gold", "feature_store"))
