@@ -12,7 +12,8 @@ import pytest
 duckdb = pytest.importorskip("duckdb")
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
-from __spark_entry__ import oracle_sql, queries  # noqa: E402
+from checks.oracles import ORACLES  # noqa: E402
+from checks.queries import QUERIES  # noqa: E402
 from conftest import SF_DIR  # noqa: E402
 
 
@@ -45,11 +46,11 @@ SPARK_TO_DUCK = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_oracle(spark, duck, name):
-    df = queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     ours = multiset(df.columns, [tuple(r) for r in df.collect()])
-    duck.execute(oracle_sql()[name])
+    duck.execute(ORACLES[name])
     columns = [d[0] for d in duck.description]
     types = {d[0]: str(d[1]) for d in duck.description}
     theirs = multiset(columns, duck.fetchall())
@@ -62,4 +63,4 @@ def test_matches_oracle(spark, duck, name):
 
 
 def test_every_query_has_an_oracle():
-    assert sorted(queries()) == sorted(oracle_sql())
+    assert sorted(QUERIES) == sorted(ORACLES)
