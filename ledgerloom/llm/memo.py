@@ -1,0 +1,35 @@
+"""A dictionary that computes missing values and forgets in generations."""
+
+from __future__ import annotations
+
+
+class Memo(dict):
+    """``memo[key]`` is ``compute(key)``, remembered in bounded memory.
+
+    Once ``limit`` keys are held, they become the old generation and the one
+    before is dropped; a key that is asked for again moves to the new one.
+    """
+
+    def __init__(self, compute, limit: int = 250_000):
+        super().__init__()
+        self.compute, self.limit, self.old = compute, limit, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+    def warm(self, keys: set, compute_many) -> None:
+        """Compute all ``keys`` that are not held, in one call."""
+        missing = [k for k in keys if k not in self and k not in self.old]
+        if missing:
+            for key, value in zip(missing, compute_many(missing), strict=True):
+                if len(self) >= self.limit:
+                    self.old = dict(self)
+                    self.clear()
+                self[key] = value
