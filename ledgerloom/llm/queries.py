@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import token_files
+from ledgerloom.llm import pieces, token_files
 from ledgerloom.llm.ship import ship
 from ledgerloom.sources.scratch import Scratch
 
@@ -14,6 +15,19 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_pieces(spark, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = pieces.encode(docs, model).drop("text")
+    return pieces.decode(rows, model).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.element_at("offsets", -1).alias("n_bytes"),
+    )
+
+
 def op10_token_files(spark, sf_dir: str) -> DataFrame:
     path = Scratch(spark).path("tokens")
     token_files.write(
@@ -24,6 +38,7 @@ def op10_token_files(spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_pieces": op5_pieces,
     "op10_token_files": op10_token_files,
 }
 ORACLES: dict[str, str] = {}
