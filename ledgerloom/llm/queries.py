@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import pieces, token_files
+from ledgerloom.llm import language, pieces, quality, token_files
 from ledgerloom.llm.ship import ship
 from ledgerloom.sources.scratch import Scratch
 
@@ -15,6 +15,24 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _rest(divisor: int):
+    """Remainder of the checksum of ``doc_id`` as text; null counts as empty."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % divisor
+
+
+def op2_quality(spark, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels").where(_rest(5) != 0))
+    return quality.score(docs.withColumn("held_out", _rest(5) == 0), model).drop("text")
+
+
+def op8_language(spark, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs, _rest(4) != 2)
+    rows = docs.select("doc_id", "text", (_rest(4) == 2).alias("held_out"))
+    return language.predict(rows, model).drop("text")
+
+
 def op5_pieces(spark, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -38,7 +56,9 @@ def op10_token_files(spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_quality": op2_quality,
     "op5_pieces": op5_pieces,
+    "op8_language": op8_language,
     "op10_token_files": op10_token_files,
 }
 ORACLES: dict[str, str] = {}
