@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import language, pieces, quality, token_files
+from ledgerloom.llm import decontaminate, language, pieces, quality, token_files
 from ledgerloom.llm.ship import ship
 from ledgerloom.sources.scratch import Scratch
 
@@ -20,6 +20,20 @@ def _rest(divisor: int):
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % divisor
 
 
+def op1_decontaminate(spark, sf_dir: str) -> DataFrame:
+    rows = decontaminate.decontaminate(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Scratch(spark)
+    )
+    return rows.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op2_quality(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit(docs, table(spark, sf_dir, "labels").where(_rest(5) != 0))
@@ -56,6 +70,7 @@ def op10_token_files(spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_quality": op2_quality,
     "op5_pieces": op5_pieces,
     "op8_language": op8_language,
