@@ -265,7 +265,7 @@ def fit(docs: DataFrame, learn: Column, sample: int = SAMPLE) -> Model:
         return train([])
     # places are spread evenly: twice the share that is wanted holds enough
     below = [
-        (r["lang"], int(-(2**63) + min(1.0, 2 * sample / r["count"]) * (2**64 - 1))) for r in counts
+        (r["lang"], min(2**63 - 1, int(2 * sample / r["count"] * 2**64) - 2**63)) for r in counts
     ]
     limits = docs.sparkSession.createDataFrame(below, "lang string, below long")
     near = known.join(F.broadcast(limits), "lang").where("place <= below").drop("below")
