@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, language, pieces, quality, token_files
+from ledgerloom.llm import decontaminate, language, pieces, quality, simhash, token_files
 from ledgerloom.llm.ship import ship
 from ledgerloom.sources.scratch import Scratch
 
@@ -40,6 +40,11 @@ def op2_quality(spark, sf_dir: str) -> DataFrame:
     return quality.score(docs.withColumn("held_out", _rest(5) == 0), model).drop("text")
 
 
+def op6_simhash(spark, sf_dir: str) -> DataFrame:
+    rows = simhash.near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark))
+    return rows.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+
+
 def op8_language(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language.fit(docs, _rest(4) != 2)
@@ -73,6 +78,7 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_quality": op2_quality,
     "op5_pieces": op5_pieces,
+    "op6_simhash": op6_simhash,
     "op8_language": op8_language,
     "op10_token_files": op10_token_files,
 }
