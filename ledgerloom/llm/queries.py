@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, language, pieces, quality, simhash, token_files
+from ledgerloom.llm import decontaminate, language, pieces, quality, secrets, simhash, token_files
 from ledgerloom.llm.ship import ship
 from ledgerloom.sources.scratch import Scratch
 
@@ -52,6 +52,23 @@ def op8_language(spark, sf_dir: str) -> DataFrame:
     return language.predict(rows, model).drop("text")
 
 
+def op3_secrets(spark, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = secrets.scan(
+        docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+
+    def of(*kinds: str):
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    return rows.select(
+        "doc_id",
+        *[F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in secrets.KINDS],
+        F.sha2(secrets.written(of(*secrets.BASE)), 256).alias("base_sha256"),
+        secrets.written(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_pieces(spark, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -77,6 +94,7 @@ def op10_token_files(spark, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_quality": op2_quality,
+    "op3_secrets": op3_secrets,
     "op5_pieces": op5_pieces,
     "op6_simhash": op6_simhash,
     "op8_language": op8_language,
