@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, language, pieces, quality, secrets, simhash, token_files
+from ledgerloom.llm import decontaminate, extract, language, pieces, quality, secrets, simhash, token_files
 from ledgerloom.llm.ship import ship
 from ledgerloom.sources.scratch import Scratch
 
@@ -69,6 +69,11 @@ def op3_secrets(spark, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_extract(spark, sf_dir: str) -> DataFrame:
+    rows = extract.extract(table(spark, sf_dir, "pages"), Scratch(spark))
+    return rows.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op5_pieces(spark, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -95,6 +100,7 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_quality": op2_quality,
     "op3_secrets": op3_secrets,
+    "op4_extract": op4_extract,
     "op5_pieces": op5_pieces,
     "op6_simhash": op6_simhash,
     "op8_language": op8_language,
