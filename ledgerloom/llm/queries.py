@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, extract, language, pieces, quality, secrets, simhash, token_files
+from ledgerloom.llm import decontaminate, embeddings, extract, language, pieces, quality, secrets, simhash, token_files
 from ledgerloom.llm.ship import ship
 from ledgerloom.sources.scratch import Scratch
 
@@ -87,6 +87,10 @@ def op5_pieces(spark, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_embeddings(spark, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), Scratch(spark))
+
+
 def op10_token_files(spark, sf_dir: str) -> DataFrame:
     path = Scratch(spark).path("tokens")
     token_files.write(
@@ -104,6 +108,7 @@ QUERIES = {
     "op5_pieces": op5_pieces,
     "op6_simhash": op6_simhash,
     "op8_language": op8_language,
+    "op9_embeddings": op9_embeddings,
     "op10_token_files": op10_token_files,
 }
 ORACLES: dict[str, str] = {}
