@@ -183,10 +183,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, scratch: Scratch) -> DataFr
         .groupBy(*keys)
         .agg(F.sort_array(F.collect_list("item")).alias("items"))
     )
-    per_text = _same_row(spans, listed, keys, "left")
+    per_text = same_row(spans, listed, keys, "left")
     none = F.array()
     return (
-        _same_row(counted, per_text, keys, "left")
+        same_row(counted, per_text, keys, "left")
         .withColumn("spans", F.coalesce("spans", none.cast("array<struct<begin:int,end:int>>")))
         .withColumn("items", F.coalesce("items", none.cast("array<string>")))
         .withColumn("n_items", F.size("items").cast("long"))
@@ -198,7 +198,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, scratch: Scratch) -> DataFr
     )
 
 
-def _same_row(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+def same_row(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Join on all ``keys``, where null equals null."""
     renamed = right.withColumnsRenamed({k: f"__{k}" for k in keys})
     same = [left[k].eqNullSafe(renamed[f"__{k}"]) for k in keys]
@@ -230,7 +230,7 @@ def _extended(rows: DataFrame, counted: DataFrame, hits: DataFrame, windows: Dat
         ),
     )
     return (
-        _same_row(rows.where("text is not null"), starts, keys, "inner")
+        same_row(rows.where("text is not null"), starts, keys, "inner")
         .select(*keys, "hits", words(F.col("text")).alias("words"))
         .select(*keys, "words", F.explode(F.array_distinct(F.flatten(long_texts))).alias("w"))
         .where((F.col("w.begin") >= 0) & (F.col("w.begin") + F.col("w.length") <= size))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, embeddings, extract, language, pieces, quality, secrets, simhash, token_files
+from ledgerloom.llm import decontaminate, embeddings, extract, language, licenses, pieces, quality, secrets, simhash, token_files
 from ledgerloom.llm.ship import ship
 from ledgerloom.sources.scratch import Scratch
 
@@ -45,6 +45,12 @@ def op6_simhash(spark, sf_dir: str) -> DataFrame:
     return rows.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
 
 
+def op7_licenses(spark, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = licenses.of_documents(docs, licenses.fit(docs), Scratch(spark))
+    return rows.withColumn("families", F.array_join("families", ","))
+
+
 def op8_language(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language.fit(docs, _rest(4) != 2)
@@ -107,6 +113,7 @@ QUERIES = {
     "op4_extract": op4_extract,
     "op5_pieces": op5_pieces,
     "op6_simhash": op6_simhash,
+    "op7_licenses": op7_licenses,
     "op8_language": op8_language,
     "op9_embeddings": op9_embeddings,
     "op10_token_files": op10_token_files,
