@@ -42,11 +42,33 @@ def lower() -> np.ndarray:
     return np.array([ord(x) if len(x := chr(c).lower()) == 1 else c for c in range(CODES)], np.uint32)
 
 
+@cache
+def multipliers64() -> np.ndarray:
+    return np.random.default_rng(42).integers(0, 2**64, LONGEST, np.uint64, endpoint=False)
+
+
+LONGEST = 4096
+
+
+def part_hashes(codes: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """64-bit hash of each part that goes from one of ``begin`` to the next.
+
+    A sum of codes times random numbers by place, which repeat after ``LONGEST``.
+    """
+    length = np.diff(np.append(begin, len(codes)))
+    place = np.arange(begin[0], len(codes)) - np.repeat(begin, length)
+    value = codes[begin[0] :].astype(np.uint64)
+    value *= multipliers64()[place & LONGEST - 1]
+    h = np.add.reduceat(value, begin - begin[0], dtype=np.uint64)
+    return h ^ (length.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
 @dataclass
 class Codes:
-    """``codes`` of all texts with a space before, between and after them;
-    text ``i`` is ``codes[starts[i]:ends[i]]``."""
+    """``joined`` is all texts with a space before, between and after them, ``codes``
+    its code points; text ``i`` is ``codes[starts[i]:ends[i]]``."""
 
+    joined: str
     codes: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
@@ -57,7 +79,7 @@ class Codes:
         ends = np.cumsum(lengths + 1)
         joined = " " + " ".join(texts) + " "
         codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
-        return cls(codes, ends - lengths, ends)
+        return cls(joined, codes, ends - lengths, ends)
 
     def owner(self, places: np.ndarray) -> np.ndarray:
         """The text that holds each place."""

@@ -16,8 +16,6 @@ empty file set with the same schema.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.llm.arrow import int_lists, slices, texts_of
-from ledgerloom.llm.memo import Memo
+from ledgerloom.llm.codes import Codes
+from ledgerloom.llm.parts import PartStore
 
 END_ID = 0
 WRITER = {
@@ -38,14 +37,19 @@ WRITER = {
     "parquet.writer.version": "PARQUET_2_0",
 }
 
-#: Characters for which the two splitting rules agree: ASCII without the
-#: separators 1C-1F, and the letters of Latin-1 and Latin Extended.
-PLAIN = re.compile("[^\x00-\x1b\x20-\x7fÀ-ÖØ-öø-ɏ]")
-#: The byte-level splitting rule, for such characters.
-WORDS = re.compile(
-    "'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+"
-    "| ?[^\\sA-Za-z0-9À-ÖØ-öø-ɏ]+|\\s+(?!\\S)|\\s+"
-)
+#: Kinds of characters for the byte-level splitting rule; any other is OTHER.
+SPACE, LETTER, DIGIT, SIGN, OTHER = range(5)
+KINDS = np.full(0x251, OTHER, np.uint8)
+for code in range(0x250):
+    char = chr(code)
+    if char in "\t\n\v\f\r ":
+        KINDS[code] = SPACE
+    elif char.isalpha() and (code < 0x80 or code >= 0xC0):
+        KINDS[code] = LETTER
+    elif char in "0123456789":
+        KINDS[code] = DIGIT
+    elif 0x20 < code < 0x7F and char != "'":
+        KINDS[code] = SIGN
 
 FILES = T.StructType(
     [
@@ -61,9 +65,11 @@ FILES = T.StructType(
 class Encoder:
     """The tokenizers library over whole texts, remembering words.
 
-    A text of plain characters is split as the library's byte-level rule does,
-    and each distinct word is encoded by the library once; any other text, and
-    one that holds a special token, is given to the library whole.
+    The byte-level rule cuts a text into runs of one kind of character, with a
+    single space before them, and encodes each on its own.  For texts of ASCII
+    and Latin letters without apostrophes and double spaces the cuts are found
+    here, and each distinct part is encoded by the library once; any other
+    text, and one that holds a special token, is given to the library whole.
     """
 
     _made: dict[str, "Encoder"] = {}
@@ -77,7 +83,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         added = self.tokenizer.get_added_tokens_decoder()
         self.special = [t.content for t in added.values()]
-        self.memo = Memo(lambda word: self._many([word])[0])
+        self.store = PartStore(self._many)
 
     @classmethod
     def of(cls, path: str) -> "Encoder":
@@ -85,37 +91,50 @@ class Encoder:
             cls._made[path] = cls(path)
         return cls._made[path]
 
-    def _many(self, words: list[str]) -> list[bytes]:
-        made = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, np.int32).tobytes() for e in made]
-
-    def batch(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian 32-bit integers."""
-        split = [
-            None if PLAIN.search(t) or any(s in t for s in self.special) else WORDS.findall(t)
-            for t in texts
-        ]
-        self.memo.warm(set().union(*filter(None, split)), self._many)
-        look, out = self.memo.__getitem__, []
-        for text, words in zip(texts, split, strict=True):
-            if words is None:
-                out.append(self._many([text])[0])
-            else:
-                out.append(b"".join(map(look, words)))
+    def _many(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def batch(self, texts: list[str]) -> list[np.ndarray]:
+        """Each text's ids."""
+        laid = Codes.of(texts)
+        kind = KINDS[np.minimum(laid.codes, len(KINDS) - 1)]
+        space, blank = kind == SPACE, laid.codes == 32
+        odd = kind == OTHER
+        odd[1:] |= space[1:] & space[:-1]
+        # the spaces around a text are no part of it
+        odd[laid.starts - 1] = odd[laid.ends] = False
+        whole = np.logical_or.reduceat(odd, np.minimum(laid.starts, len(odd) - 1))
+        whole[laid.starts == laid.ends] = False
+        cut = np.empty(len(kind), bool)
+        cut[0] = True
+        cut[1:] = (kind[1:] != kind[:-1]) & (space[1:] | ~blank[:-1])
+        cut[laid.starts] = cut[laid.ends] = True
+        begin = np.flatnonzero(cut)
+        for i, text in enumerate(texts):
+            if any(s in text for s in self.special):
+                whole[i] = True
+        ids, after = self.store.encode(laid.codes, laid.joined, begin)
+        # the spaces between texts are parts of their own, left out here
+        low = after[np.searchsorted(begin, laid.starts)]
+        high = after[np.searchsorted(begin, laid.ends)]
+        out = [ids[a:b] for a, b in zip(low, high, strict=True)]
+        apart = np.flatnonzero(whole)
+        for i, made in zip(apart, self._many([texts[i] for i in apart]), strict=True):
+            out[i] = np.array(made, np.int32)
         return out
 
 
 def encode(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     """Documents in ascending ``doc_id`` order as rows of the file format."""
-    end = np.array([end_id], np.int32).tobytes()
+    end = np.int32(end_id)
 
     def run(batches):
         from pyspark import TaskContext
 
         encoder, shard, before = Encoder.of(tokenizer), TaskContext.get().partitionId(), 0
         for batch in slices(batches, "text"):
-            ids = [b + end for b in encoder.batch(texts_of(batch, "text"))]
-            lengths = np.array([len(b) // 4 for b in ids], np.int64)
+            ids = [np.append(x, end) for x in encoder.batch(texts_of(batch, "text"))]
+            lengths = np.array([len(x) for x in ids], np.int64)
             starts = before + np.concatenate([[0], np.cumsum(lengths)[:-1]])
             before += int(lengths.sum())
             yield pa.RecordBatch.from_arrays(
@@ -124,7 +143,7 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
                     pa.array(np.full(len(ids), shard, np.int32)),
                     pa.array(starts.astype(np.int64)),
                     pa.array(lengths),
-                    int_lists(np.frombuffer(b"".join(ids), np.int32), lengths),
+                    int_lists(np.concatenate(ids), lengths),
                 ],
                 names=FILES.names,
             )
@@ -148,11 +167,11 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     """The files' rows with ``start``: the number of ids of all documents before."""
     rows = spark.read.schema(FILES).parquet(path)
     totals = rows.groupBy("shard").agg(F.sum("n_tokens").alias("total"))
-    # one row per file: a window over all of them stays small
+    # one row per write task: a window over all of them, and their broadcast, stay small
     before = totals.selectExpr(
         "shard", "coalesce(sum(total) over (order by shard rows between unbounded preceding and 1 preceding), 0) as base"
     )
-    return rows.join(before, "shard").withColumn("start", F.col("base") + F.col("offset")).drop("base")
+    return rows.join(F.broadcast(before), "shard").withColumn("start", F.col("base") + F.col("offset")).drop("base")
 
 
 def span(rows: DataFrame, begin: int, end: int) -> DataFrame:
