@@ -129,7 +129,9 @@ def _windows(items: DataFrame) -> DataFrame:
         .select(
             "item_id",
             F.least(size, F.lit(WINDOW)).alias("length"),
-            F.explode(
+            # not explode: the filter inferred for it would repeat the words'
+            # expression once for each word
+            F.explode_outer(
                 F.transform(
                     F.sequence(F.lit(0), F.greatest(size - WINDOW, F.lit(0))),
                     lambda i: F.array_join(F.slice("words", i + 1, F.least(size, F.lit(WINDOW))), " "),
@@ -232,7 +234,7 @@ def _extended(rows: DataFrame, counted: DataFrame, hits: DataFrame, windows: Dat
     return (
         same_row(rows.where("text is not null"), starts, keys, "inner")
         .select(*keys, "hits", words(F.col("text")).alias("words"))
-        .select(*keys, "words", F.explode(F.array_distinct(F.flatten(long_texts))).alias("w"))
+        .select(*keys, "words", F.explode_outer(F.array_distinct(F.flatten(long_texts))).alias("w"))
         .where((F.col("w.begin") >= 0) & (F.col("w.begin") + F.col("w.length") <= size))
         .select(
             *keys,
