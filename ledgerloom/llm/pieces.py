@@ -23,10 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ledgerloom.llm.arrow import int_lists, slices, texts_of, with_columns
-from ledgerloom.llm.memo import Memo
+from ledgerloom.llm.codes import Codes
+from ledgerloom.llm.parts import PartStore
 
 SPACE = "▁"
-PART = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
 class CharacterMap:
@@ -100,7 +100,7 @@ class Pieces:
         self.unknown = self.decoder.unk_id()
         self.bytes_back = model.trainer_spec.byte_fallback
         self.cut = not self.suffix and not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in pieces)
-        self.memo = Memo(lambda part: self._many([part])[0])
+        self.store = PartStore(lambda parts: self.segmenter.encode(parts, num_threads=1))
 
     @classmethod
     def of(cls, path: str) -> "Pieces":
@@ -188,26 +188,25 @@ class Pieces:
 
     # -- segmentation --------------------------------------------------------
 
-    def _many(self, parts: list[str]) -> list[bytes]:
-        made = self.segmenter.encode(parts, num_threads=1)
-        return [np.array(ids, np.int32).tobytes() for ids in made]
-
-    def parts(self, made: str) -> list[str]:
-        """Cut before each run of word marks: no piece spans such a place."""
-        if not self.cut:
-            return [made] if made else []
-        return PART.findall(made)
-
     def batch(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Each text's ids with the end id, and the places where pieces begin
         and the last one ends."""
         made = [self.normalise(t) for t in texts]
-        split = [self.parts(text) for text, _ in made]
-        self.memo.warm(set().union(*split), self._many)
-        look, end, out = self.memo.__getitem__, np.array([self.end], np.int32), []
-        for (text, places), parts in zip(made, split, strict=True):
-            ids = np.frombuffer(b"".join(map(look, parts)), np.int32)
-            out.append((np.append(ids, end), self._project(text, places, ids)))
+        laid = Codes.of([text for text, _ in made])
+        cut = np.zeros(len(laid.codes), bool)
+        if self.cut:
+            # no piece spans the place before a run of word marks
+            mark = laid.codes == ord(SPACE)
+            cut[1:] = mark[1:] & ~mark[:-1]
+        cut[0] = cut[laid.starts] = cut[laid.ends] = True
+        begin = np.flatnonzero(cut)
+        ids, after = self.store.encode(laid.codes, laid.joined, begin)
+        # what lies between texts is a part of its own, left out here
+        low = after[np.searchsorted(begin, laid.starts)]
+        high = after[np.searchsorted(begin, laid.ends)]
+        end, out = np.int32(self.end), []
+        for (text, places), a, b in zip(made, low, high, strict=True):
+            out.append((np.append(ids[a:b], end), self._project(text, places, ids[a:b])))
         return out
 
     def _project(self, text: str, places: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -226,24 +225,30 @@ class Pieces:
         return np.array([len(p.surface.encode()) for p in proto.pieces], sizes.dtype)
 
 
-def encode(docs: DataFrame, model: str, column: str = "text") -> DataFrame:
+def encode(docs: DataFrame, model: str, column: str = "text", decoded: str | None = None) -> DataFrame:
     """Add ``ids`` (closed by the end id) and ``offsets``: piece ``i`` is bytes
-    ``offsets[i]`` to ``offsets[i + 1]`` of the text in UTF-8."""
+    ``offsets[i]`` to ``offsets[i + 1]`` of the text in UTF-8.
+
+    With ``decoded``, a column of that name has what the ids decode to, as
+    :func:`decode` gives it, without a second pass over the rows.
+    """
 
     def run(batches):
         pieces = Pieces.of(model)
         for batch in slices(batches, column):
             made = pieces.batch(texts_of(batch, column))
             ids, offsets = zip(*made, strict=True)
-            yield with_columns(
-                batch,
-                {
-                    "ids": int_lists(np.concatenate(ids), [len(x) for x in ids]),
-                    "offsets": int_lists(np.concatenate(offsets), [len(x) for x in offsets]),
-                },
-            )
+            added = {
+                "ids": int_lists(np.concatenate(ids), [len(x) for x in ids]),
+                "offsets": int_lists(np.concatenate(offsets), [len(x) for x in offsets]),
+            }
+            if decoded:
+                texts = [pieces.decoder.decode(x.tolist()) for x in ids]
+                added[decoded] = pa.array(texts, pa.string())
+            yield with_columns(batch, added)
 
-    return _mapped(docs, run, {"ids": _INTS, "offsets": _INTS})
+    added = {"ids": _INTS, "offsets": _INTS} | ({decoded: T.StringType()} if decoded else {})
+    return _mapped(docs, run, added)
 
 
 def decode(rows: DataFrame, model: str, column: str = "ids", to: str = "decoded") -> DataFrame:
@@ -252,11 +257,10 @@ def decode(rows: DataFrame, model: str, column: str = "ids", to: str = "decoded"
     def run(batches):
         decoder = Pieces.of(model).decoder
         for batch in batches:
-            lists = batch.column(column)
-            flat = lists.values.to_numpy(zero_copy_only=False)
-            at = lists.offsets.to_numpy()
-            texts = [decoder.decode(flat[a:b].tolist()) for a, b in zip(at[:-1], at[1:], strict=True)]
-            yield with_columns(batch, {to: pa.array(texts, pa.string())})
+            for row in range(0, batch.num_rows, 256):
+                some = batch.slice(row, 256)
+                texts = [decoder.decode(x or []) for x in some.column(column).to_pylist()]
+                yield with_columns(some, {to: pa.array(texts, pa.string())})
 
     return _mapped(rows, run, {to: T.StringType()})
 

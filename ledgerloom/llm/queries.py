@@ -83,8 +83,7 @@ def op4_extract(spark, sf_dir: str) -> DataFrame:
 def op5_pieces(spark, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = pieces.encode(docs, model).drop("text")
-    return pieces.decode(rows, model).select(
+    return pieces.encode(docs, model, decoded="decoded").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
