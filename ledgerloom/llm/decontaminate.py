@@ -147,8 +147,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, scratch: Scratch) -> DataFr
     ``items`` (sorted ids as strings), ``spans`` (hit word ranges, merged) and
     ``contaminated``; ``row_hash`` is the text's.
 
-    ``scratch`` takes the fingerprints of the items and the hits, whose sizes
-    Spark then knows when it chooses how to join them.
+    ``scratch`` takes what is known of the items and the hits, whose sizes Spark
+    then knows when it chooses how to join them.
     """
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("row_hash"))
     keys = ["doc_id", "row_hash"]
@@ -171,8 +171,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, scratch: Scratch) -> DataFr
         "hits",
     )
     counted = hits.where("length = 0").select(*keys, F.col("place").alias("n_words"))
-    found = _extended(rows, counted, hits.where("length > 0"), windows.select("window").distinct())
-    found = scratch.stage(found, "found")
+    starts = scratch.stage(_starts(hits.where("length > 0"), keys), "starts")
+    found = scratch.stage(_extended(rows, starts, windows.select("window").distinct()), "found")
     spans = (
         found.groupBy(*keys)
         .agg(F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("hit"))
@@ -207,14 +207,17 @@ def same_row(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> Da
     return left.join(renamed, same, how).drop(*[f"__{k}" for k in keys])
 
 
-def _extended(rows: DataFrame, counted: DataFrame, hits: DataFrame, windows: DataFrame) -> DataFrame:
-    """The windows around each hit that an item has, by their words."""
-    keys = ["doc_id", "row_hash"]
+def _starts(hits: DataFrame, keys: list[str]) -> DataFrame:
+    """Per row, where windows around its hits may begin."""
     first = F.when(F.col("length") == WINDOW, F.col("place") - (WINDOW - GRAM)).otherwise(F.col("place"))
-    starts = (
-        hits.groupBy(*keys)
-        .agg(F.collect_set(F.struct("length", first.alias("first"), "place")).alias("hits"))
+    return hits.groupBy(*keys).agg(
+        F.collect_set(F.struct("length", first.alias("first"), "place")).alias("hits")
     )
+
+
+def _extended(rows: DataFrame, starts: DataFrame, windows: DataFrame) -> DataFrame:
+    """The windows around each hit that an item has, by their words."""
+    keys = ["doc_id", "row_hash"]
     size = F.size("words")
 
     def around(hit):

@@ -34,15 +34,24 @@ def op1_decontaminate(spark, sf_dir: str) -> DataFrame:
     )
 
 
+def learned_rows(labels: DataFrame) -> DataFrame:
+    """The labels that the quality classifier may learn from."""
+    return labels.where(_rest(5) != 0)
+
+
 def op2_quality(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = quality.fit(docs, table(spark, sf_dir, "labels").where(_rest(5) != 0))
+    model = quality.fit(docs, learned_rows(table(spark, sf_dir, "labels")))
     return quality.score(docs.withColumn("held_out", _rest(5) == 0), model).drop("text")
 
 
 def op6_simhash(spark, sf_dir: str) -> DataFrame:
     rows = simhash.near_duplicates(table(spark, sf_dir, "documents"), Scratch(spark))
-    return rows.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+    return rows.select(
+        "doc_id",
+        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
 
 
 def op7_licenses(spark, sf_dir: str) -> DataFrame:

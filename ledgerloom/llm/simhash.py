@@ -61,19 +61,20 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id`` and ``fingerprint``, its bits as a signed 64-bit integer."""
+    """``doc_id``, ``row_hash`` (the text's) and ``fingerprint``, its bits as a
+    signed 64-bit integer."""
 
     def run(batches):
         for batch in slices(batches, "text"):
             found = [fingerprint(t, shingle) for t in texts_of(batch, "text")]
             bits = np.array(found, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(bits)], names=["doc_id", "fingerprint"]
+                [batch.column("doc_id"), batch.column("row_hash"), pa.array(bits)],
+                names=["doc_id", "row_hash", "fingerprint"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, fingerprint long"
-    )
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("row_hash"), "text")
+    return rows.mapInArrow(run, "doc_id long, row_hash long, fingerprint long")
 
 
 def _blocks(left: int, radius: int) -> list[tuple[int, int]]:
@@ -272,7 +273,8 @@ def near_duplicates(
     radius: int = RADIUS,
     most: int = MOST,
 ) -> DataFrame:
-    """``doc_id``, ``fingerprint`` (signed) and ``component_id`` of every row."""
+    """``doc_id``, ``row_hash``, ``fingerprint`` (signed), ``component_id`` and
+    ``root``, the component's least fingerprint, of every row."""
     prints = scratch.stage(fingerprints(docs, shingle), "prints")
     distinct = scratch.stage(
         prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "distinct"
@@ -283,5 +285,7 @@ def near_duplicates(
         "root", F.coalesce("root", "fingerprint")
     )
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = linked.join(least, "root").select("fingerprint", "component_id")
-    return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    named = linked.join(least, "root").select("fingerprint", "component_id", "root")
+    return prints.join(named, "fingerprint").select(
+        "doc_id", "row_hash", "fingerprint", "component_id", "root"
+    )
