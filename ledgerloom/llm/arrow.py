@@ -2,15 +2,46 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+
+from ledgerloom.llm.ship import ship
+
 SLICE_BYTES = 1 << 20
 
 
+def release() -> None:
+    """Give memory that is free back to the machine; workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def map_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` whose function may use this package on any executor."""
+    ship(df.sparkSession)
+
+    def bounded(batches):
+        yield from run(batches)
+        release()
+
+    return df.mapInArrow(bounded, schema)
+
+
+def adding(df: DataFrame, run, added: dict[str, T.DataType]) -> DataFrame:
+    """``df`` with the columns that ``run`` adds, replacing equal names."""
+    kept = [f for f in df.schema if f.name not in added]
+    return map_arrow(df, run, T.StructType(kept + [T.StructField(n, t) for n, t in added.items()]))
+
+
 def slices(batches, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that ``column`` holds about ``most`` bytes in each.
 
@@ -26,6 +57,7 @@ def slices(batches, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordB
                 start, held = offset, 0
         if start < batch.num_rows:
             yield batch.slice(start)
+        release()
 
 
 def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:

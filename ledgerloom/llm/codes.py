@@ -96,14 +96,15 @@ class Codes:
 
 def ngrams(codes: np.ndarray, n: int, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of the ``n`` codes from each place on, and whether its inner
-    codes are all ``inside`` a word (the first and last may be its edge)."""
-    size = len(codes) - n + 1
-    h = np.full(max(size, 0), n, np.uint32)
+    codes are all ``inside`` a word (the first and last may be its edge); false
+    where fewer codes are left."""
+    size = max(len(codes) - n + 1, 0)
+    h, ok = np.full(len(codes), n, np.uint32), np.zeros(len(codes), bool)
     for i in range(n):
-        h += codes[i : i + size] * MULTIPLIERS[i]
-    ok = inside[1 : 1 + size].copy()
+        h[:size] += codes[i : i + size] * MULTIPLIERS[i]
+    ok[:size] = inside[1 : 1 + size]
     for i in range(2, n - 1):
-        ok &= inside[i : i + size]
+        ok[:size] &= inside[i : i + size]
     return mixed(h), ok
 
 

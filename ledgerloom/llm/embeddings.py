@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.arrow import map_arrow
 from ledgerloom.llm.components import components
 from ledgerloom.llm.cover_tree import SLACK, threshold_links
 from ledgerloom.sources.scratch import Scratch
@@ -105,8 +106,10 @@ def _placed(nodes: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
                 names=["node", "embedding", "copies", "size", "cell", "apart"],
             )
 
-    return nodes.select("node", "embedding", "copies").mapInArrow(
-        run, "node long, embedding array<float>, copies long, size int, cell int, apart double"
+    return map_arrow(
+        nodes.select("node", "embedding", "copies"),
+        run,
+        "node long, embedding array<float>, copies long, size int, cell int, apart double",
     )
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.arrow import slices, texts_of, with_columns
+from ledgerloom.llm.arrow import adding, slices, texts_of, with_columns
 from ledgerloom.llm.codes import MULTIPLIERS, Codes, is_letter, lower, mixed, ngrams, words
 
 BITS = 16
@@ -189,7 +189,8 @@ class Model:
             return [UNKNOWN] * len(texts), np.zeros(len(texts))
         owner, share = self.marginals(texts)
         count = np.bincount(owner, minlength=len(texts))
-        mean = np.stack([np.bincount(owner, share[:, k], len(texts)) for k in range(size)], 1)
+        sums = [np.bincount(owner, share[:, k], len(texts)) for k in range(size)]
+        mean = np.stack(sums, 1).astype(np.float64)
         mean /= np.maximum(count, 1)[:, None]
         best = mean.argmax(1)
         return (
@@ -288,6 +289,4 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 batch, {"lang_pred": pa.array(lang, pa.string()), "score": pa.array(value)}
             )
 
-    added = {"lang_pred": T.StringType(), "score": T.DoubleType()}
-    kept = [f for f in docs.schema if f.name not in added]
-    return docs.mapInArrow(run, T.StructType(kept + [T.StructField(n, t) for n, t in added.items()]))
+    return adding(docs, run, {"lang_pred": T.StringType(), "score": T.DoubleType()})

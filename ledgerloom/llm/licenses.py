@@ -231,13 +231,16 @@ def scan(docs: DataFrame, model: Model, scratch: Scratch) -> DataFrame:
         ],
         "gram, listed",
     ).select("gram", F.split("listed", " ").cast("array<double>").alias("w"))
-    listed = _paragraphs(rows, keys).select(*keys, "place", grams(F.col("words")).alias("grams"))
+    # equal rows are summed up apart: their place in the scan tells them from each other
+    own = [*keys, "row"]
+    listed = _paragraphs(rows.withColumn("row", F.monotonically_increasing_id()), own)
+    listed = listed.select(*own, "place", grams(F.col("words")).alias("grams"))
     sums = (
         # not explode: the filter that Spark infers for it would repeat the grams'
         # expressions below, down to the words once for each of them
-        listed.select(*keys, "place", F.size("grams").alias("n"), F.explode_outer("grams").alias("gram"))
+        listed.select(*own, "place", F.size("grams").alias("n"), F.explode_outer("grams").alias("gram"))
         .join(F.broadcast(weights), "gram")  # as many as the templates have
-        .groupBy(*keys, "place", "n")
+        .groupBy(*own, "place", "n")
         .agg(*[F.sum(F.get("w", F.lit(i))).alias(f"s{i}") for i in range(size)])
     )
     logits = F.array(
@@ -262,6 +265,8 @@ def scan(docs: DataFrame, model: Model, scratch: Scratch) -> DataFrame:
             ).alias("family"),
         )
         .where(F.col("probability") >= model.least)
+        .groupBy(*keys, "place", "family")
+        .agg(F.max("probability").alias("probability"))
     )
     predicted = scratch.stage(predicted, "predicted")
     return _confirmed(rows, predicted, keys)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ledgerloom.llm.arrow import int_lists, slices, texts_of, with_columns
+from ledgerloom.llm.arrow import adding, int_lists, slices, texts_of, with_columns
 from ledgerloom.llm.codes import Codes
 from ledgerloom.llm.parts import PartStore
 
@@ -248,7 +248,7 @@ def encode(docs: DataFrame, model: str, column: str = "text", decoded: str | Non
             yield with_columns(batch, added)
 
     added = {"ids": _INTS, "offsets": _INTS} | ({decoded: T.StringType()} if decoded else {})
-    return _mapped(docs, run, added)
+    return adding(docs, run, added)
 
 
 def decode(rows: DataFrame, model: str, column: str = "ids", to: str = "decoded") -> DataFrame:
@@ -262,12 +262,7 @@ def decode(rows: DataFrame, model: str, column: str = "ids", to: str = "decoded"
                 texts = [decoder.decode(x or []) for x in some.column(column).to_pylist()]
                 yield with_columns(some, {to: pa.array(texts, pa.string())})
 
-    return _mapped(rows, run, {to: T.StringType()})
+    return adding(rows, run, {to: T.StringType()})
 
 
 _INTS = T.ArrayType(T.IntegerType(), False)
-
-
-def _mapped(df: DataFrame, run, added: dict[str, T.DataType]) -> DataFrame:
-    kept = [f for f in df.schema if f.name not in added]
-    return df.mapInArrow(run, T.StructType(kept + [T.StructField(n, t) for n, t in added.items()]))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.arrow import int_lists, slices, texts_of, with_columns
+from ledgerloom.llm.arrow import adding, int_lists, map_arrow, slices, texts_of, with_columns
 from ledgerloom.llm.codes import Codes, is_space, mixed, ngrams, words
 
 BITS = 16
@@ -171,13 +171,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
                 names=["quality", "buckets", "counts"],
             )
 
-    rows = (
-        texts.join(F.broadcast(picked), "doc_id")  # bounded by the sample
-        .select("doc_id", "quality", "text")
-        .mapInArrow(run, "quality int, buckets array<int>, counts array<int>")
-        .toArrow()
-    )
-    return train(_rows_of(rows), count.get(1, 0) / sum(count.values()))
+    labelled = texts.join(F.broadcast(picked), "doc_id").select("quality", "text")  # the sample
+    rows = map_arrow(labelled, run, "quality int, buckets array<int>, counts array<int>")
+    return train(_rows_of(rows.toArrow()), count.get(1, 0) / sum(count.values()))
 
 
 def _rows_of(rows: pa.Table) -> list[tuple[int, np.ndarray, np.ndarray]]:
@@ -201,6 +197,4 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
                 {"score": pa.array(value), "predicted": pa.array((value >= threshold).astype(np.int32))},
             )
 
-    added = {"score": T.DoubleType(), "predicted": T.IntegerType()}
-    kept = [f for f in docs.schema if f.name not in added]
-    return docs.mapInArrow(run, T.StructType(kept + [T.StructField(n, t) for n, t in added.items()]))
+    return adding(docs, run, {"score": T.DoubleType(), "predicted": T.IntegerType()})

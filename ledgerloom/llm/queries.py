@@ -7,12 +7,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontaminate, embeddings, extract, language, licenses, pieces, quality, secrets, simhash, token_files
-from ledgerloom.llm.ship import ship
 from ledgerloom.sources.scratch import Scratch
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
-    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _rest(divisor: int):

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.arrow import slices, texts_of, with_columns
+from ledgerloom.llm.arrow import adding, slices, texts_of, with_columns
 
 KINDS = ("assign", "access", "hex", "random")
 BASE = KINDS[:3]
@@ -162,8 +162,7 @@ def scan(docs: DataFrame, ranks: str, pattern: str, column: str = "text") -> Dat
             made = pa.ListArray.from_arrays(pa.array(ends), items).cast(_SPANS)
             yield with_columns(batch, {"spans": made})
 
-    kept = [f for f in docs.schema if f.name != "spans"]
-    return docs.mapInArrow(run, T.StructType([*kept, T.StructField("spans", SPANS)]))
+    return adding(docs, run, {"spans": SPANS})
 
 
 def written(spans: Column) -> Column:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.arrow import slices, texts_of
+from ledgerloom.llm.arrow import map_arrow, slices, texts_of
 from ledgerloom.llm.components import components
 from ledgerloom.sources.scratch import Scratch
 
@@ -74,7 +74,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("row_hash"), "text")
-    return rows.mapInArrow(run, "doc_id long, row_hash long, fingerprint long")
+    return map_arrow(rows, run, "doc_id long, row_hash long, fingerprint long")
 
 
 def _blocks(left: int, radius: int) -> list[tuple[int, int]]:
@@ -257,12 +257,8 @@ def _compare(rows: DataFrame, radius: int) -> DataFrame:
         if count:
             yield links(True)
 
-    return (
-        rows.repartition("bucket")
-        .sortWithinPartitions("bucket")
-        .select("fingerprint", "bucket")
-        .mapInArrow(run, "a long, b long")
-    )
+    together = rows.repartition("bucket").sortWithinPartitions("bucket")
+    return map_arrow(together.select("fingerprint", "bucket"), run, "a long, b long")
 
 
 def near_duplicates(

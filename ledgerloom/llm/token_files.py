@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.arrow import int_lists, slices, texts_of
+from ledgerloom.llm.arrow import int_lists, map_arrow, slices, texts_of
 from ledgerloom.llm.codes import Codes
 from ledgerloom.llm.parts import PartStore
 
@@ -156,7 +156,7 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
         .sortWithinPartitions("doc_id", "tie", "text")
         .select(F.col("doc_id").cast("long"), "text")
     )
-    return ordered.mapInArrow(run, FILES)
+    return map_arrow(ordered, run, FILES)
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, **options) -> None:
@@ -195,5 +195,5 @@ def crc32_of_ids(rows: DataFrame, columns: list[str]) -> DataFrame:
             )
 
     kinds = T.StructType([rows.schema[c] for c in columns] + [T.StructField("ids_crc32", T.LongType())])
-    return rows.select(*columns, "ids").mapInArrow(run, kinds)
+    return map_arrow(rows.select(*columns, "ids"), run, kinds)
 
