@@ -234,8 +234,9 @@ def _extended(rows: DataFrame, starts: DataFrame, windows: DataFrame) -> DataFra
             lambda w: F.struct((w["begin"] + turn * PLACES).alias("begin"), w["length"].alias("length")),
         ),
     )
+    # merged at any size: hits grow with the documents, so does what is shuffled
     return (
-        same_row(rows.where("text is not null"), starts, keys, "inner")
+        same_row(rows.where("text is not null"), starts.hint("merge"), keys, "inner")
         .select(*keys, "hits", words(F.col("text")).alias("words"))
         .select(*keys, "words", F.explode_outer(F.array_distinct(F.flatten(long_texts))).alias("w"))
         .where((F.col("w.begin") >= 0) & (F.col("w.begin") + F.col("w.length") <= size))
