@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.queries import TERMS, TEXT_TERMS
+from checks.queries import PRODUCT_KEYS, TERMS, TEXT_TERMS
 from checks.raw import raw_sql
 from ledgerloom.schemas import (
     CATEGORIES,
@@ -109,14 +109,17 @@ FROM ranged JOIN stats ON snapshot_date = d"""
 CLEAN_LEDGER = f"""
 WITH counted AS (
   SELECT *, installment_num AS mob,
-    coalesce(try_cast(ceil(overdue_amt / nullif(due_amt, 0)) AS int), 0) AS installments_missed
+    CASE WHEN overdue_amt IS NULL OR due_amt IS NULL OR due_amt = 0 THEN 0 ELSE cast(greatest(least(
+      ceil(overdue_amt / due_amt), 2147483647), -2147483647) AS int) END AS installments_missed
   FROM ({raw_sql('loan_daily')}) r),
 filled AS (
   SELECT loan_id, Customer_ID, loan_start_date, coalesce(tenure, 0) AS tenure, installment_num,
     loan_amt, due_amt, paid_amt, coalesce(overdue_amt, 0) AS overdue_amt, balance, snapshot_date,
     mob, installments_missed FROM counted),
 dated AS (
-  SELECT *, CASE WHEN installments_missed > 0
+  SELECT *, CASE
+    WHEN installments_missed > (year(snapshot_date) - 1900) * 12 + month(snapshot_date) - 1
+    THEN DATE '1900-01-01' WHEN installments_missed > 0
     THEN cast(snapshot_date - to_months(installments_missed) AS date) END AS first_missed_date
   FROM filled)
 SELECT *, cast(CASE WHEN overdue_amt > 0 THEN snapshot_date - first_missed_date ELSE 0 END AS int) AS dpd
@@ -173,6 +176,31 @@ LEFT JOIN {c}_v ON {c}_v.snapshot_date = complete.snapshot_date AND {c}_v.v = co
 LEFT JOIN {c}_n ON {c}_n.snapshot_date = complete.snapshot_date''' for c in CATEGORIES)}"""
 
 
+def _latest(rows: str, columns) -> str:
+    """One row per customer and date: of several, the greatest in column order."""
+    listed = ", ".join(f"{c} DESC NULLS LAST" for c in columns)
+    return (
+        f"SELECT * FROM ({rows}) q QUALIFY row_number() OVER "
+        f"(PARTITION BY Customer_ID, snapshot_date ORDER BY {listed}) = 1"
+    )
+
+
+JOINED_AS_OF = f"""
+fin AS (
+  SELECT Customer_ID, snapshot_date, {', '.join(_SIDE_NUMERIC)},
+    {', '.join(c for c in PLAIN_CATEGORIES if c != 'Occupation')},
+    {flags('Type_of_Loan', LOAN_TYPES)}, {MONTHS.format(x='Credit_History_Age')} AS Credit_History_Month
+  FROM ({clean_financials()}) f),
+fin1 AS ({_latest('SELECT * FROM fin', _SIDE_NUMERIC)}),
+att1 AS ({_latest(f'SELECT Customer_ID, snapshot_date, Age, Occupation FROM ({CLEAN_ATTRIBUTES}) a', ['Age', 'Occupation'])}),
+clicks AS ({CLEAN_CLICKSTREAM}),
+joined AS (
+  SELECT c.*, a.Age, a.Occupation, f.* EXCLUDE (Customer_ID, snapshot_date)
+  FROM clicks c ASOF JOIN att1 a ON c.Customer_ID = a.Customer_ID AND c.snapshot_date >= a.snapshot_date
+  ASOF JOIN fin1 f ON c.Customer_ID = f.Customer_ID AND c.snapshot_date >= f.snapshot_date)"""
+FEATURE_STORE_AS_OF = FEATURE_STORE.replace(JOINED, JOINED_AS_OF)
+
+
 def _counted(layer: str, table: str, rows: str) -> str:
     return (
         f"SELECT '{layer}' AS layer, '{table}' AS table_name, snapshot_date, count(*) AS n "
@@ -232,6 +260,23 @@ EVENT_TYPE = "CASE WHEN event_id % 9 <> 0 THEN event_type END"
 INDEX_PROPS = _index(
     {"event_type": "event_type", "props": "CASE WHEN event_id % 9 <> 0 THEN props END"}
 )
+INDEX_TEXTS = """
+WITH t AS (SELECT source, text, row_number() OVER (PARTITION BY source ORDER BY count(*) DESC, text) - 1 AS slot
+  FROM documents WHERE text IS NOT NULL GROUP BY 1, 2),
+l AS (SELECT source, lang, row_number() OVER (PARTITION BY source ORDER BY count(*) DESC, lang) - 1 AS slot
+  FROM documents WHERE lang IS NOT NULL GROUP BY 1, 2),
+tn AS (SELECT source, count(*) AS n FROM t GROUP BY 1), ln AS (SELECT source, count(*) AS n FROM l GROUP BY 1)
+SELECT doc_id, d.source, d.lang, cast(coalesce(t.slot, tn.n, 0) AS int) AS text_index,
+  cast(coalesce(l.slot, ln.n, 0) AS int) AS lang_index
+FROM documents d LEFT JOIN t ON d.source = t.source AND d.text = t.text
+LEFT JOIN l ON d.source = l.source AND d.lang = l.lang
+LEFT JOIN tn ON d.source = tn.source LEFT JOIN ln ON d.source = ln.source"""
+INDEX_FROZEN = f"""
+WITH e AS (SELECT {EVENTS}, {EVENT_TYPE} AS event_type FROM events),
+v AS (SELECT event_type AS v, row_number() OVER (ORDER BY count(*) DESC, event_type) - 1 AS slot FROM e
+  WHERE event_type IS NOT NULL AND snapshot_date = (SELECT min(snapshot_date) FROM e) GROUP BY 1)
+SELECT e.*, cast(coalesce(slot, (SELECT count(*) FROM v)) AS int) AS event_type_index
+FROM e LEFT JOIN v ON event_type = v"""
 FEATURE_JOIN = f"""
 SELECT user_id, {EVENTS}, event_type, c_mktsegment, c_acctbal, orders, largest
 FROM events JOIN customer ON user_id = c_custkey
@@ -291,7 +336,8 @@ SELECT l_orderkey, snapshot_date, CASE WHEN price > p_hi THEN m ELSE price END A
     "q_quantiles_by_month": """
 SELECT cast(date_trunc('month', l_shipdate) AS date) AS snapshot_date,
   quantile_disc(l_extendedprice, 0.5) AS price_p50, quantile_disc(l_extendedprice, 0.99) AS price_p99,
-  quantile_disc(l_partkey, 0.5) AS part_p50,
+  quantile_disc(l_extendedprice, 0.07) AS price_p7, quantile_disc(l_extendedprice, 0.14) AS price_p14,
+  quantile_disc(l_partkey, 0.5) AS part_p50, quantile_disc(l_partkey, 0.07) AS part_p7,
   quantile_disc(l_linenumber, 0.5) AS line_p50, quantile_disc(l_linenumber, 0.99) AS line_p99
 FROM lineitem GROUP BY 1""",
     "q_approx_median_error": """
@@ -331,7 +377,13 @@ SELECT cast(date_trunc('month', o_orderdate) AS date), 'o_orderstatus', o_orders
 FROM orders GROUP BY 1, 3""",
     "q_index": _index({"event_type": EVENT_TYPE}),
     "q_index_medium": INDEX_PROPS,
-    "q_index_large": INDEX_PROPS,
+    "q_index_large": INDEX_TEXTS,
+    "q_index_frozen": INDEX_FROZEN,
+    "q_one_hot_vectors": f"""
+WITH i AS ({_index({'event_type': EVENT_TYPE})}),
+n AS (SELECT snapshot_date AS d, cast(count(DISTINCT event_type) AS int) AS size FROM i GROUP BY 1)
+SELECT event_id, snapshot_date, size, CASE WHEN event_type IS NOT NULL THEN event_type_index END AS index,
+  CASE WHEN event_type IS NOT NULL THEN cast(1 AS double) END AS value FROM i JOIN n ON snapshot_date = d""",
     "q_one_hot": f"""
 WITH i AS ({_index({'event_type': EVENT_TYPE})}),
 n AS (SELECT snapshot_date AS d, cast(count(DISTINCT event_type) AS int) AS size FROM i GROUP BY 1)
@@ -354,7 +406,18 @@ FROM ({ORDERS_BY_MONTH}) o GROUP BY 1""",
     "q_feature_join_salted": FEATURE_JOIN,
     "q_feature_join_fanout": FANOUT,
     "q_feature_join_fanout_salted": FANOUT,
+    "q_feature_join_product_hot": f"""
+SELECT e.user_id, event_id, n_nationkey, r_regionkey
+FROM (SELECT {PRODUCT_KEYS['events']} AS user_id, event_id FROM events) e
+JOIN (SELECT {PRODUCT_KEYS['nation']} AS user_id, n_nationkey FROM nation) n ON e.user_id = n.user_id
+JOIN (SELECT {PRODUCT_KEYS['region']} AS user_id, r_regionkey FROM region) r ON e.user_id = r.user_id""",
     "q_feature_store": FEATURE_STORE,
+    "q_feature_store_as_of": FEATURE_STORE_AS_OF,
+    "q_dropped_rows": f"""
+WITH {JOINED} SELECT snapshot_date, count(*) AS joined, count(*) - count(*) FILTER ({_COMPLETE}) AS dropped
+FROM joined GROUP BY 1""",
+    "q_legacy_slices": "SELECT o_orderkey, o_custkey, o_totalprice, "
+    "make_date(2023, month(o_orderdate), 1) AS snapshot_date FROM orders",
     "q_backfill_features": FEATURE_STORE,
     "q_backfill_labels": LABEL_STORE,
     "q_backfill_audit": BACKFILL_AUDIT,

@@ -11,6 +11,7 @@ from checks.raw import given, raw
 from ledgerloom import schemas
 from ledgerloom.functions import parse, rules
 from ledgerloom.operators import audit, conform, encode, impute, joins, labels, scale
+from ledgerloom.operators.attach import attach
 from ledgerloom.operators.quantiles import group_quantiles
 from ledgerloom.plans import backfill as plan
 from ledgerloom.plans import bronze, gold, silver
@@ -18,7 +19,13 @@ from ledgerloom.plans.calendar import month_spine, month_starts
 from ledgerloom.schemas import SNAPSHOT
 from ledgerloom.sources.csv import read_csv
 from ledgerloom.sources.scratch import Scratch
-from ledgerloom.sources.snapshots import read_snapshots, snapshot_slice, write_snapshots
+from ledgerloom.sources.snapshots import (
+    legacy_path,
+    read_legacy_snapshots,
+    read_snapshots,
+    snapshot_slice,
+    write_snapshots,
+)
 
 FIRST_MONTH, LAST_MONTH = "2023-01-01", "2024-12-01"
 
@@ -177,11 +184,13 @@ def fill_median(spark, sf):
     holes = events_by_day(
         spark, sf, F.expr("CASE WHEN event_id % 5 <> 0 THEN value END").alias("value")
     )
-    return impute.fill_median(holes, ["value"])
+    return impute.fill_median(holes, ["value"], scratch=Scratch(spark))
 
 
 def replace_above_p99(spark, sf):
-    return impute.replace_above_quantile(events_by_day(spark, sf, "value"), {"value": "value"})
+    return impute.replace_above_quantile(
+        events_by_day(spark, sf, "value"), {"value": "value"}, scratch=Scratch(spark)
+    )
 
 
 def replace_above_p99_lineitem(spark, sf):
@@ -192,7 +201,8 @@ def replace_above_p99_lineitem(spark, sf):
         F.col("l_extendedprice").alias("price"),
         F.col("l_quantity").alias("quantity"),
     )
-    return impute.replace_above_quantile(lines, {"price": "price", "quantity": "price"})
+    columns = {"price": "price", "quantity": "price"}
+    return impute.replace_above_quantile(lines, columns, scratch=Scratch(spark))
 
 
 def quantiles_by_month(spark, sf):
@@ -202,8 +212,8 @@ def quantiles_by_month(spark, sf):
         F.col("l_partkey").alias("part"),
         F.col("l_linenumber").alias("line"),
     )
-    wanted = {"price": [0.5, 0.99], "part": [0.5], "line": [0.5, 0.99]}
-    return group_quantiles(lines, wanted, [SNAPSHOT], bounded=["line"])
+    wanted = {"price": [0.5, 0.99, 0.07, 0.14], "part": [0.5, 0.07], "line": [0.5, 0.99]}
+    return group_quantiles(lines, wanted, [SNAPSHOT], scratch=Scratch(spark))
 
 
 def approx_median_error(spark, sf):
@@ -217,7 +227,7 @@ def approx_median_error(spark, sf):
     )
     n = F.count(F.lit(1))
     return (
-        lines.join(F.broadcast(sketch), SNAPSHOT)
+        attach(lines, sketch, [SNAPSHOT])
         .groupBy(SNAPSHOT)
         .agg(
             n.alias("rows"),
@@ -291,11 +301,11 @@ def clean_clickstream(spark, sf):
 
 
 def clean_attributes(spark, sf):
-    return silver.clean_attributes(raw(spark, sf, "attributes"))
+    return silver.clean_attributes(raw(spark, sf, "attributes"), scratch=Scratch(spark))
 
 
 def clean_financials(spark, sf, choices=silver.CleaningRules()):
-    return silver.clean_financials(raw(spark, sf, "financials"), choices)
+    return silver.clean_financials(raw(spark, sf, "financials"), choices, Scratch(spark))
 
 
 # --- features ---------------------------------------------------------------
@@ -352,26 +362,43 @@ def index(spark, sf):
     return encode.index_columns(events, levels)
 
 
-def _index_props(spark, sf, **limits):
+def index_texts(spark, sf):
+    """A vocabulary as large as the table: whole texts of documents, per source."""
+    docs = given(spark, sf, "documents").select("doc_id", "source", "text", "lang")
+    levels = encode.fit_levels(docs, ["text", "lang"], Scratch(spark), by=["source"])
+    return encode.index_columns(docs, levels).drop("text")
+
+
+def index_props(spark, sf):
     events = events_by_day(
         spark, sf, "event_type", F.expr("CASE WHEN event_id % 9 <> 0 THEN props END").alias("props")
     )
-    levels = encode.fit_levels(
-        events,
-        ["event_type", "props"],
-        Scratch(spark),
-        ranked_in_place=limits.pop("ranked_in_place", encode.RANKED_IN_PLACE),
-    )
-    return encode.index_columns(events, levels, **limits)
+    levels = encode.fit_levels(events, ["event_type", "props"], Scratch(spark))
+    return encode.index_columns(events, levels)
 
 
-def index_large(spark, sf):
-    """The same encoder on its path for vocabularies too large to broadcast."""
-    return _index_props(spark, sf, ranked_in_place=0, mapped_levels=0, broadcast_levels=100)
+def index_frozen(spark, sf):
+    """Every day encoded with the vocabulary of the first one."""
+    events = _typed_events(spark, sf)
+    levels = encode.fit_levels(events, ["event_type"], Scratch(spark))
+    days = [r[0] for r in events.select(SNAPSHOT).distinct().collect()]  # dates
+    return encode.index_columns(events, encode.frozen(levels, min(days), days))
 
 
-def index_medium(spark, sf):
-    return _index_props(spark, sf, mapped_levels=0)
+def one_hot_vectors(spark, sf):
+    """Sparse ML vectors, taken apart by their own text form."""
+    events = _typed_events(spark, sf)
+    levels = encode.fit_levels(events, ["event_type"], Scratch(spark))
+    vectors = encode.one_hot_columns(events, levels).withColumn(
+        "v", F.to_json(F.struct(encode.sparse_vector(F.col("event_type_ohe")).alias("v")))
+    )
+    return vectors.select(
+        "event_id",
+        SNAPSHOT,
+        F.get_json_object("v", "$.v.size").cast("int").alias("size"),
+        F.get_json_object("v", "$.v.indices[0]").cast("int").alias("index"),
+        F.get_json_object("v", "$.v.values[0]").cast("double").alias("value"),
+    )
 
 
 def one_hot(spark, sf):
@@ -410,35 +437,49 @@ def _customers(spark, sf):
     return customers, orders
 
 
-def feature_join(spark, sf, **options):
-    customers, orders = _customers(spark, sf)
-    spent = orders.groupBy(F.col("o_custkey").alias("user_id")).agg(
+def _spent(orders):
+    return orders.groupBy(F.col("o_custkey").alias("user_id")).agg(
         F.count(F.lit(1)).alias("orders"), F.max("o_totalprice").alias("largest")
     )
-    clicks = events_by_day(spark, sf, "user_id", "event_type")
-    return joins.feature_join(clicks, [customers, spent], "user_id", **options)
 
 
-def feature_join_salted(spark, sf):
-    """The same join with every frequent user spread over salts."""
-    clicks = events_by_day(spark, sf, "user_id")
-    hot = joins.hot_keys(clicks, "user_id", hot_rows=50, rows_per_salt=20)
-    return feature_join(spark, sf, hot=[hot, None, None])
+def _join(spark, tables, pieces):
+    hot = None
+    if pieces:
+        counts = Scratch(spark).stage(joins.key_counts(tables, "user_id"), "counts")
+        hot = joins.hot_keys(counts, "user_id", pieces=pieces)
+    return joins.feature_join(tables[0], tables[1:], "user_id", hot=hot)
+
 
+def feature_join(spark, sf, *, pieces=None):
+    customers, orders = _customers(spark, sf)
+    clicks = events_by_day(spark, sf, "user_id", "event_type")
+    return _join(spark, [clicks, customers, _spent(orders)], pieces)
 
-def feature_join_fanout(spark, sf, *, salted=False):
+
+def feature_join_fanout(spark, sf, *, pieces=None):
     """Side table with several rows per customer: one result row for each."""
     customers, orders = _customers(spark, sf)
     each = orders.selectExpr("o_custkey AS user_id", "o_orderkey", "o_totalprice")
-    clicks = events_by_day(spark, sf, "user_id")
-    hot = ()
-    if salted:
-        hot = [
-            joins.hot_keys(clicks, "user_id", hot_rows=50, rows_per_salt=20),
-            None,
-            joins.hot_keys(each, "user_id", hot_rows=5, rows_per_salt=5),
-        ]
-    return joins.feature_join(clicks, [customers, each], "user_id", hot=hot)
+    return _join(spark, [events_by_day(spark, sf, "user_id"), customers, each], pieces)
+
+
+PRODUCT_KEYS = {
+    "events": "CASE WHEN event_id % 20 = 0 THEN -1 ELSE event_id % 30 END",
+    "nation": "CASE WHEN n_nationkey % 2 = 0 THEN -1 ELSE n_nationkey END",
+    "region": "CASE WHEN r_regionkey % 2 = 0 THEN -1 ELSE r_regionkey END",
+}
+
+
+def feature_join_product_hot(spark, sf):
+    """A key that is rare in the long table, but not in the tables' product."""
+    tables = [
+        given(spark, sf, table).selectExpr(f"{key} AS user_id", f"{column} AS {column}")
+        for (table, key), column in zip(
+            PRODUCT_KEYS.items(), ("event_id", "n_nationkey", "r_regionkey"), strict=True
+        )
+    ]
+    return _join(spark, tables, 64)
 
 
 def flat(features: DataFrame) -> DataFrame:
@@ -456,18 +497,37 @@ def flat(features: DataFrame) -> DataFrame:
     )
 
 
-def feature_store(spark, sf):
+def _silver(spark, sf, scratch):
+    cleaners = {
+        "clickstream": silver.clean_clickstream,
+        "attributes": partial(silver.clean_attributes, scratch=scratch),
+        "financials": partial(silver.clean_financials, scratch=scratch),
+    }
+    return [scratch.stage(clean(raw(spark, sf, t)), t) for t, clean in cleaners.items()]
+
+
+def feature_store(spark, sf, **options):
     """Source tables through silver to the feature store, stored in between."""
     scratch = Scratch(spark)
-    cleaned = [
-        scratch.stage(clean(raw(spark, sf, table)), table)
-        for table, clean in (
-            ("clickstream", silver.clean_clickstream),
-            ("attributes", silver.clean_attributes),
-            ("financials", silver.clean_financials),
-        )
-    ]
-    return flat(gold.build_features(*cleaned, scratch))
+    return flat(gold.build_features(*_silver(spark, sf, scratch), scratch, **options))
+
+
+def dropped_rows(spark, sf):
+    return gold.audit_dropped(*_silver(spark, sf, Scratch(spark)))
+
+
+def legacy_slices(spark, sf):
+    """One CSV file per month in the older naming, written and read again."""
+    folder = Scratch(spark).path("legacy")
+    day = F.expr("make_date(2023, month(snapshot_date), 1)")
+    rows = orders_by_month(spark, sf).withColumn(SNAPSHOT, day)
+    days = month_starts("2023-01-01", "2023-12-01")
+    for day in days:
+        one = rows.where(F.col(SNAPSHOT) == F.lit(day))
+        one.write.option("header", True).csv(legacy_path(folder, "orders", day, "csv"))
+    read = read_legacy_snapshots(spark, folder, "orders", dates=days, suffix="csv")
+    types = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double", SNAPSHOT: "date"}
+    return conform.enforce_schema(read, types)
 
 
 # --- whole runs, CSV to gold ------------------------------------------------
@@ -548,16 +608,22 @@ QUERIES = {
     "q_duration_months": duration_months,
     "q_level_counts": level_counts,
     "q_index": index,
-    "q_index_medium": index_medium,
-    "q_index_large": index_large,
+    "q_index_medium": index_props,
+    "q_index_large": index_texts,
+    "q_index_frozen": index_frozen,
     "q_one_hot": one_hot,
+    "q_one_hot_vectors": one_hot_vectors,
     "q_skip_nulls_minmax": skip_nulls_minmax,
     "q_min_max_limits": min_max_limits,
     "q_feature_join": feature_join,
-    "q_feature_join_salted": feature_join_salted,
+    "q_feature_join_salted": partial(feature_join, pieces=200),
     "q_feature_join_fanout": feature_join_fanout,
-    "q_feature_join_fanout_salted": partial(feature_join_fanout, salted=True),
+    "q_feature_join_fanout_salted": partial(feature_join_fanout, pieces=200),
+    "q_feature_join_product_hot": feature_join_product_hot,
     "q_feature_store": feature_store,
+    "q_feature_store_as_of": partial(feature_store, as_of=True),
+    "q_dropped_rows": dropped_rows,
+    "q_legacy_slices": legacy_slices,
     "q_backfill_features": backfill_features,
     "q_backfill_labels": backfill_labels,
     "q_backfill_audit": backfill_audit,

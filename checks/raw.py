@@ -101,7 +101,10 @@ RAW: dict[str, tuple[str, dict[str, str]]] = {
             "tenure": "CASE WHEN l_partkey % 40 = 0 THEN NULL ELSE 10 END",
             "installment_num": "l_linenumber",
             "loan_amt": "l_extendedprice",
-            "due_amt": "CASE WHEN l_partkey % 50 = 0 THEN cast(0 AS double) ELSE l_extendedprice END",
+            # instalments so small that months do not reach back, or do not fit an int
+            "due_amt": "CASE WHEN l_partkey % 50 = 0 THEN cast(0 AS double) "
+            "WHEN l_partkey % 46 = 1 THEN cast(0.001 AS double) "
+            "WHEN l_partkey % 46 = 2 THEN cast(0.000001 AS double) ELSE l_extendedprice END",
             "paid_amt": "l_extendedprice * (1 - l_discount)",
             "overdue_amt": "CASE WHEN l_partkey % 33 = 0 THEN cast(NULL AS double) "
             "ELSE l_extendedprice * (cast(l_quantity AS int) % 7 - 2) / 2 END",

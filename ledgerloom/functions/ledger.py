@@ -2,22 +2,40 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+MOST_MISSED = 2**31 - 1
+FIRST_DATE = dt.date(1900, 1, 1)
+
 
 def month_on_book(installment: Column) -> Column:
     return installment.try_cast("int")
 
 
 def installments_missed(overdue: Column, due: Column) -> Column:
-    """Overdue amount in whole instalments, rounded up; 0 where undefined."""
-    return F.coalesce(F.ceil(F.try_divide(overdue, due)).try_cast("int"), F.lit(0))
+    """Overdue amount in whole instalments, rounded up.
+
+    0 where it is undefined (an amount is absent, or none is due); more than
+    an int can hold is the largest int, so that a tiny instalment is never
+    taken for nothing missed.
+    """
+    count = F.ceil(F.try_divide(overdue, due))  # beyond a long, the largest long
+    bounded = F.greatest(F.least(count, F.lit(MOST_MISSED)), F.lit(-MOST_MISSED))
+    return F.when(count.isNotNull(), bounded.cast("int")).otherwise(F.lit(0))
 
 
 def first_missed_date(snapshot: Column, missed: Column) -> Column:
-    """Snapshot minus ``missed`` calendar months; NULL if nothing was missed."""
-    return F.when(missed > 0, F.add_months(snapshot, -missed))
+    """Snapshot minus ``missed`` calendar months; NULL if nothing was missed.
+
+    Dates before ``FIRST_DATE``, which calendars need not reach, are that date.
+    """
+    start = F.lit(FIRST_DATE)
+    back = (F.year(snapshot) - F.year(start)) * 12 + F.month(snapshot) - F.month(start)
+    date = F.add_months(snapshot, -F.least(missed, F.greatest(back, F.lit(0))))
+    return F.when(missed > back, start).when(missed > 0, date)
 
 
 def days_past_due(snapshot: Column, overdue: Column, first_missed: Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 # Optional sign, digits, optional fraction: no exponents, no type suffixes.
 _PLAIN_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)\s*$"
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def strip_chars(c: Column, chars: str = "_") -> Column:
@@ -19,21 +20,22 @@ def strip_chars(c: Column, chars: str = "_") -> Column:
     return F.translate(c, chars, "")
 
 
-def parse_int(c: Column) -> Column:
-    """Text to int: fractions are truncated, anything else malformed is NULL.
+def parse_int(c: Column, to: str = "int") -> Column:
+    """Text to an integer type: fractions are truncated, the rest malformed is NULL.
 
-    ``try_cast('1.5' AS INT)`` is NULL, hence the detour through double; the
-    pattern keeps out ``4e1`` and ``4d``, which only the double parser accepts.
+    ``try_cast('1.5' AS INT)`` is NULL, so the fraction is cut off as text, which
+    keeps every digit of a long; the pattern keeps out ``4e1``.
     """
-    return F.when(c.rlike(_PLAIN_NUMBER), c.try_cast("double").try_cast("int"))
+    whole = F.trim(F.regexp_replace(c, r"\.\d*\s*$", ""))
+    digits = F.when(whole.isin("", "+", "-"), F.lit("0")).otherwise(whole)
+    return F.when(c.rlike(_PLAIN_NUMBER), digits.try_cast(to))
 
 
 def parse_double(c: Column) -> Column:
-    return c.try_cast("double")
-
-
-def parse_date(c: Column) -> Column:
-    return c.try_cast("date")
+    """Text to double: exponents are read; suffixes, hexadecimals and numbers
+    beyond a double, which Java would read, are NULL."""
+    number = F.when(c.rlike(_NUMBER), c.try_cast("double"))
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
 def strip_parse_int(c: Column, chars: str = "_") -> Column:

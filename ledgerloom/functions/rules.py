@@ -7,12 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-UNKNOWN = "Unknown"
-
+from ledgerloom.schemas import MONTHS_PATTERN, YEARS_PATTERN
 
-def out_of_range(c: Column, lo, hi) -> Column:
-    """True strictly outside ``[lo, hi]``; NULL stays NULL."""
-    return ~c.between(lo, hi)
+UNKNOWN = "Unknown"
 
 
 def null_out_of_range(c: Column, lo, hi) -> Column:
@@ -44,6 +41,6 @@ def membership_flag(c: Column, term: str) -> Column:
 
 def duration_months(c: Column) -> Column:
     """``"X Years and Y Months"`` as months; NULL unless both parts are there."""
-    years = F.regexp_extract(c, r"(\d+)\s+Years?", 1).try_cast("int")
-    months = F.regexp_extract(c, r"(\d+)\s+Months?", 1).try_cast("int")
+    years = F.regexp_extract(c, YEARS_PATTERN, 1).try_cast("int")
+    months = F.regexp_extract(c, MONTHS_PATTERN, 1).try_cast("int")
     return years * 12 + months

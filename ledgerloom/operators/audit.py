@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,3 +19,13 @@ def snapshot_coverage(calendar: DataFrame, df: DataFrame, snapshot: str = SNAPSH
     return calendar.join(row_counts(df, snapshot), snapshot, "left").select(
         snapshot, F.coalesce("rows", F.lit(0)).alias("rows")
     )
+
+
+def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys without NULL that several rows share, and how many do."""
+    return (
+        df.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .where(F.col("rows") > 1)
+    )

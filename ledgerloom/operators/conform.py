@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 
 from ledgerloom.functions import parse
 
+INTEGERS = ("tinyint", "smallint", "int", "bigint")
+
 
 def typed(df: DataFrame, name: str, to: str, strip: str = "") -> Column:
     """Column ``name`` of ``df`` as type ``to``; what cannot be read is NULL.
@@ -20,7 +22,9 @@ def typed(df: DataFrame, name: str, to: str, strip: str = "") -> Column:
         return c.try_cast(to)
     if strip:
         c = parse.strip_chars(c, strip)
-    return parse.parse_int(c) if to == "int" else c.try_cast(to)
+    if to in INTEGERS:
+        return parse.parse_int(c, to)
+    return parse.parse_double(c) if to == "double" else c.try_cast(to)
 
 
 def enforce_schema(

@@ -1,16 +1,11 @@
 """Categorical encoding with one vocabulary per column and snapshot.
 
 Fitting counts the values of all columns in one pass and numbers them by
-descending frequency, ties by value.  The vocabulary is a table, not a list on
-the driver, so its size is measured before anything is broadcast or sorted in
-one place:
-
-* numbering: a window per column and snapshot up to ``RANKED_IN_PLACE``
-  levels, one range-partitioned sort beyond;
-* look-up: one broadcast row of value maps per snapshot while no column has
-  more than ``MAPPED_LEVELS`` levels; one broadcast join per column up to
-  ``BROADCAST_LEVELS``; beyond, the most frequent levels by broadcast and the
-  long tail by shuffle join.
+descending frequency, ties by value.  The vocabulary is a stored table, never a
+list on the driver or in one task: it is numbered by one range-partitioned
+sort, and looked up by a join per column.  Spark knows the stored tables' bytes,
+so it broadcasts small ones and shuffles large ones, where adaptive execution
+splits hot values.
 """
 
 from __future__ import annotations
@@ -18,31 +13,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ledgerloom.operators.attach import attach
 from ledgerloom.schemas import SNAPSHOT
 from ledgerloom.sources.scratch import Scratch
 
-RANKED_IN_PLACE = 1_000_000
-MAPPED_LEVELS = 256
-BROADCAST_LEVELS = 200_000
-_SPREAD = 4096
-
-
 @dataclass(frozen=True)
 class Levels:
     """A fitted vocabulary: one row per group, column and value."""
 
-    table: DataFrame  # *by, column, value, count, level
+    table: DataFrame  # *by, column, value, count, level, stored by column
     columns: tuple[str, ...]
     by: tuple[str, ...]
-    scratch: Scratch
-    vocabularies: int  # one per group and column
-    rows: int  # levels in all
-    widest: int  # levels of the largest vocabulary
 
 
 def count_levels(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (SNAPSHOT,)) -> DataFrame:
@@ -63,14 +50,8 @@ def count_levels(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (SNA
     )
 
 
-def rank_levels(counts: DataFrame, by: Sequence[str] = (SNAPSHOT,)) -> DataFrame:
-    """Number the levels 0, 1, ... with a window; for vocabularies that fit one task."""
-    order = Window.partitionBy(*by, "column").orderBy(F.desc("count"), "value")
-    return counts.withColumn("level", F.row_number().over(order) - 1)
-
-
-def rank_levels_by_sort(counts: DataFrame, by: Sequence[str], scratch: Scratch) -> DataFrame:
-    """The same numbers without collecting a vocabulary in one task.
+def rank_levels(counts: DataFrame, by: Sequence[str], scratch: Scratch) -> DataFrame:
+    """Number the levels 0, 1, ... without collecting a vocabulary in one task.
 
     One global sort, written out with row ids so that its partitioning is
     fixed; a row's position is the size of the partitions before its own plus
@@ -101,27 +82,34 @@ def rank_levels_by_sort(counts: DataFrame, by: Sequence[str], scratch: Scratch)
 
 
 def fit_levels(
-    df: DataFrame,
-    columns: Sequence[str],
-    scratch: Scratch,
-    by: Sequence[str] = (SNAPSHOT,),
-    *,
-    ranked_in_place: int = RANKED_IN_PLACE,
+    df: DataFrame, columns: Sequence[str], scratch: Scratch, by: Sequence[str] = (SNAPSHOT,)
 ) -> Levels:
     """Count and number the levels of ``columns`` (runs a job, like any fit)."""
-    counts = scratch.stage(count_levels(df, columns, by), "level-counts")
-    sizes = counts.groupBy(*by, "column").count()
-    vocabularies, rows, widest = sizes.agg(
-        F.count("count"), F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0))
-    ).first()
-    if rows <= ranked_in_place:
-        table = rank_levels(counts, by)
-    else:
-        table = scratch.stage(rank_levels_by_sort(counts, by, scratch), "levels")
-    return Levels(table, tuple(columns), tuple(by), scratch, vocabularies, rows, widest)
-
-
-def index_columns(df: DataFrame, levels: Levels, **limits) -> DataFrame:
+    return number_levels(count_levels(df, columns, by), columns, scratch, by)
+
+
+def number_levels(
+    counts: DataFrame, columns: Sequence[str], scratch: Scratch, by: Sequence[str] = (SNAPSHOT,)
+) -> Levels:
+    """The vocabularies that ``counts`` (as of :func:`count_levels`) describe."""
+    table = scratch.stage(rank_levels(counts, by, scratch), "levels", directory_by="column")
+    return Levels(table, tuple(columns), tuple(by))
+
+
+def frozen(levels: Levels, group: object, groups: Sequence[object]) -> Levels:
+    """The vocabularies of one ``group`` for each of ``groups``.
+
+    For fitting on a training window and encoding what comes later alike:
+    groups are snapshots, as many as the calendar has.
+    """
+    (name,) = levels.by
+    one = levels.table.where(F.col(name) == F.lit(group)).drop(name)
+    return Levels(
+        one.withColumn(name, F.explode(F.array(*[F.lit(g) for g in groups]))), levels.columns, levels.by
+    )
+
+
+def index_columns(df: DataFrame, levels: Levels) -> DataFrame:
     """Add ``<column>_index``: the level of the value in its group.
 
     NULL and values outside the vocabulary get the extra last index, which is
@@ -130,11 +118,11 @@ def index_columns(df: DataFrame, levels: Levels, **limits) -> DataFrame:
     indexes = [
         F.coalesce(f"__{c}_slot", f"__{c}_size").alias(f"{c}_index") for c in levels.columns
     ]
-    return _looked_up(df, levels, **limits).select(*df.columns, *indexes)
+    return _looked_up(df, levels).select(*df.columns, *indexes)
 
 
 def one_hot_columns(
-    df: DataFrame, levels: Levels, *, alongside: DataFrame | None = None, **limits
+    df: DataFrame, levels: Levels, *, alongside: DataFrame | None = None
 ) -> DataFrame:
     """Replace each categorical column by its one-hot vector ``<column>_ohe``.
 
@@ -151,38 +139,42 @@ def one_hot_columns(
         for c in levels.columns
     ]
     added = [] if alongside is None else [c for c in alongside.columns if c not in levels.by]
-    looked_up = _looked_up(df, levels, alongside=alongside, **limits)
+    looked_up = _looked_up(df, levels, alongside)
     return looked_up.select(*kept, *vectors, *added)
 
 
+def sparse_vector(vector: Column) -> Column:
+    """A one-hot vector as a sparse ML vector; nothing is as wide as the vocabulary.
+
+    Built-in functions make ML vectors from dense arrays only, so the vector's
+    parts take the way through JSON, which reads any type.
+    """
+    some = vector["slot"].isNotNull()
+    parts = F.struct(
+        F.lit(0).alias("type"),
+        vector["size"].alias("size"),
+        F.when(some, F.array(vector["slot"])).otherwise(F.array().cast("array<int>")).alias("indices"),
+        F.when(some, F.array(F.lit(1.0))).otherwise(F.array().cast("array<double>")).alias("values"),
+    )
+    schema = T.StructType([T.StructField("v", VectorUDT())])
+    return F.from_json(F.to_json(F.struct(parts.alias("v"))), schema.json())["v"]
+
+
 def dense(vector: Column) -> Column:
-    """A one-hot vector as ``array<double>``."""
+    """A one-hot vector as ``array<double>``, as wide as its vocabulary."""
     zeros = F.array_repeat(F.lit(0.0), vector["size"])
     return F.when(vector["slot"].isNull(), zeros).otherwise(
         F.transform(zeros, lambda zero, i: F.when(i == vector["slot"], F.lit(1.0)).otherwise(zero))
     )
 
 
-def _looked_up(
-    df: DataFrame,
-    levels: Levels,
-    *,
-    alongside: DataFrame | None = None,
-    mapped_levels: int = MAPPED_LEVELS,
-    broadcast_levels: int = BROADCAST_LEVELS,
-) -> DataFrame:
+def _looked_up(df: DataFrame, levels: Levels, alongside: DataFrame | None = None) -> DataFrame:
     """``df`` with ``__<column>_size`` and ``__<column>_slot`` (or NULL)."""
-    if levels.widest <= mapped_levels:
-        return _look_up_maps(df, levels, alongside)
-    if alongside is not None:
-        df = attach(df, alongside, levels.by)
     sizes = levels.table.groupBy(*levels.by).agg(
         *[F.count_if(F.col("column") == c).cast("int").alias(f"__{c}_n") for c in levels.columns]
     )
-    small = levels.rows <= broadcast_levels
-    if not small:
-        # Salts must survive a repeated task: take them from a written row id.
-        df = levels.scratch.stage(df.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    if alongside is not None:
+        sizes = attach(alongside, sizes, levels.by)
     out = attach(df, sizes, levels.by).withColumns(
         {f"__{c}_size": F.coalesce(f"__{c}_n", F.lit(0)) for c in levels.columns}
     )
@@ -192,68 +184,8 @@ def _looked_up(
             F.col("value").alias("__value"),
             F.col("level").alias(f"__{c}_slot"),
         )
-        if small:
-            out = out.join(F.broadcast(one), _same_level(levels.by, F.col(c)), "left").drop(
-                "__value", *[f"__{k}" for k in levels.by]
-            )
-        else:
-            out = _look_up_large(out, one, c, levels.by, broadcast_levels // levels.vocabularies)
+        same = F.col(c).cast("string") == F.col("__value")
+        for k in levels.by:
+            same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+        out = out.join(one, same, "left").drop("__value", *[f"__{k}" for k in levels.by])
     return out
-
-
-def _look_up_maps(df: DataFrame, levels: Levels, alongside: DataFrame | None) -> DataFrame:
-    """One join for all columns: each group's row holds a value map per column."""
-    entries = {
-        c: f"collect_list(CASE WHEN column = {_quoted(c)} THEN struct(value, level) END)"
-        for c in levels.columns
-    }
-    fitted = levels.table.groupBy(*levels.by).agg(
-        *[F.expr(f"map_from_entries({e}) AS `__{c}_map`") for c, e in entries.items()],
-        *[F.expr(f"size({e}) AS `__{c}_n`") for c, e in entries.items()],
-    )
-    if alongside is not None:
-        fitted = attach(alongside, fitted, levels.by)
-    found = {}
-    for c in levels.columns:
-        found[f"__{c}_size"] = F.expr(f"coalesce(`__{c}_n`, 0)")
-        found[f"__{c}_slot"] = F.expr(f"try_element_at(`__{c}_map`, CAST(`{c}` AS STRING))")
-    return attach(df, fitted, levels.by).withColumns(found)
-
-
-def _quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _same_level(by: Sequence[str], value: Column) -> Column:
-    same = value.cast("string") == F.col("__value")
-    for k in by:
-        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
-    return same
-
-
-def _look_up_large(df: DataFrame, one: DataFrame, c: str, by: Sequence[str], head: int) -> DataFrame:
-    """Level lookup for a vocabulary too large to broadcast whole.
-
-    Levels are numbered by frequency, so the first ones are the hot keys: the
-    first ``head`` of each group are broadcast, and only the long tail, none of
-    whose values is frequent, goes through a shuffle.  Rows already resolved
-    (and NULLs) carry no tail key and are spread evenly by their salt.
-    """
-    slot = f"__{c}_slot"
-    helpers = ["__value", *[f"__{k}" for k in by]]
-    hot = one.where(F.col(slot) < head).withColumnRenamed(slot, "__head")
-    found = df.join(F.broadcast(hot), _same_level(by, F.col(c)), "left").drop(*helpers)
-    open_ = F.col("__head").isNull() & F.col(c).isNotNull()
-    found = found.withColumns(
-        {
-            "__tail": F.when(open_, F.col(c).cast("string")),
-            "__salt": F.when(open_, F.lit(0)).otherwise(F.pmod("__row", F.lit(_SPREAD)).cast("int")),
-        }
-    )
-    tail = one.withColumnRenamed(slot, "__rest").withColumn("__zero", F.lit(0))
-    same = _same_level(by, F.col("__tail")) & (F.col("__salt") == F.col("__zero"))
-    return (
-        found.join(tail, same, "left")
-        .withColumn(slot, F.coalesce("__head", "__rest"))
-        .drop("__head", "__rest", "__tail", "__salt", "__zero", *helpers)
-    )

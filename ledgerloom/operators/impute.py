@@ -23,7 +23,6 @@ def with_imputation(
     outliers: Mapping[str, str] | None = None,
     q: float = P99,
     by: Sequence[str] = (SNAPSHOT,),
-    bounded: Sequence[str] = (),
     accuracy: int | None = None,
     scratch: Scratch | None = None,
 ) -> DataFrame:
@@ -51,7 +50,7 @@ def with_imputation(
         fill = want(source, MEDIAN).try_cast(df.schema[name].dataType)
         changed[name] = F.when(F.col(name) > want(name, q), fill).otherwise(F.col(name))
 
-    stats = group_quantiles(df, wanted, by, bounded=bounded, accuracy=accuracy, scratch=scratch)
+    stats = group_quantiles(df, wanted, by, accuracy=accuracy, scratch=scratch)
     stats = stats.select(*by, *[F.col(c).alias(f"__{c}") for c in stats.columns if c not in by])
     return attach(df, stats, by).select(
         *[changed[c].alias(c) if c in changed else F.col(c) for c in df.columns]

@@ -3,40 +3,60 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.schemas import CUSTOMER
+from ledgerloom.schemas import CUSTOMER, SNAPSHOT
 
-HOT_ROWS = 2_000_000
-MAX_HOT_KEYS = 100_000
-ROWS_PER_SALT = 500_000
 
+def key_counts(tables: Sequence[DataFrame], key: str = CUSTOMER) -> DataFrame:
+    """Keys that all ``tables`` hold: ``rows_0, rows_1, ...`` and ``joined``, the
+    rows that they give together.  Counts are combined before the shuffle."""
+    counts = [
+        df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(f"rows_{i}"))
+        for i, df in enumerate(tables)
+    ]
+    product = reduce(lambda a, b: a * b, [F.col(f"rows_{i}").cast("double") for i in range(len(tables))])
+    return reduce(lambda a, b: a.join(b, key), counts).withColumn("joined", product)
 
-def hot_keys(
-    df: DataFrame,
-    key: str = CUSTOMER,
-    *,
-    hot_rows: int = HOT_ROWS,
-    rows_per_salt: int = ROWS_PER_SALT,
-    max_keys: int = MAX_HOT_KEYS,
-) -> DataFrame:
-    """Keys with at least ``hot_rows`` rows and how many salts each needs.
 
-    Counts are combined before the shuffle.  The most frequent ``max_keys``
-    are kept, which bounds the table for broadcasting; salting is only a
-    matter of balance, so a key that is left out is still joined in full.
+def hot_keys(counts: DataFrame, key: str = CUSTOMER, *, pieces: int | None = None) -> DataFrame:
+    """Keys with a piece's share of the join's result or more, and their salts.
+
+    ``counts`` is :func:`key_counts`, stored, as it is read twice.  A piece is
+    one of ``pieces`` equal shares of all joined rows (default: the number of
+    shuffle partitions), so ``pieces`` keys qualify at most, whatever the
+    size.  A key is cut into as many combinations of salts as it has shares:
+    its longest table first, the others where that has too few rows.
     """
-    return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .where(F.col("rows") >= hot_rows)
-        .orderBy(F.desc("rows"), key)
-        .limit(max_keys)
-        .select(key, F.ceil(F.col("rows") / rows_per_salt).cast("int").alias("salts"))
+    pieces = pieces or int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tables = sorted(c for c in counts.columns if c.startswith("rows_"))
+    total = counts.agg(F.sum("joined")).first()[0] or 0.0
+    share = F.lit(total / pieces)
+    hot = counts.where((F.col("joined") >= share) & (F.col("joined") > 1)).withColumn(
+        "left", F.ceil(F.col("joined") / share)
+    )
+    # longest first; the position tells equal counts apart
+    order = F.sort_array(
+        F.array(*[F.struct(F.col(c).alias("n"), F.lit(i).alias("i")) for i, c in enumerate(tables)]), False
     )
+    hot = hot.withColumn("order", order)
+    for place in range(len(tables)):
+        n = F.col("order")[place]["n"]
+        hot = hot.withColumn(f"cut_{place}", F.least("left", n)).withColumn(
+            "left", F.ceil(F.col("left") / F.col(f"cut_{place}"))
+        )
+    salts = [
+        reduce(
+            lambda rest, place: F.when(F.col("order")[place]["i"] == i, F.col(f"cut_{place}")).otherwise(rest),
+            range(len(tables)),
+            F.lit(1),
+        ).cast("int").alias(f"salts_{i}")
+        for i in range(len(tables))
+    ]
+    return hot.select(key, *salts)
 
 
 def feature_join(
@@ -44,42 +64,74 @@ def feature_join(
     sides: Sequence[DataFrame],
     key: str = CUSTOMER,
     *,
-    hot: Sequence[DataFrame | None] = (),
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Inner join of ``rows`` with every side table on ``key``.
 
     All joins share the key, so each table is shuffled once.  Small sides are
     broadcast by Spark from their measured size, not by a hint.
 
-    ``hot`` holds a :func:`hot_keys` table, or None, for ``rows`` and each side
-    in turn.  A table's rows of a hot key are spread over salts, and the other
-    tables' rows of that key repeated once per salt, so that every combination
-    still meets exactly once; other keys keep the single salt 0.  A table that
-    has hot keys must be read from files, whose row order is stable, so that a
-    repeated task assigns the same salts.
+    ``hot`` is a :func:`hot_keys` table.  Each table's rows of a hot key are
+    spread over its salts and repeated for the other tables' salts, so that
+    every combination meets exactly once, in the task of its salts; other keys
+    keep the salts 0.  The tables must then be read from files, whose row order
+    is stable, so that a repeated task assigns the same salts.
     """
-    salted = [i for i, keys in enumerate(hot) if keys is not None]
-    tables = [_salt(df, i, key, hot, salted) for i, df in enumerate([rows, *sides])]
-    salts = [f"__salt{i}" for i in salted]
+    tables = [rows, *sides]
+    salts = [f"__salt{i}" for i in range(len(tables))] if hot is not None else []
+    if salts:
+        tables = [_salt(df, i, key, hot, salts) for i, df in enumerate(tables)]
     out = tables[0]
     for side in tables[1:]:
         out = out.join(side, [key, *salts])
     return out.drop(*salts)
 
 
-def _salt(
-    df: DataFrame,
-    own: int,
-    key: str,
-    hot: Sequence[DataFrame | None],
-    salted: Sequence[int],
+def _salt(df: DataFrame, own: int, key: str, hot: DataFrame, salts: Sequence[str]) -> DataFrame:
+    """Add a salt column per table; the own one first, before rows repeat."""
+    # as many rows as pieces of the join at most
+    df = df.join(F.broadcast(hot), key, "left")
+    count = [F.coalesce(f"salts_{i}", F.lit(1)) for i in range(len(salts))]
+    df = df.withColumn(salts[own], F.pmod(F.monotonically_increasing_id(), count[own]).cast("int"))
+    for i, salt in enumerate(salts):
+        if i != own:
+            df = df.withColumn(salt, F.explode(F.sequence(F.lit(0), count[i] - 1)))
+    return df.drop(*[f"salts_{i}" for i in range(len(salts))])
+
+
+def as_of_join(
+    rows: DataFrame, sides: Sequence[DataFrame], key: str = CUSTOMER, when: str = SNAPSHOT
 ) -> DataFrame:
-    """Add a salt column per hot table; the own one first, before rows repeat."""
-    salts = F.coalesce("salts", F.lit(1))
-    for i in sorted(salted, key=lambda i: i != own):
-        if i == own:
-            salt = F.pmod(F.monotonically_increasing_id(), salts).cast("int")
-        else:
-            salt = F.explode(F.sequence(F.lit(0), salts - 1))
-        df = df.join(F.broadcast(hot[i]), key, "left").withColumn(f"__salt{i}", salt).drop("salts")
-    return df
+    """Each of ``rows`` with the latest row of every side not after its ``when``.
+
+    Rows without one in some side are left out.  A side has one row per key
+    and date after :func:`latest_per_date`, and dates are few per key, so a key
+    brings a short sorted list; no row of a side is repeated per row.
+    """
+    out = rows
+    for side in sides:
+        kept = [c for c in side.columns if c not in (key, when)]
+        one = F.struct(F.col(when).alias("__at"), *kept)
+        # dates per key are those of the calendar
+        listed = latest_per_date(side, key, when).groupBy(key).agg(
+            F.sort_array(F.collect_list(one)).alias("__dated")
+        )
+        past = F.filter("__dated", lambda s: s["__at"] <= F.col(when))
+        out = (
+            out.join(listed, key)
+            .withColumn("__last", F.try_element_at(past, F.lit(-1)))
+            .where(F.col("__last").isNotNull())
+            .select(*out.columns, *[F.col(f"__last.{c}").alias(c) for c in kept])
+        )
+    return out
+
+
+def latest_per_date(side: DataFrame, key: str, when: str) -> DataFrame:
+    """One row per key and date: of several, the greatest in column order."""
+    kept = [c for c in side.columns if c not in (key, when)]
+    return (
+        side.where(F.col(when).isNotNull())
+        .groupBy(key, when)
+        .agg(F.max(F.struct(*kept)).alias("__one"))
+        .select(key, when, "__one.*")
+    )

@@ -1,26 +1,26 @@
 """Grouped quantiles of numeric columns.
 
 A quantile is an element of the data; NULLs and NaNs are ignored.  ``q``
-selects the smallest value whose cumulative share is at least ``q``
-(``percentile_disc``).  Three ways, chosen per column:
+selects the smallest value whose cumulative share is at least ``q``, where
+``q`` is the decimal number that is written (0.07 is 7 of 100).  Two ways:
 
 * *sketch* - ``accuracy`` given: ``percentile_approx``, rank error 1/accuracy.
-* *bounded domain* - the caller names columns with few possible values, such
-  as a percentage that was range-checked: the exact aggregate, whose state is
-  one counter per possible value.
-* *otherwise* - exact without keeping a group's values in one place: a first
-  pass encloses the wanted rank between two values of a sketch, a second one
-  counts the rows below them and each distinct value between them.  That
-  table, under half a percent of the rows, is stored and measured.  Small, its
-  values are summed up in order; large, a second sketch cuts them into cells
-  and only the cell that holds the rank is summed up.
-
-The first two are lazy; the last runs its two passes when called.
+* *exact*, without keeping a group's values in one place: a first pass
+  encloses the wanted rank between two values of a sketch, a second one counts
+  the rows below them and each distinct value between them.  That table, under
+  half a percent of the rows, is stored.  It is cut into cells, of which only
+  the one that holds the rank is kept, until a cell is small enough to be
+  summed up in order.
+
+The first is lazy; the second runs its passes when called and stores what it
+finds in ``scratch``, which the caller discards when the result is no longer
+read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
@@ -31,7 +31,7 @@ from pyspark.sql.window import Window
 from ledgerloom.operators.attach import attach
 from ledgerloom.sources.scratch import Scratch
 
-SUMMED_IN_PLACE = 1_000_000  # counted values, all groups together
+SUMMED = 100_000  # counted values of a group and series that one task puts in order
 # Accuracy of the sketches: larger ones would narrow the brackets, but every
 # task sends one per group and column to the task that merges the group's.
 _SKETCH = 2_000
@@ -50,37 +50,35 @@ def group_quantiles(
     wanted: Mapping[str, Sequence[float]],
     by: Sequence[str],
     *,
-    bounded: Sequence[str] = (),
     accuracy: int | None = None,
     scratch: Scratch | None = None,
-    summed_in_place: int = SUMMED_IN_PLACE,
+    summed: int = SUMMED,
 ) -> DataFrame:
     """One row per group with a column ``<name>_p<percent>`` per quantile."""
     by = list(by)
     series = [(name, q) for name, qs in wanted.items() for q in qs]
     slim = df.select(*by, *[_proper(df, name).alias(name) for name in wanted])
-    selected = [] if accuracy else [s for s in series if s[0] not in bounded]
-    direct = [
-        _direct(name, q, accuracy).cast(df.schema[name].dataType).alias(quantile_name(name, q))
-        for name, q in series
-        if (name, q) not in selected
-    ]
-    if not selected:
-        return slim.groupBy(*by).agg(*direct)
-
-    scratch = scratch or Scratch(df.sparkSession)
+    names = [quantile_name(name, q) for name, q in series]
+    if accuracy:
+        return slim.groupBy(*by).agg(
+            *[
+                F.percentile_approx(name, q, accuracy).cast(df.schema[name].dataType).alias(alias)
+                for (name, q), alias in zip(series, names, strict=True)
+            ]
+        )
+    if scratch is None:
+        raise ValueError("exact quantiles need a scratch folder, which the caller discards")
 
     def type_of(numbered):
         return df.schema[numbered[1][0]].dataType.simpleString()
 
     def search(margin: float) -> DataFrame | None:
-        columns = dict.fromkeys(name for name, _ in selected)
-        brackets = [_brackets(c, wanted[c], margin).alias(f"b_{c}") for c in columns]
-        first = scratch.stage(slim.groupBy(*by).agg(*direct, *brackets), "brackets")
+        brackets = [_brackets(c, qs, margin).alias(f"b_{c}") for c, qs in wanted.items()]
+        first = scratch.stage(slim.groupBy(*by).agg(*brackets), "brackets")
         out = first
         # One selection per type, so that longs and decimals never become doubles.
-        for _, same_type in groupby(sorted(enumerate(selected), key=type_of), key=type_of):
-            found = _select_exact(slim, list(same_type), first, by, scratch, summed_in_place)
+        for _, same_type in groupby(sorted(enumerate(series), key=type_of), key=type_of):
+            found = _select_exact(slim, list(same_type), first, by, scratch, summed)
             if found is None:
                 return None
             out = attach(out, found, by)
@@ -91,10 +89,9 @@ def group_quantiles(
         quantile_name(name, q): _or_fail(
             F.col(f"v{i}").isNull() & (F.col(f"b_{name}.count") > 0), F.col(f"v{i}")
         )
-        for i, (name, q) in enumerate(selected)
+        for i, (name, q) in enumerate(series)
     }
-    names = [quantile_name(name, q) for name, q in series]
-    return out.select(*by, *[values[n].alias(n) if n in values else n for n in names])
+    return out.select(*by, *[values[n].alias(n) for n in names])
 
 
 def _proper(df: DataFrame, name: str) -> Column:
@@ -104,10 +101,11 @@ def _proper(df: DataFrame, name: str) -> Column:
     return F.col(name)
 
 
-def _direct(name: str, q: float, accuracy: int | None) -> Column:
-    if accuracy:
-        return F.percentile_approx(name, q, accuracy)
-    return F.expr(f"percentile_disc({q!r}) WITHIN GROUP (ORDER BY `{name}`)")
+def _rank(count: Column, q: float) -> Column:
+    """``count * q`` rounded up, at least 1, with the decimal that ``q`` is written as."""
+    share = Decimal(repr(q))
+    exact = count.cast("decimal(18,0)") * F.lit(share)
+    return F.greatest(F.ceil(exact).cast("long"), F.lit(1).cast("long"))
 
 
 def _brackets(name: str, qs: Sequence[float], margin: float) -> Column:
@@ -129,7 +127,7 @@ def _select_exact(
     brackets: DataFrame,
     by: list[str],
     scratch: Scratch,
-    summed_in_place: int,
+    summed: int,
 ) -> DataFrame | None:
     """One row per group with a column ``v<number>`` per series.
 
@@ -145,7 +143,7 @@ def _select_exact(
         entries.append(
             F.struct(
                 F.lit(i).alias("series"),
-                F.greatest(F.ceil(bracket["count"] * F.lit(q)), F.lit(1)).cast("long").alias("rank"),
+                _rank(bracket["count"], q).alias("rank"),
                 F.col(name).alias("raw"),
                 bracket["ends"][2 * at].alias("lo"),
                 bracket["ends"][2 * at + 1].alias("hi"),
@@ -164,11 +162,11 @@ def _select_exact(
     )
     within = ["series", "rank"]
     below = F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0))
-    rows, missed = (
+    widest, missed = (
         counts.groupBy(*by, *within)
         .agg(F.count(F.lit(1)).alias("rows"), below.alias("below"), F.sum("n").alias("upto"))
         .agg(
-            F.coalesce(F.sum("rows"), F.lit(0)),
+            F.coalesce(F.max("rows"), F.lit(0)),
             F.count_if((F.col("below") >= F.col("rank")) | (F.col("upto") < F.col("rank"))),
         )
         .first()
@@ -176,10 +174,13 @@ def _select_exact(
     if missed:
         return None
     along = Window.partitionBy(*by, *within).rowsBetween(Window.unboundedPreceding, 0)
-    if rows <= summed_in_place:
-        ready = counts.withColumn("before", F.lit(0))
-    else:
-        ready = _cell_of_rank(counts, by, within, along)
+    ready = counts.withColumn("before", F.lit(0).cast("long"))
+    while widest > summed:
+        ready = scratch.stage(_cell_of_rank(ready, by, within, along), "cells")
+        held = ready.groupBy(*by, *within).agg(F.count(F.lit(1)).alias("rows"))
+        before, widest = widest, held.agg(F.coalesce(F.max("rows"), F.lit(0))).first()[0]
+        if widest == before:  # values that no double tells apart
+            break
     found = ready.withColumn(
         "upto", F.col("before") + F.sum("n").over(along.orderBy("value"))
     ).where(_holds_rank())
@@ -189,7 +190,10 @@ def _select_exact(
 
 
 def _cell_of_rank(counts: DataFrame, by: list[str], within: list[str], along) -> DataFrame:
-    """The counted values of the cell that holds the rank, and the rows before it."""
+    """The counted values of the cell that holds the rank, and the rows before it.
+
+    ``before`` rows were cut off below ``counts`` already.
+    """
     value = F.col("value").cast("double")
     cuts = counts.groupBy(*by, *within).agg(
         F.percentile_approx(value, [i / _CELLS for i in range(1, _CELLS)], _SKETCH).alias("cuts")
@@ -200,13 +204,14 @@ def _cell_of_rank(counts: DataFrame, by: list[str], within: list[str], along) ->
     )
     # At most 257 totals per group and series.
     chosen = (
-        celled.groupBy(*by, *within, "cell")
+        celled.groupBy(*by, *within, "cell", "before")
         .agg(F.sum("n").alias("n"))
-        .withColumn("upto", F.sum("n").over(along.orderBy("cell")))
+        .withColumn("upto", F.col("before") + F.sum("n").over(along.orderBy("cell")))
         .where(_holds_rank())
-        .select(*by, *within, F.col("cell").alias("hit"), (F.col("upto") - F.col("n")).alias("before"))
+        .select(*by, *within, F.col("cell").alias("hit"), (F.col("upto") - F.col("n")).alias("start"))
     )
-    return attach(celled, chosen, by, within=within, how="inner").where(F.col("cell") == F.col("hit"))
+    kept = attach(celled, chosen, by, within=within, how="inner").where(F.col("cell") == F.col("hit"))
+    return kept.select(*by, *within, "value", "n", F.col("start").alias("before"))
 
 
 def _holds_rank() -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
@@ -11,12 +12,20 @@ from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.functions import rules
-from ledgerloom.operators.encode import dense, fit_levels, one_hot_columns
-from ledgerloom.operators.joins import feature_join, hot_keys
+from ledgerloom.operators.attach import attach
+from ledgerloom.operators.encode import (
+    Levels,
+    count_levels,
+    fit_levels,
+    number_levels,
+    one_hot_columns,
+    sparse_vector,
+)
+from ledgerloom.operators.joins import as_of_join, feature_join, hot_keys, key_counts
 from ledgerloom.operators.labels import build_labels
 from ledgerloom.operators.scale import assemble, assemble_scaled, fit_min_max, skip_incomplete
 from ledgerloom.plans.bronze import LEDGER_TABLE, table_path
-from ledgerloom.schemas import SNAPSHOT
+from ledgerloom.schemas import CUSTOMER, SNAPSHOT
 from ledgerloom.sources.scratch import Scratch
 from ledgerloom.sources.snapshots import read_snapshots, write_snapshots
 
@@ -34,34 +43,82 @@ def derive_financials(df: DataFrame) -> DataFrame:
     ).drop("Credit_History_Age")
 
 
+def _sides(attributes: DataFrame, financials: DataFrame) -> list[DataFrame]:
+    """What gold needs of the side tables, derived before any join."""
+    return [
+        df.drop(*schemas.IDENTIFYING_COLUMNS) for df in (attributes, derive_financials(financials))
+    ]
+
+
 def join_features(
-    clickstream: DataFrame, attributes: DataFrame, financials: DataFrame, **options
+    clickstream: DataFrame, attributes: DataFrame, financials: DataFrame, *, as_of: bool = False, **options
 ) -> DataFrame:
     """Each clickstream row with every attribute and financial row of its customer.
 
-    The side tables take part with all their snapshots.  What depends on one
-    side only is derived, and what gold drops is dropped, before the join.
+    The side tables take part with all their snapshots, as published.  With
+    ``as_of`` they take part with their latest row that is not after the
+    click's snapshot: one result row per click, and nothing from its future.
+    """
+    sides = _sides(attributes, financials)
+    if as_of:
+        return as_of_join(clickstream, sides)
+    return feature_join(clickstream, [df.drop(SNAPSHOT) for df in sides], **options)
+
+
+def count_joined_levels(clickstream: DataFrame, sides: Sequence[DataFrame]) -> DataFrame:
+    """Frequencies of the side tables' categories among the joined rows.
+
+    A customer's ``n`` clicks of a snapshot meet every one of its side rows:
+    a value's frequency is the sum of products of row counts, for which no row
+    needs to be joined.
     """
-    sides = [
-        df.drop(SNAPSHOT, *schemas.IDENTIFYING_COLUMNS)
-        for df in (attributes, derive_financials(financials))
+    clicks = clickstream.groupBy(CUSTOMER, SNAPSHOT).agg(F.count(F.lit(1)).alias("clicks"))
+    counts = [
+        df.groupBy(CUSTOMER).agg(F.count(F.lit(1)).alias(f"rows_{i}")) for i, df in enumerate(sides)
     ]
-    return feature_join(clickstream, sides, **options)
+    out = []
+    for i, side in enumerate(sides):
+        own = [c for c in schemas.CATEGORIES if c in side.columns]
+        met = clicks
+        for j, other in enumerate(counts):
+            if i != j:
+                met = met.join(other, CUSTOMER)
+        product = F.col("clicks") * F.col("count")
+        for j in range(len(sides)):
+            if i != j:
+                product = product * F.col(f"rows_{j}")
+        levels = count_levels(side, own, by=[CUSTOMER])
+        out.append(
+            met.join(levels, CUSTOMER)
+            .groupBy(SNAPSHOT, "column", "value")
+            .agg(F.sum(product).alias("count"))
+        )
+    return reduce(DataFrame.unionAll, out)
 
 
-def encode_features(joined: DataFrame, scratch: Scratch) -> DataFrame:
-    """One-hot vectors, assembled and scaled numerics; fitted per snapshot.
+def joined_limits(clickstream: DataFrame, sides: Sequence[DataFrame]) -> DataFrame:
+    """Limits of the numeric features among the complete joined rows.
 
-    Vocabularies are those of all joined rows; rows with an incomplete numeric
-    feature are then dropped, and the scaling limits are those of the rest.
-    ``joined`` is read three times, so pass a stored table.
+    Joined rows are complete where all their parts are, so limits per customer
+    (and snapshot) are joined instead of rows.
     """
+    parts = []
+    for df, keys in ((clickstream, [CUSTOMER, SNAPSHOT]), *((side, [CUSTOMER]) for side in sides)):
+        own = [c for c in schemas.NUMERIC_FEATURES if c in df.columns]
+        parts.append(fit_min_max(skip_incomplete(df, own), own, keys))
+    met = reduce(lambda a, b: a.join(b, CUSTOMER), parts)
+    names = schemas.NUMERIC_FEATURES
+    return met.groupBy(SNAPSHOT).agg(
+        *[F.min(f"{c}_min").alias(f"{c}_min") for c in names],
+        *[F.max(f"{c}_max").alias(f"{c}_max") for c in names],
+    )
+
+
+def encode_features(joined: DataFrame, levels: Levels, limits: DataFrame) -> DataFrame:
+    """One-hot vectors, assembled and scaled numerics of the complete rows."""
     numeric = schemas.NUMERIC_FEATURES
-    levels = fit_levels(joined, schemas.CATEGORIES, scratch)
-    complete = skip_incomplete(joined, numeric)
-    limits = fit_min_max(complete, numeric)
     return (
-        one_hot_columns(complete, levels, alongside=limits)
+        one_hot_columns(skip_incomplete(joined, numeric), levels, alongside=limits)
         .withColumns(
             {
                 "numeric_features": assemble(numeric),
@@ -73,28 +130,65 @@ def encode_features(joined: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def build_features(
-    clickstream: DataFrame, attributes: DataFrame, financials: DataFrame, scratch: Scratch
+    clickstream: DataFrame,
+    attributes: DataFrame,
+    financials: DataFrame,
+    scratch: Scratch,
+    *,
+    as_of: bool = False,
 ) -> DataFrame:
     """The feature store of all snapshots of ``clickstream``.
 
-    Hot customers are looked up first, in the key column of each table.  The
-    join is stored once, because the fits and the result all read it, and is
-    regrouped by snapshot while its rows are still narrow: nothing after it
-    moves rows.  The result reads from ``scratch``: store it before discarding
-    that.  The tables should be read from files (see ``feature_join``).
+    Vocabularies are those of all joined rows; rows with an incomplete numeric
+    feature are then dropped, and the scaling limits are those of the rest.
+    Both are fitted without the joined rows, so these exist once, on their way
+    into the result: joined with salts for hot customers and regrouped by
+    snapshot while they are narrow.  With ``as_of`` rows do not multiply, and
+    the fits read the stored join.  The result reads from ``scratch``: store it
+    before discarding that.  The tables should be read from files.
     """
-    tables = (clickstream, attributes, financials)
-    found = [scratch.stage(hot_keys(df), "hot-keys") for df in tables]
-    hot = [None if keys.isEmpty() else keys for keys in found]
-    joined = join_features(*tables, hot=hot)
-    return encode_features(scratch.stage(joined, "joined", cluster_by=SNAPSHOT), scratch)
+    if as_of:
+        joined = join_features(clickstream, attributes, financials, as_of=True)
+        joined = scratch.stage(joined, "joined", cluster_by=SNAPSHOT)
+        levels = fit_levels(joined, schemas.CATEGORIES, scratch)
+        limits = fit_min_max(skip_incomplete(joined, schemas.NUMERIC_FEATURES), schemas.NUMERIC_FEATURES)
+        return encode_features(joined, levels, scratch.stage(limits, "limits"))
+    sides = [df.drop(SNAPSHOT) for df in _sides(attributes, financials)]
+    counts = scratch.stage(key_counts([clickstream, *sides]), "key-counts")
+    hot = scratch.stage(hot_keys(counts), "hot-keys")
+    levels = number_levels(count_joined_levels(clickstream, sides), schemas.CATEGORIES, scratch)
+    limits = scratch.stage(joined_limits(clickstream, sides), "limits")
+    joined = feature_join(clickstream, sides, hot=None if hot.isEmpty() else hot)
+    return encode_features(joined.hint("rebalance", F.col(SNAPSHOT)), levels, limits)
+
+
+def audit_dropped(
+    clickstream: DataFrame, attributes: DataFrame, financials: DataFrame
+) -> DataFrame:
+    """Per snapshot, ``joined`` rows and how many are ``dropped`` as incomplete."""
+    sides = [df.drop(SNAPSHOT) for df in _sides(attributes, financials)]
+
+    def total(complete: bool) -> DataFrame:
+        parts = []
+        for i, (df, keys) in enumerate([(clickstream, [CUSTOMER, SNAPSHOT]), *((s, [CUSTOMER]) for s in sides)]):
+            own = [c for c in schemas.NUMERIC_FEATURES if c in df.columns]
+            some = skip_incomplete(df, own) if complete else df
+            parts.append(some.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"n{i}")))
+        product = reduce(lambda a, b: a * b, [F.col(f"n{i}") for i in range(len(parts))])
+        met = reduce(lambda a, b: a.join(b, CUSTOMER), parts)
+        return met.groupBy(SNAPSHOT).agg(F.sum(product).alias("kept" if complete else "joined"))
+
+    return attach(total(False), total(True), [SNAPSHOT]).select(
+        SNAPSHOT, "joined", (F.col("joined") - F.coalesce("kept", F.lit(0))).alias("dropped")
+    )
 
 
 def as_vectors(features: DataFrame) -> DataFrame:
-    """One-hot codes and numeric arrays as ML vectors, for estimators that want them."""
+    """One-hot codes and numeric arrays as ML vectors, for estimators that want
+    them; one-hot vectors are sparse, whatever their width."""
     return features.withColumns(
         {
-            **{f"{c}_ohe": array_to_vector(dense(F.col(f"{c}_ohe"))) for c in schemas.CATEGORIES},
+            **{f"{c}_ohe": sparse_vector(F.col(f"{c}_ohe")) for c in schemas.CATEGORIES},
             "numeric_features": array_to_vector("numeric_features"),
             "scaled_numeric_features": array_to_vector("scaled_numeric_features"),
         }
@@ -102,7 +196,11 @@ def as_vectors(features: DataFrame) -> DataFrame:
 
 
 def publish_features(
-    spark: SparkSession, lake: str, dates: Sequence[str | dt.date] | None = None
+    spark: SparkSession,
+    lake: str,
+    dates: Sequence[str | dt.date] | None = None,
+    *,
+    as_of: bool = False,
 ) -> DataFrame:
     """Silver features to the feature store; returns the stored snapshots."""
     path = table_path(lake, "gold", "feature_store")
@@ -112,7 +210,11 @@ def publish_features(
 
     with Scratch(spark) as scratch:
         features = build_features(
-            silver("clickstream", dates), silver("attributes"), silver("financials"), scratch
+            silver("clickstream", dates),
+            silver("attributes"),
+            silver("financials"),
+            scratch,
+            as_of=as_of,
         )
         write_snapshots(features, path, dates=dates, clustered=True)
     return read_snapshots(spark, path, dates=dates)
@@ -126,8 +228,12 @@ def publish_labels(
     dpd: int,
     mob: int,
 ) -> DataFrame:
-    """Silver ledger to the label store; returns the stored snapshots."""
+    """Silver ledger to the label store; returns the stored snapshots.
+
+    Labels are few and narrow rows of many ledger files: they are regrouped by
+    snapshot, or every ledger task would leave a small file.
+    """
     path = table_path(lake, "gold", "label_store")
     ledger = read_snapshots(spark, table_path(lake, "silver", LEDGER_TABLE), dates=dates)
-    write_snapshots(build_labels(ledger, dpd=dpd, mob=mob), path, dates=dates, clustered=True)
+    write_snapshots(build_labels(ledger, dpd=dpd, mob=mob), path, dates=dates)
     return read_snapshots(spark, path, dates=dates)

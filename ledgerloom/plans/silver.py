@@ -45,7 +45,10 @@ def clean_clickstream(df: DataFrame) -> DataFrame:
     return enforce_schema(filled, schemas.CLICKSTREAM)
 
 
-def clean_attributes(df: DataFrame, choices: CleaningRules = CleaningRules()) -> DataFrame:
+def clean_attributes(
+    df: DataFrame, choices: CleaningRules = CleaningRules(), scratch: Scratch | None = None
+) -> DataFrame:
+    """Exact medians are looked up when called, and need ``scratch``."""
     lo, hi = schemas.AGE_RANGE
     parsed = df.withColumns(
         {
@@ -56,16 +59,15 @@ def clean_attributes(df: DataFrame, choices: CleaningRules = CleaningRules()) ->
             ),
         }
     )
-    filled = with_imputation(
-        parsed, medians=["Age"], bounded=["Age"], accuracy=choices.accuracy
-    )
+    filled = with_imputation(parsed, medians=["Age"], accuracy=choices.accuracy, scratch=scratch)
     return enforce_schema(filled, schemas.ATTRIBUTES)
 
 
 def clean_financials(
     df: DataFrame, choices: CleaningRules = CleaningRules(), scratch: Scratch | None = None
 ) -> DataFrame:
-    """Exact outlier limits are looked up when called; they read ``df`` twice."""
+    """Exact statistics are looked up when called, and need ``scratch``; they read
+    ``df`` twice."""
     ranged = {
         "Interest_Rate": typed(df, "Interest_Rate", "double"),
         "Num_of_Loan": typed(df, "Num_of_Loan", "int", strip="_"),
@@ -99,7 +101,6 @@ def clean_financials(
         parsed,
         medians=list(ranged),
         outliers={"Num_Bank_Accounts": "Num_Bank_Accounts", "Num_Credit_Card": choices.cards_from},
-        bounded=list(ranged),
         accuracy=choices.accuracy,
         scratch=scratch,
     )
@@ -120,7 +121,7 @@ def refine_features(
     with Scratch(spark) as scratch:
         cleaners = {
             "clickstream": clean_clickstream,
-            "attributes": lambda df: clean_attributes(df, choices),
+            "attributes": lambda df: clean_attributes(df, choices, scratch),
             "financials": lambda df: clean_financials(df, choices, scratch),
         }
         for table, clean in cleaners.items():

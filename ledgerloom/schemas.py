@@ -71,6 +71,8 @@ LOAN_DAILY = {
 
 SSN_PATTERN = r"^\d{3}-\d{2}-\d{4}$"
 PAYMENT_BEHAVIOUR_PATTERN = r"^[a-zA-Z]+_[a-zA-Z]+_[a-zA-Z]+_[a-zA-Z]+_[a-zA-Z]+$"
+YEARS_PATTERN = r"(\d+)\s+Years?"
+MONTHS_PATTERN = r"(\d+)\s+Months?"
 OCCUPATION_PLACEHOLDERS = ["_______", ""]
 CREDIT_MIX_PLACEHOLDERS = ["_"]
 MIN_AMOUNT_PLACEHOLDERS = ["NM"]

@@ -7,6 +7,7 @@ re-read, not a re-computation, and readers still prune columns.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,11 +16,15 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only in local mode."""
+    """The cluster's checkpoint folder.
+
+    In one local process, where nothing else shares files, an unset folder is
+    set to a temporary one; anywhere else it is an error.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
+    if re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         folder = tempfile.mkdtemp(prefix="ledgerloom-")
         spark.sparkContext.setCheckpointDir(folder)
         return folder
@@ -36,16 +41,25 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def stage(self, df: DataFrame, name: str, cluster_by: str | None = None) -> DataFrame:
+    def stage(
+        self,
+        df: DataFrame,
+        name: str,
+        cluster_by: str | None = None,
+        directory_by: str | None = None,
+    ) -> DataFrame:
         """Write ``df`` once and return the table that was written.
 
         ``cluster_by`` regroups the rows by that column on the way (AQE cuts
         large groups into several tasks), so that a later write by the same
-        column needs no shuffle.
+        column needs no shuffle.  ``directory_by`` keeps a column's few values
+        in directories, so that readers of one see only its bytes.
         """
         path = self.path(f"{name}-{uuid.uuid4().hex}")
         if cluster_by:
             df.hint("rebalance", F.col(cluster_by)).write.partitionBy(cluster_by).parquet(path)
+        elif directory_by:
+            df.write.partitionBy(directory_by).parquet(path)
         else:
             df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)

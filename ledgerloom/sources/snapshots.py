@@ -88,6 +88,8 @@ def _observed_days(seen: Observation, df: DataFrame, stored: Collection[dt.date]
 
 
 def _write(df: DataFrame, path: str, snapshot: str, clustered: bool) -> None:
+    if not clustered and df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        raise ValueError("regrouping by snapshot needs spark.sql.adaptive.enabled")
     out = df if clustered else df.hint("rebalance", F.col(snapshot))
     (
         out.write.mode("overwrite")
@@ -153,10 +155,16 @@ def read_legacy_snapshots(
     *,
     dates: Sequence[str | dt.date] | None = None,
     separator: str = "_",
+    suffix: str = "parquet",
 ) -> DataFrame:
-    """Read Parquet files named ``<table>_YYYY_MM_DD.parquet``, all or some."""
+    """Read files named ``<table>_YYYY_MM_DD.<suffix>``, all or some.
+
+    CSV slices are read as text, by their header; conform them afterwards.
+    """
     if dates is None:
-        return spark.read.parquet(f"{folder.rstrip('/')}/{table}{separator}*.parquet")
-    return spark.read.parquet(
-        *[legacy_path(folder, table, d, separator=separator) for d in dates]
-    )
+        paths = [f"{folder.rstrip('/')}/{table}{separator}*.{suffix}"]
+    else:
+        paths = [legacy_path(folder, table, d, suffix, separator) for d in dates]
+    if suffix == "csv":
+        return spark.read.option("header", True).csv(paths)
+    return spark.read.parquet(*paths)

@@ -47,18 +47,33 @@ def test_parse_int_does_not_strip(spark):
     assert apply(spark, ["5", "5_"], "string", parse.parse_int) == [5, None]
 
 
-def test_strip_parse_double_and_date(spark):
-    assert apply(spark, ["1_000.5", "_", "x", None], "string", parse.strip_parse_double) == [
-        1000.5,
-        None,
-        None,
-        None,
-    ]
-    assert apply(spark, ["2023-01-31", "2023-02-30", "no"], "string", parse.parse_date) == [
-        dt.date(2023, 1, 31),
-        None,
-        None,
-    ]
+def test_strip_parse_double(spark):
+    texts = ["1_000.5", "_", "x", None, "1e3", "4d", "0x1p3", "1e400", " -.5 "]
+    expected = [1000.5, None, None, None, 1000.0, None, None, None, -0.5]
+    assert apply(spark, texts, "string", parse.strip_parse_double) == expected
+
+
+def test_parse_int_of_any_size(spark):
+    texts = ["1.9999999", "-0.7", ".5", "+", "9223372036854775807.9", "9223372036854775808"]
+    got = apply(spark, texts, "string", lambda c: parse.parse_int(c, "bigint"))
+    assert got == [1, 0, 0, None, 2**63 - 1, None]
+
+
+def test_ledger_of_tiny_instalments(spark):
+    """No amount stops the job, and too many missed instalments are not none."""
+    rows = [(0.001, 1e6), (0.001, 5e6), (1e-320, 1.0), (0.0, 5.0), (None, 5.0), (5.0, None), (10.0, 25.0), (1.0, -9e18)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, due double, overdue double")
+    missed = ledger.installments_missed(F.col("overdue"), F.col("due"))
+    df = df.withColumn("s", F.lit(dt.date(2024, 3, 31))).withColumn("missed", missed)
+    df = df.withColumn("first", ledger.first_missed_date(F.col("s"), F.col("missed")))
+    dpd = ledger.days_past_due(F.col("s"), F.col("overdue"), F.col("first"))
+    df = df.withColumn("label", ledger.default_label(dpd, 30))
+    got = [(r.missed, r["first"], r.label) for r in df.orderBy("i").collect()]
+    floor, most = ledger.FIRST_DATE, ledger.MOST_MISSED
+    assert got == [
+        (10**9, floor, 1), (most, floor, 1), (most, floor, 1), (0, None, 0), (0, None, 0), (0, None, 0),
+        (3, dt.date(2023, 12, 31), 1), (-most, None, 0),
+    ]
 
 
 def test_null_out_of_range(spark):

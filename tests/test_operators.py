@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import conform, encode, impute, joins, labels, scale
 from ledgerloom.operators.quantiles import group_quantiles
 from ledgerloom.schemas import LOAN_DAILY
+from ledgerloom.sources.scratch import Scratch
 
 JAN, FEB = dt.date(2023, 1, 1), dt.date(2023, 2, 1)
 
@@ -20,37 +21,37 @@ def dated(spark, rows, columns):
     return spark.createDataFrame(rows, f"snapshot_date date, {columns}")
 
 
-def test_fill_median_is_per_snapshot_and_lower_middle(spark):
+def test_fill_median_is_per_snapshot_and_lower_middle(spark, scratch):
     df = dated(
         spark,
         [(JAN, 10), (JAN, None), (JAN, 20), (JAN, 40), (FEB, 10), (FEB, 20), (FEB, None)],
         "x int",
     )
-    for options in ({}, {"bounded": ["x"]}, {"accuracy": 1000}):
+    for options in ({"scratch": scratch}, {"accuracy": 1000}):
         got = sorted((r[0], r[1]) for r in impute.fill_median(df, ["x"], **options).collect())
         assert got == [(JAN, 10), (JAN, 20), (JAN, 20), (JAN, 40), (FEB, 10), (FEB, 10), (FEB, 20)]
 
 
-def test_fill_median_of_nothing_stays_null(spark):
+def test_fill_median_of_nothing_stays_null(spark, scratch):
     df = dated(spark, [(JAN, None), (JAN, None), (FEB, 3)], "x int")
-    got = sorted((r[0], r[1] is None) for r in impute.fill_median(df, ["x"]).collect())
+    got = sorted((r[0], r[1] is None) for r in impute.fill_median(df, ["x"], scratch=scratch).collect())
     assert got == [(JAN, True), (JAN, True), (FEB, False)]
 
 
-def test_replace_above_quantile(spark):
+def test_replace_above_quantile(spark, scratch):
     df = dated(spark, [(JAN, x) for x in [*range(1, 200), 1000]], "x int")
-    got = sorted(r[1] for r in impute.replace_above_quantile(df, {"x": "x"}).collect())
+    got = sorted(r[1] for r in impute.replace_above_quantile(df, {"x": "x"}, scratch=scratch).collect())
     assert got == sorted([*range(1, 199), 100, 100])
 
 
-def test_replacement_may_come_from_another_column(spark):
+def test_replacement_may_come_from_another_column(spark, scratch):
     df = dated(spark, [(JAN, x, 7.0) for x in [*range(1, 200), 1000]], "x int, y double")
-    got = [r["x"] for r in impute.replace_above_quantile(df, {"x": "y"}).collect()]
+    got = [r["x"] for r in impute.replace_above_quantile(df, {"x": "y"}, scratch=scratch).collect()]
     assert got.count(7) == 3 and max(got) == 198
 
 
-@pytest.mark.parametrize("in_place", [0, 10**6])
-def test_exact_quantiles_equal_the_builtin(spark, in_place):
+@pytest.mark.parametrize("summed", [3, 10**6])
+def test_exact_quantiles_equal_the_builtin(spark, scratch, summed):
     rng = random.Random(7)
     rows = []
     for size in [1, 2, 3, 4, 5, 99, 100, 101, 200, 1000, 5000]:
@@ -58,7 +59,8 @@ def test_exact_quantiles_equal_the_builtin(spark, in_place):
             x = rng.choice([None, float("nan"), -0.0, 1e300, rng.gauss(0, 1), float(rng.randrange(5))])
             rows.append((dt.date(2000, 1, 1) + dt.timedelta(size), x, rng.randrange(-(2**62), 2**62)))
     df = dated(spark, rows, "x double, n bigint")
-    got = group_quantiles(df, {"x": [0.5, 0.99], "n": [0.5, 0.01]}, ["snapshot_date"], summed_in_place=in_place)
+    wanted = {"x": [0.5, 0.99], "n": [0.5, 0.01]}
+    got = group_quantiles(df, wanted, ["snapshot_date"], scratch=scratch, summed=summed)
     clean = df.withColumn("x", F.when(~F.isnan("x"), F.col("x")))
     disc = "percentile_disc({}) WITHIN GROUP (ORDER BY {})"
     want = clean.groupBy("snapshot_date").agg(
@@ -78,29 +80,54 @@ def test_exact_quantiles_equal_the_builtin(spark, in_place):
         assert r["n_p1"] == values[max(math.ceil(len(values) * 0.01), 1) - 1]
 
 
-@pytest.mark.parametrize("in_place", [0, 10**6])
-def test_exact_quantiles_with_a_dominant_value_and_null_group(spark, in_place):
+@pytest.mark.parametrize("summed", [3, 10**6])
+def test_exact_quantiles_with_a_dominant_value_and_null_group(spark, scratch, summed):
     df = spark.range(30_000).select(
         F.when(F.col("id") % 2 == 0, F.lit(JAN)).alias("snapshot_date"),
         F.when(F.col("id") % 3 == 0, F.lit(5.0)).otherwise(F.col("id").cast("double")).alias("x"),
     )
-    wanted = {"x": [0.1, 0.5, 0.99]}
-    got = group_quantiles(df, wanted, ["snapshot_date"], summed_in_place=in_place).collect()
-    builtin = group_quantiles(df, wanted, ["snapshot_date"], bounded=["x"]).collect()
-    assert sorted(got, key=str) == sorted(builtin, key=str) and len(got) == 2
+    qs = [0.1, 0.5, 0.99]
+    got = group_quantiles(df, {"x": qs}, ["snapshot_date"], scratch=scratch, summed=summed)
+    disc = [F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY x)") for q in qs]
+    builtin = df.groupBy("snapshot_date").agg(*disc).collect()
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, builtin), key=str)
+    assert len(builtin) == 2
 
 
-def test_a_bad_sketch_only_costs_another_pass(spark, monkeypatch):
+@pytest.mark.parametrize("q", [0.07, 0.14, 0.29, 0.57, 0.58, 0.01, 0.99, 1.0, 0.0])
+def test_ranks_are_those_of_the_written_decimal(spark, scratch, q):
+    sizes = [1, 2, 7, 50, 100, 300]
+    rows = [(dt.date(2000, 1, 1) + dt.timedelta(n), i + 1) for n in sizes for i in range(n)]
+    got = group_quantiles(dated(spark, rows, "x int"), {"x": [q]}, ["snapshot_date"], scratch=scratch)
+    from fractions import Fraction
+
+    exact = [max(math.ceil(n * Fraction(repr(q))), 1) for n in sizes]
+    assert [r[1] for r in got.orderBy("snapshot_date").collect()] == exact
+
+
+def test_exact_quantiles_need_a_folder_and_leave_nothing(spark):
+    df = dated(spark, [(JAN, 1), (JAN, None)], "x int")
+    with pytest.raises(ValueError, match="scratch"):
+        impute.fill_median(df, ["x"])
+    from pathlib import Path
+
+    with Scratch(spark) as own:
+        assert impute.fill_median(df, ["x"], scratch=own).count() == 2
+        assert Path(own.root).exists()
+    assert not Path(own.root).exists()
+
+
+def test_a_bad_sketch_only_costs_another_pass(spark, scratch, monkeypatch):
     from ledgerloom.operators import quantiles
 
     df = spark.range(20_000).select(F.lit(JAN).alias("snapshot_date"), (F.col("id") * 7919 % 20_011).alias("x"))
-    want = group_quantiles(df, {"x": [0.5, 0.99]}, ["snapshot_date"], bounded=["x"]).collect()
+    want = group_quantiles(df, {"x": [0.5, 0.99]}, ["snapshot_date"], scratch=scratch).collect()
     monkeypatch.setattr(quantiles, "_SKETCH", 3)
     monkeypatch.setattr(quantiles, "_MARGINS", (0.0, 1.0))
     tried = []
     select = quantiles._select_exact
     monkeypatch.setattr(quantiles, "_select_exact", lambda *a: tried.append(select(*a)) or tried[-1])
-    assert group_quantiles(df, {"x": [0.5, 0.99]}, ["snapshot_date"]).collect() == want
+    assert group_quantiles(df, {"x": [0.5, 0.99]}, ["snapshot_date"], scratch=scratch).collect() == want
     assert tried[0] is None and len(tried) == 2
 
 
@@ -161,22 +188,18 @@ def test_ledger_schema_is_strict(spark):
 
 VALUES = [(JAN, i, v) for i, v in enumerate(["a", "b", "b", "c", None])]
 
-LIMITS = [
-    {},
-    {"mapped_levels": 0},
-    {"mapped_levels": 0, "broadcast_levels": 0},
-    {"mapped_levels": 0, "broadcast_levels": 1},
-]
-
-
-@pytest.mark.parametrize("limits", LIMITS)
-@pytest.mark.parametrize("in_place", [0, 1000])
-def test_index_and_one_hot(spark, scratch, limits, in_place):
+def test_index_and_one_hot(spark, scratch):
     df = dated(spark, [*VALUES, (FEB, 5, "c"), (FEB, 6, None)], "i int, x string")
-    levels = encode.fit_levels(df, ["x"], scratch, ranked_in_place=in_place)
-    index = encode.index_columns(df, levels, **limits).orderBy("i").collect()
+    levels = encode.fit_levels(df, ["x"], scratch)
+    index = encode.index_columns(df, levels).orderBy("i").collect()
     assert [r["x_index"] for r in index] == [1, 0, 0, 2, 3, 0, 1]
-    hot = encode.one_hot_columns(df, levels, **limits).withColumn("x", encode.dense(F.col("x_ohe")))
+    vectors = encode.one_hot_columns(df, levels).withColumn("v", encode.sparse_vector(F.col("x_ohe")))
+    assert [(r.v.size, r.v.indices.tolist()) for r in vectors.orderBy("i").collect()] == [
+        (3, [1]), (3, [0]), (3, [0]), (3, [2]), (3, []), (1, [0]), (1, []),
+    ]
+    later = encode.index_columns(df, encode.frozen(levels, JAN, [JAN, FEB])).orderBy("i").collect()
+    assert [r["x_index"] for r in later] == [1, 0, 0, 2, 3, 2, 3]
+    hot = encode.one_hot_columns(df, levels).withColumn("x", encode.dense(F.col("x_ohe")))
     assert [r["x"] for r in hot.orderBy("i").collect()] == [
         [0, 1, 0],
         [1, 0, 0],
@@ -229,20 +252,55 @@ def test_salted_join_equals_the_plain_one(spark, scratch):
         side.withColumn("t", F.explode(F.sequence(F.lit(1), F.when(F.col("s") == 3, 30).otherwise(2)))).drop("s"),
         "several",
     )
-    hot = joins.hot_keys(rows, hot_rows=100, rows_per_salt=500)
-    assert [tuple(r) for r in hot.collect()] == [("hot", 20)]
-    hot_side = joins.hot_keys(several, hot_rows=20, rows_per_salt=7)
+    tables = [rows, side, several]
+    counts = scratch.stage(joins.key_counts(tables), "counts")
     count = lambda df: sorted(map(tuple, df.groupBy("Customer_ID", "v", "s", "t").count().collect()))
     plain = joins.feature_join(rows, [side, several])
     want = count(plain)
-    assert sum(r[-1] for r in want) > 300_000
-    for choice in ([hot], [hot, None, None], [None, None, hot_side], [hot, None, hot_side]):
-        salted = joins.feature_join(rows, [side, several], hot=choice)
+    assert sum(r[-1] for r in want) == counts.agg(F.sum("joined")).first()[0] > 300_000
+    for pieces in (1, 3, 50, 100_000):
+        hot = joins.hot_keys(counts, pieces=pieces)
+        assert hot.count() <= pieces and (pieces < 3 or hot.count())
+        salted = joins.feature_join(rows, [side, several], hot=hot)
         assert sorted(plain.columns) == sorted(salted.columns)
         assert count(salted) == want
 
 
-def test_rules_keep_every_row(spark):
+def test_no_task_holds_more_than_its_share_of_the_product(spark, scratch):
+    """A key that is short in each table, but not in their product, is cut up."""
+    key = F.when(F.col("id") % 25 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("Customer_ID")
+    tables = [
+        scratch.stage(spark.range(n).select(key, F.col("id").alias(c)), c)
+        for n, c in ((2500, "a"), (750, "b"), (250, "c"))
+    ]
+    counts = scratch.stage(joins.key_counts(tables), "counts")
+    pieces = 40
+    hot = joins.hot_keys(counts, pieces=pieces)
+    salts = hot.first()
+    assert salts["Customer_ID"] == "hot" and hot.count() == 1
+    total = counts.agg(F.sum("joined")).first()[0]
+    assert total > 100 * 30 * 10
+    held = joins.feature_join(tables[0], tables[1:], hot=hot)
+    assert held.count() == total
+    parts = 1
+    for i in range(3):
+        parts *= salts[f"salts_{i}"]
+    assert parts >= pieces - 1
+    share = 1.0
+    for i, n in enumerate((100, 30, 10)):
+        share *= -(-n // salts[f"salts_{i}"])
+    assert share <= 2 * total / pieces
+
+
+def test_as_of_join(spark):
+    days = [dt.date(2023, m, 1) for m in range(1, 5)]
+    rows = dated(spark, [(days[0], "k"), (days[2], "k"), (days[3], "k"), (days[3], "other")], "Customer_ID string")
+    side = dated(spark, [(days[1], "k", 1), (days[2], "k", 2), (days[2], "k", 3), (None, "k", 9)], "Customer_ID string, v int")
+    got = joins.as_of_join(rows, [side])
+    assert sorted(map(tuple, got.select("snapshot_date", "v").collect())) == [(days[2], 3), (days[3], 3)]
+
+
+def test_rules_keep_every_row(spark, scratch):
     df = dated(spark, [(JAN, 1), (JAN, None), (None, 5), (None, None)], "x int")
-    got = impute.fill_median(df, ["x"])
+    got = impute.fill_median(df, ["x"], scratch=scratch)
     assert got.count() == 4 and got.where("x IS NULL").count() == 0

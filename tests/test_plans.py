@@ -5,13 +5,14 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from pyspark.ml.linalg import DenseVector
+from pyspark.ml.linalg import DenseVector, SparseVector
 from pyspark.sql import functions as F
 
 from checks import queries as q
 from checks.raw import raw
 from conftest import SF_DIR
 from ledgerloom import schemas
+from ledgerloom.operators.audit import duplicate_keys
 from ledgerloom.operators.joins import hot_keys
 from ledgerloom.plans import backfill, bronze, gold, silver
 from ledgerloom.plans.bronze import table_path
@@ -85,13 +86,13 @@ def test_hot_customers_do_not_change_the_store(spark, run, monkeypatch):
     whole = stored(spark, lake, "gold", "feature_store", month)
     found = []
 
-    def low_threshold(df):
-        found.append(hot_keys(df, hot_rows=2, rows_per_salt=1))
+    def many_pieces(counts):
+        found.append(hot_keys(counts, pieces=10_000))
         return found[-1]
 
-    monkeypatch.setattr(gold, "hot_keys", low_threshold)
+    monkeypatch.setattr(gold, "hot_keys", many_pieces)
     gold.publish_features(spark, lake, [month])
-    assert not found[0].isEmpty()
+    assert found
     assert stored(spark, lake, "gold", "feature_store", month) == whole != []
 
 
@@ -113,6 +114,7 @@ def test_feature_store_schema(spark, run):
     assert {*schemas.NUMERIC_FEATURES, "numeric_features", "scaled_numeric_features"} <= set(store.columns)
     row = gold.as_vectors(store).first()
     assert isinstance(row["scaled_numeric_features"], DenseVector) and row["numeric_features"].size == 37
+    assert isinstance(row["Credit_Mix_ohe"], SparseVector)
     assert row["Credit_Mix_ohe"].size >= 2
 
 
@@ -133,8 +135,8 @@ def test_silver_values_are_in_range(spark, run):
     assert {k: v for k, v in fin.dtypes} == schemas.FINANCIALS
 
 
-def test_sketched_quantiles_stay_close(spark):
-    exact = silver.clean_attributes(raw(spark, SF_DIR, "attributes"))
+def test_sketched_quantiles_stay_close(spark, scratch):
+    exact = silver.clean_attributes(raw(spark, SF_DIR, "attributes"), scratch=scratch)
     sketch = silver.clean_attributes(
         raw(spark, SF_DIR, "attributes"), silver.CleaningRules(accuracy=100)
     )
@@ -202,6 +204,9 @@ def test_legacy_layout(spark, scratch):
     assert legacy_path("d/", "t", "2023-01-01", "csv") == "d/t_2023_01_01.csv"
     assert read_legacy_snapshots(spark, scratch.root, "silver_attributes").count() == 2
     assert read_legacy_snapshots(spark, scratch.root, "silver_attributes", dates=["2023-01-01"]).count() == 1
+    df.write.option("header", True).csv(legacy_path(scratch.root, "bronze_attributes", "2023-01-01", "csv"))
+    text = read_legacy_snapshots(spark, scratch.root, "bronze_attributes", suffix="csv")
+    assert text.dtypes == [("x", "string")] and text.count() == 1
 
 
 def test_csv_places_columns_by_header(spark, scratch, tmp_path):
@@ -237,10 +242,41 @@ def test_narrow_plans_do_not_shuffle(spark, name):
     assert "Exchange" not in plan(q.QUERIES[name](spark, SF_DIR))
 
 
-def test_statistics_are_broadcast_and_bounded_ones_scan_twice(spark):
-    text = plan(silver.clean_attributes(raw(spark, SF_DIR, "attributes")))
+def test_statistics_are_broadcast(spark, scratch):
+    text = plan(silver.clean_attributes(raw(spark, SF_DIR, "attributes"), scratch=scratch))
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
-    assert text.count("FileScan parquet") == 2
+
+
+def test_labels_of_many_tasks_are_few_files(spark, scratch):
+    lake = scratch.path("lake")
+    days = F.expr("make_date(2024, cast(1 + id % 6 AS int), 1)")
+    ledger = spark.range(0, 6000, 1, 24).select(
+        F.col("id").cast("string").alias("loan_id"), F.lit("c").alias("Customer_ID"), F.lit(6).alias("mob"),
+        F.lit(0).alias("dpd"), days.alias("snapshot_date"),
+    )
+    write_snapshots(ledger, table_path(lake, "silver", "loan_daily"), clustered=True)
+    gold.publish_labels(spark, lake, dpd=30, mob=6)
+    stored_files = read_snapshots(spark, table_path(lake, "gold", "label_store")).inputFiles()
+    assert len(stored_files) == 6
+
+
+def test_regrouping_needs_adaptive_execution(spark, scratch):
+    df = spark.createDataFrame([(1, dt.date(2023, 1, 1))], "x int, snapshot_date date")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with pytest.raises(ValueError, match="adaptive"):
+            write_snapshots(df, scratch.path("t"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_duplicate_keys_are_counted(spark, scratch):
+    """Rows of one customer and snapshot multiply the store, so they are audited."""
+    rows = [("a", dt.date(2023, 1, 1)), ("a", dt.date(2023, 1, 1)), ("b", dt.date(2023, 1, 1)), ("a", None)]
+    df = spark.createDataFrame(rows, "Customer_ID string, snapshot_date date")
+    assert [tuple(r) for r in duplicate_keys(df, ["Customer_ID", "snapshot_date"]).collect()] == [
+        ("a", dt.date(2023, 1, 1), 2)
+    ]
 
 
 def test_label_scan_is_pruned_and_pushed_down(spark, run):
