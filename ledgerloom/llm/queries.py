@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontaminate, embeddings, extract, language, licenses, pieces, quality, secrets, simhash, token_files
+from ledgerloom.llm.oracles import ORACLES  # noqa: F401  given on with the queries
 from ledgerloom.sources.scratch import Scratch
 
 
@@ -125,4 +126,3 @@ QUERIES = {
     "op9_embeddings": op9_embeddings,
     "op10_token_files": op10_token_files,
 }
-ORACLES: dict[str, str] = {}
