@@ -1,37 +1,46 @@
 """Licence scans: a trained paragraph classifier, in DataFrame operations only.
 
-A paragraph is a line.  Its features are the word pairs and triples it holds
-that occur in a licence template, each weighted by one over the root of how
-many it has in all, so that words in passing do not add up in long paragraphs.
-A logistic regression over licence families and ``unknown`` is trained in numpy
-on the templates, parts of them, and paragraphs of a bounded sample of
-documents (``SAMPLE``, texts of up to ``SAMPLE_CHARS``).  Its temperature and the
-probability below which a family becomes ``unknown`` are set on examples held
-out.  A prediction counts once a template of the family confirms it: the
-paragraph holds ``CONFIRMED`` of the template, or the template of the paragraph.
+What is judged is each line, each paragraph (lines between two blank ones, so
+comment marks and wrapping do not matter) of no more words than the templates
+allow, and overlapping stretches of the words of any paragraph in lengths that fit the templates (``STRETCHES``): a notice lies whole in
+one with few other words, however much text shares its line.  Features are the
+word pairs and triples that occur in a licence template, each weighted by one
+over the root of how many the line or stretch has in all.  A logistic
+regression over licence families and ``unknown`` is trained in numpy on the
+templates, parts of them, and lines of a bounded sample of documents
+(``SAMPLE``, texts of up to ``SAMPLE_CHARS``).  Its temperature and the probability
+below which a family becomes ``unknown`` are set on examples held out.  A
+prediction counts once a template of the family confirms it: what is judged
+holds ``CONFIRMED`` of the template, or the template of the line or paragraph.  Of
+overlapping findings those stay that share most with their template, so that a
+wrapped or repeated reading of one notice counts once (see ``_settled``).
 
 Scoring is a join of hashed pairs and triples with the weights, whose number is
-bounded by the templates (a constant of the program), and a sum per paragraph;
-only documents with a prediction are read again for the comparison.
+bounded by the templates (a constant of the program), and a sum per line and
+stretch; the comparison needs only the grams found, so no text is read again.
 
 Defined cases: words are runs of letters a-z (A-Z lowered), digits and anything
-beyond ASCII; null and empty texts, and lines of one word, have no licence; a
-document row is told from others by its id and its text's hash, so equal rows
-give equal results, each its own row; other columns are ignored, whatever their
-names; an empty table gives an empty table, and trains on templates alone.
+beyond ASCII, so a comment mark made of letters is a word; null and empty texts,
+and paragraphs of one word, have no licence; a blank line is one without words;
+equal notices of one family side by side in one paragraph may count once;
+stretches and paragraphs of several lines count only if confirmed; a document row is told from others by its id
+and its text's hash, so equal rows give equal results, each its own row; other
+columns are ignored, whatever their names; an empty table gives an empty table,
+and trains on templates alone.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64
 
-from ledgerloom.llm.decontaminate import same_row, words
+from ledgerloom.llm.decontaminate import _lower, same_row, words
 from ledgerloom.llm.license_texts import TEMPLATES, UNNAMED
 from ledgerloom.sources.scratch import Scratch
 
@@ -42,6 +51,12 @@ SAMPLE_CHARS = 50_000
 CONFIRMED = 0.8
 LEAST_SHARED = 3
 LINE = "\n"
+#: Stands for a line's end among words; in a text itself it is a sign like others.
+BREAK = "\x01"
+NOT_WORD_NOR_BREAK = r"[\x00\x02-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: What is judged.
+IS_STRETCH, IS_PARAGRAPH, IS_LINE = 0, 1, 2
+FOUND = ["kind", "first", "last", "place", "n", "family", "probability"]
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -61,18 +76,40 @@ def hash_here(gram: str) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def grams(tokens: Column) -> Column:
-    """Hashes of a paragraph's distinct pairs and triples."""
+def runs(tokens: Column, n: int) -> Column:
+    """Hashes of all runs of ``n`` words, by the place of their first."""
     size = F.size(tokens)
+    joined = F.transform(
+        F.sequence(F.lit(0), size - n),
+        lambda i: F.xxhash64(F.concat_ws(" ", *[F.get(tokens, i + j) for j in range(n)])),
+    )
+    return F.when(size >= n, joined).otherwise(F.array().cast("array<bigint>"))
+
+
+def grams(tokens: Column) -> Column:
+    """Hashes of distinct pairs and triples."""
+    return F.array_distinct(F.concat(*[runs(tokens, n) for n in SIZES]))
+
+
+def _stretches() -> list[tuple[int, int, int]]:
+    """Length, step and least number of template grams.  Any run of ``length -
+    step`` words lies whole in a stretch, with not much else; the last kind holds
+    the longest template.  What fits the kind before is left to it, so a stretch
+    needs the share of grams that confirms a longer template."""
+    sizes = [(len(t), len(grams_here(t))) for ts in TEMPLATES.values() for t in map(words_here, ts)]
+    out: list[tuple[int, int, int]] = []
+    kinds, fits = [(6, 2), (9, 3)], 0
+    while fits < max(sizes)[0]:
+        step = min(kinds[len(out)][1], (max(sizes)[0] + 1) // 2)
+        length = 3 * step
+        least = min(n for long, n in sizes if long > fits)
+        out.append((length, step, max(LEAST_SHARED, math.ceil(CONFIRMED * least))))
+        kinds.append((2 * length, 2 * step))
+        fits = length - step
+    return out
 
-    def of(n: int) -> Column:
-        joined = F.transform(
-            F.sequence(F.lit(0), size - n),
-            lambda i: F.xxhash64(F.concat_ws(" ", *[F.get(tokens, i + j) for j in range(n)])),
-        )
-        return F.when(size >= n, joined).otherwise(F.array().cast("array<bigint>"))
 
-    return F.array_distinct(F.concat(*[of(n) for n in SIZES]))
+STRETCHES = _stretches()
 
 
 @dataclass
@@ -118,6 +155,11 @@ def _examples(rng, negatives: list[str]) -> list[tuple[str, str]]:
             for _ in range(12):
                 around = words_here(some[int(rng.integers(len(some)))])[: int(rng.integers(0, 8))]
                 out.append((family, " ".join(around + tokens)))
+                # and as a stretch holds them, with words on both sides
+                most = max(7, len(tokens))
+                near = [w for _ in range(most) for w in words_here(some[int(rng.integers(len(some)))])][:most]
+                before = int(rng.integers(0, len(near) + 1))
+                out.append((family, " ".join(near[:before] + tokens + near[before:])))
                 part = stretch(tokens)
                 # what several licences say alike names none of them
                 own = any(shared[g] == {family} for g in grams_here(part))
@@ -208,16 +250,127 @@ def _table(spark: SparkSession, rows: list[str], columns: str) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t({columns})")
 
 
-def _paragraphs(docs: DataFrame, keys: list[str]) -> DataFrame:
-    return (
-        docs.select(*keys, F.posexplode(F.split("text", LINE)).alias("place", "line"))
-        .select(*keys, "place", words(F.col("line")).alias("words"))
+def _lines(docs: DataFrame, own: list[str]) -> DataFrame:
+    """A row per line with words: its ``line`` number, ``first`` and ``last`` word
+    (exclusive) in the text, its paragraph's (``top``, ``bottom``), number ``n`` of
+    its distinct grams, and the ``grams`` that begin in it and end in its paragraph,
+    ``pairs`` of which are pairs."""
+    nothing = F.array().cast("array<int>")
+    marked = F.replace(F.replace("text", F.lit(BREAK), F.lit(" ")), F.lit(LINE), F.lit(f" {BREAK} "))
+    tokens = docs.select(*own, F.array_remove(F.split(marked, NOT_WORD_NOR_BREAK), "").alias("marked"))
+    laid = tokens.select(
+        *own,
+        F.transform(F.array_remove("marked", BREAK), _lower).alias("words"),
+        F.filter(
+            F.transform("marked", lambda w, i: F.when(w == BREAK, i)), lambda i: i.isNotNull()
+        ).alias("breaks"),
+    ).select(
+        *own,
+        *[runs(F.col("words"), n).alias(f"runs{n}") for n in SIZES],
+        # where each line begins, and the end of the last
+        F.concat(
+            F.array(F.lit(0)), F.transform("breaks", lambda at, i: at - i), F.array(F.size("words"))
+        ).alias("starts"),
+    )
+    blank = F.filter(
+        F.transform("starts", lambda at, i: F.when(at == F.get("starts", i + 1), i)),
+        lambda i: i.isNotNull(),
+    )
+    lines = (
+        laid.select(*own, "runs2", "runs3", "starts", blank.alias("blank"))
+        # paragraphs lie between blank lines
+        .select(
+            *own, "runs2", "runs3", "starts",
+            F.transform(
+                F.concat(F.array(F.lit(-1)), "blank"),
+                lambda at, i: F.struct(
+                    (at + 1).alias("from"),
+                    F.coalesce(F.get("blank", i), F.size("starts") - 1).alias("to"),
+                ),
+            ).alias("parts"),
+        )
+        .select(
+            *own, "runs2", "runs3", "starts",
+            F.flatten(
+                F.transform(
+                    F.filter("parts", lambda p: p["from"] < p["to"]),
+                    lambda p: F.transform(
+                        F.sequence(p["from"], p["to"] - 1),
+                        lambda i: F.struct(
+                            i.alias("line"),
+                            F.get("starts", i).alias("first"),
+                            F.get("starts", i + 1).alias("last"),
+                            F.get("starts", i).alias("top"),
+                            F.get("starts", i + 1).alias("bottom"),
+                        ),
+                    ),
+                )
+            ).alias("lines"),
+        )
     )
 
+    def part(line, end, n: int):
+        size = F.least(line["last"], end - n + 1) - line["first"]
+        return F.slice(f"runs{n}", line["first"] + 1, F.greatest(size, F.lit(0)))
+
+    return lines.select(
+        *own,
+        F.inline(
+            F.transform(
+                "lines",
+                lambda x: F.struct(
+                    x["line"].alias("line"), x["first"].alias("first"), x["last"].alias("last"),
+                    x["top"].alias("top"), x["bottom"].alias("bottom"),
+                    F.size(F.array_distinct(F.concat(*[part(x, x["last"], n) for n in SIZES]))).alias("n"),
+                    F.size(part(x, x["bottom"], 2)).alias("pairs"),
+                    F.concat(*[part(x, x["bottom"], n) for n in SIZES]).alias("grams"),
+                ),
+            )
+        ),
+    )
+
+
+def _units() -> Column:
+    """The line of a gram found, if it ends there, its paragraph of several lines
+    if no template is longer, and the stretches that hold it where enough others
+    are ``near``."""
+    end = F.col("at") + F.col("length")
+
+    def unit(kind, first, last, n, least):
+        return F.struct(
+            F.lit(kind).alias("kind"), first.alias("first"), last.alias("last"), n.alias("n"), least.alias("least")
+        )
+
+    listed = [
+        F.when(
+            end <= F.col("last"),
+            unit(IS_LINE, F.col("first"), F.col("last"), F.col("n"), F.lit(0)),
+        ),
+        F.when(
+            (F.col("bottom") - F.col("top") <= STRETCHES[-1][0])
+            & ((F.col("top") < F.col("first")) | (F.col("last") < F.col("bottom"))),
+            unit(IS_PARAGRAPH, F.col("top"), F.col("bottom"), 2 * (F.col("bottom") - F.col("top")) - 3, F.lit(LEAST_SHARED)),
+        ),
+    ]
+    for length, step, least in STRETCHES:
+        for back in range(length // step):
+            first = F.col("at") - (F.col("at") - F.col("top")) % step - back * step
+            last = F.least(first + length, F.col("bottom"))
+            # one that begins and ends with a line is that line
+            same = (first == F.col("first")) & (last == F.col("last"))
+            listed.append(
+                F.when(
+                    (F.col(f"near{length}") >= least) & (first >= F.col("top")) & (end <= last) & ~same,
+                    unit(IS_STRETCH, first, last, 2 * (last - first) - 3, F.lit(least)),
+                )
+            )
+    return F.filter(F.array(*listed), lambda u: u.isNotNull())
+
 
 def scan(docs: DataFrame, model: Model, scratch: Scratch) -> DataFrame:
-    """Paragraphs with a licence: ``doc_id``, ``row_hash``, ``place`` (line),
-    ``family``, ``probability``, ``similarity`` and ``confirmed``."""
+    """Notices: ``doc_id``, ``row_hash``, ``place`` (line where the line or stretch
+    has its first template gram), ``family``, ``probability``, ``similarity`` and
+    ``confirmed``."""
     spark = docs.sparkSession
     keys = ["doc_id", "row_hash"]
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("row_hash")).where("text is not null")
@@ -232,15 +385,43 @@ def scan(docs: DataFrame, model: Model, scratch: Scratch) -> DataFrame:
     ).select("gram", F.split("listed", " ").cast("array<double>").alias("w"))
     # equal rows are summed up apart: their place in the scan tells them from each other
     own = [*keys, "row"]
-    listed = _paragraphs(rows.withColumn("row", F.monotonically_increasing_id()), own)
-    listed = listed.select(*own, "place", grams(F.col("words")).alias("grams"))
-    sums = (
+    listed = _lines(rows.withColumn("row", F.monotonically_increasing_id()), own)
+    place = ["line", "first", "last", "top", "bottom", "n"]
+    i, pairs = F.col("i"), F.col("pairs")
+    hits = (
         # not explode: the filter that Spark infers for it would repeat the grams'
         # expressions below, down to the words once for each of them
-        listed.select(*own, "place", F.size("grams").alias("n"), F.explode_outer("grams").alias("gram"))
-        .join(F.broadcast(weights), "gram")  # as many as the templates have
-        .groupBy(*own, "place", "n")
-        .agg(*[F.sum(F.get("w", F.lit(i))).alias(f"s{i}") for i in range(size)])
+        listed.select(*own, *place, "pairs", F.posexplode_outer("grams").alias("i", "gram"))
+        .join(F.broadcast(weights.select("gram")), "gram")  # as many as the templates have
+        .select(
+            *own, *place, "gram",
+            F.when(i < pairs, 2).otherwise(3).alias("length"),
+            (F.col("first") + i - F.when(i < pairs, 0).otherwise(pairs)).alias("at"),
+        )
+    )
+    around = Window.partitionBy(*own).orderBy("at")
+    near = [
+        F.count(F.lit(1)).over(around.rangeBetween(-length, length)).alias(f"near{length}")
+        for length, _, _ in STRETCHES
+    ]
+    unit = ["kind", "first", "last", "n"]
+    units = (
+        hits.select("*", *near)
+        .select(
+            *own, F.col("line").alias("place"),
+            F.struct("gram", (2 * F.col("at") + F.col("length") - 2).alias("mark")).alias("hit"),
+            F.inline(_units()),
+        )
+        .groupBy(*own, *unit, "least")
+        .agg(F.min("place").alias("place"), F.collect_list("hit").alias("hits"))
+        .withColumn("grams", F.array_distinct("hits.gram"))
+        .where(F.size("grams") >= F.col("least"))
+    )
+    sums = (
+        units.select(*own, *unit, "place", "hits", F.explode_outer("grams").alias("gram"))
+        .join(F.broadcast(weights), "gram")
+        .groupBy(*own, *unit, "place")
+        .agg(F.first("hits").alias("hits"), *[F.sum(F.get("w", F.lit(i))).alias(f"s{i}") for i in range(size)])
     )
     logits = F.array(
         *[
@@ -252,11 +433,13 @@ def scan(docs: DataFrame, model: Model, scratch: Scratch) -> DataFrame:
     shares = F.transform("logits", lambda v: F.exp(v - top))
     best = F.slice("shares", 1, size - 1)
     predicted = (
-        sums.select(*keys, "place", logits.alias("logits"))
-        .select(*keys, "place", shares.alias("shares"))
+        sums.select(*keys, *unit, "place", "hits", logits.alias("logits"))
+        .select(*keys, *unit, "place", "hits", shares.alias("shares"))
         .select(
             *keys,
+            *unit,
             "place",
+            "hits",
             (F.array_max(best) / F.aggregate("shares", F.lit(0.0), lambda a, v: a + v)).alias("probability"),
             F.get(
                 F.array(*[F.lit(c) for c in model.classes]),
@@ -264,16 +447,15 @@ def scan(docs: DataFrame, model: Model, scratch: Scratch) -> DataFrame:
             ).alias("family"),
         )
         .where(F.col("probability") >= model.least)
-        .groupBy(*keys, "place", "family")
-        .agg(F.max("probability").alias("probability"))
+        .groupBy(*keys, *unit, "place", "family")
+        .agg(F.max("probability").alias("probability"), F.first("hits").alias("hits"))
     )
     predicted = scratch.stage(predicted, "predicted")
-    return _confirmed(rows, predicted, keys)
+    return _settled(_confirmed(predicted, keys), keys)
 
 
-def _confirmed(rows: DataFrame, predicted: DataFrame, keys: list[str]) -> DataFrame:
-    """Adds how much the paragraph has in common with its family's nearest template."""
-    spark = rows.sparkSession
+def _confirmed(predicted: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds what lines and stretches have in common with their family's nearest template."""
     listed = []
     for family, texts in TEMPLATES.items():
         for i, text in enumerate(texts):
@@ -282,37 +464,59 @@ def _confirmed(rows: DataFrame, predicted: DataFrame, keys: list[str]) -> DataFr
                 f"('{family}', {i}, {len(found)}, bigint('{hash_here(g)}'))"
                 for g in sorted(found)
             ]
-    templates = _table(spark, listed, "family, template, size, gram")
-    places = predicted.groupBy(*keys).agg(
-        F.collect_list(F.struct("place", "family", "probability")).alias("found")
-    )
-    lines = (
-        same_row(rows, places, keys, "inner")
-        .select(*keys, F.split("text", LINE).alias("lines"), F.explode("found").alias("f"))
-        .select(*keys, "f.*", grams(words(F.get("lines", F.col("f.place")))).alias("grams"))
-        .distinct()  # of equal rows
-    )
-    own = [*keys, "place", "family", "probability"]
+    templates = _table(predicted.sparkSession, listed, "family, template, size, gram")
+    own = [*keys, *FOUND]
     shared = (
-        lines.select(*own, F.size("grams").alias("n"), F.explode_outer("grams").alias("gram"))
+        predicted.select(*own, F.inline("hits"))
         .join(F.broadcast(templates), ["family", "gram"])
-        .groupBy(*own, "n", "template", "size")
-        .agg(F.count(F.lit(1)).alias("shared"))
+        .groupBy(*own, "template", "size")
+        .agg(F.size(F.collect_set("gram")).alias("shared"), F.collect_list("mark").alias("marks"))
     )
     near = F.when(
         F.col("shared") >= LEAST_SHARED,
-        F.greatest(F.col("shared") / F.col("n"), F.col("shared") / F.col("size")),
+        F.greatest(
+            # a cut through a text may lie in a template by chance, a line does not
+            F.when(F.col("kind") != IS_STRETCH, F.col("shared") / F.col("n")),
+            F.col("shared") / F.col("size"),
+        ),
     ).otherwise(F.lit(0.0))
     return (
-        shared.groupBy(*own)
-        .agg(F.max(near).alias("similarity"))
+        shared.withColumn("similarity", near)
         .withColumn("confirmed", F.col("similarity") >= CONFIRMED)
+        .groupBy(*own)
+        .agg(F.max(F.struct("confirmed", "shared", "similarity", "marks")).alias("best"))
+        .select(*own, "best.*")
+    )
+
+
+def _settled(found: DataFrame, keys: list[str]) -> DataFrame:
+    """Notices told apart: a gram in the text belongs to the finding that shares most
+    with its template, and a finding stays with half of its grams or more.  So the
+    lines of a wrapped notice give way to the stretch that holds it, and stretches to
+    the line, or the better stretch, with the same notice."""
+    # a line of usual length is one paragraph; in a longer one, its stretches are
+    line = (F.col("kind") == IS_LINE) & (F.col("last") - F.col("first") <= STRETCHES[-1][0])
+    rank = F.struct(
+        "confirmed", "shared", F.round("similarity", 9).alias("similarity"), line.alias("line"),
+        (F.col("first") - F.col("last")).alias("short"), (-F.col("first")).alias("early"), "family", "probability",
+    )
+    own = [*keys, *FOUND]
+    marks = (
+        found.where((F.col("kind") == IS_LINE) | F.col("confirmed"))
+        .select(*own, "similarity", "confirmed", rank.alias("rank"), F.explode("marks").alias("mark"))
+        .withColumn("won", F.col("rank") == F.max("rank").over(Window.partitionBy(*keys, "mark")))
+    )
+    return (
+        marks.groupBy(*own, "similarity", "confirmed")
+        .agg(F.count_if("won").alias("won"), F.count(F.lit(1)).alias("all"))
+        .where(2 * F.col("won") >= F.col("all"))
+        .select(*keys, "place", "family", "probability", "similarity", "confirmed")
     )
 
 
 def of_documents(docs: DataFrame, model: Model, scratch: Scratch) -> DataFrame:
-    """Per document row: number of confirmed and other licence paragraphs, and
-    the confirmed families, sorted."""
+    """Per document row: number of confirmed and other licence notices, and the
+    confirmed families, sorted."""
     keys = ["doc_id", "row_hash"]
     found = (
         scan(docs, model, scratch)
