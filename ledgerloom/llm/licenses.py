@@ -300,8 +300,8 @@ def _lines(docs: DataFrame, own: list[str]) -> DataFrame:
                             i.alias("line"),
                             F.get("starts", i).alias("first"),
                             F.get("starts", i + 1).alias("last"),
-                            F.get("starts", i).alias("top"),
-                            F.get("starts", i + 1).alias("bottom"),
+                            F.get("starts", p["from"]).alias("top"),
+                            F.get("starts", p["to"]).alias("bottom"),
                         ),
                     ),
                 )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import textwrap
 
 import pytest
 
@@ -50,3 +51,20 @@ def test_notices_in_long_lines(spark, model, other):
     expected |= {"both": (2, "CC-BY,MIT"), "twice": (2, "MIT"), "beside": (2, "CC-BY,MIT")}
     got = found(spark, model, texts)
     assert {k: (got[k], v) for k, v in expected.items() if got[k] != v} == {}
+
+
+def test_wrapped_notices(spark, model, other):
+    """A paragraph is what stands between blank lines, without comment marks."""
+    texts, expected = {}, {}
+    for name, family, text in every_template():
+        for width, mark in ((80, ""), (60, "# "), (40, " * ")):
+            lines = "\n".join(mark + line for line in textwrap.wrap(text, width))
+            texts[f"{name} {width}"] = lines
+            texts[f"{name} {width} apart"] = f"one two three\n{mark}\n{lines}\n\nfour five six"
+            texts[f"{name} {width} amid"] = " ".join(other[:30]) + f"\n{lines}\n" + " ".join(other[30:60])
+    expected = {k: (1, k.split()[0]) for k in texts}
+    gpl = "\n".join(textwrap.wrap(licenses.TEMPLATES["GPL-3.0"][2], 50))
+    texts["several"] = f"Released under the MIT License.\n{gpl}\nLicensed under CC BY 4.0."
+    expected["several"] = (3, "CC-BY,GPL-3.0,MIT")
+    got = found(spark, model, texts)
+    assert {k: (got[k], v) for k, v in expected.items() if got[k] != v} == {}
