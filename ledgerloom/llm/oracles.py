@@ -42,4 +42,46 @@ SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(y, vec_id)) AS
   vec_id <= coalesce(y, vec_id) AS kept
 FROM embeddings LEFT JOIN least_of ON vec_id = least_of.x LEFT JOIN counts ON vec_id = counts.x"""
 
-ORACLES = {"op1_decontaminate": DECONTAMINATE, "op9_embeddings": EMBEDDINGS}
+# crc32 byte by byte, with the table that its polynomial gives
+VARIANTS = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(0, 256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{00C0}-\x{00FF}]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY ALL),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce([4294967295::bigint] || list_transform(
+      range(0, length(bytes) // 2), lambda i: ('0x' || substr(bytes, 2 * i + 1, 2))::bigint),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+  FROM (SELECT run, n, hex(encode(coalesce(doc_id::varchar, '') || ':' || run)) AS bytes FROM runs), crc_table),
+words AS (
+  SELECT word, cast(sum(n) AS bigint) AS n FROM (
+    SELECT n, CASE WHEN h % 31 = 0 THEN substr(run, 1, cast(h % length(run) AS bigint))
+      || substr(run, cast(h % length(run) AS bigint) + 2) ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+less AS (
+  SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, unnest(range(0, length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT word, rest FROM less WHERE rest IN (SELECT word FROM words)
+  UNION SELECT rest, word FROM less WHERE rest IN (SELECT word FROM words)),
+ranked AS (
+  SELECT near.word, other, o.n AS form_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+    row_number() OVER (PARTITION BY near.word ORDER BY o.n DESC, other) AS place
+  FROM near JOIN words o ON other = o.word),
+forms AS (
+  SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * n THEN other END AS form,
+    CASE WHEN form_n >= 10 * n THEN form_n END AS form_n
+  FROM words LEFT JOIN ranked ON words.word = ranked.word AND place = 1),
+chains AS (
+  SELECT word, form AS root, 1 AS step FROM forms WHERE form IS NOT NULL
+  UNION ALL SELECT chains.word, forms.form, step + 1 FROM chains JOIN forms ON chains.root = forms.word
+  WHERE forms.form IS NOT NULL),
+roots AS (SELECT word, arg_max(root, step) AS root FROM chains GROUP BY word)
+SELECT forms.word, form, coalesce(root, forms.word) AS root, n, n_near, form_n FROM forms LEFT JOIN roots USING (word)"""
+
+ORACLES = {"op1_decontaminate": DECONTAMINATE, "op9_embeddings": EMBEDDINGS, "op13_variants": VARIANTS}

@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import decontaminate, embeddings, extract, language, licenses, pieces, quality, secrets, simhash, token_files
+from ledgerloom.llm import (
+    decontaminate,
+    embeddings,
+    extract,
+    language,
+    licenses,
+    mixing,
+    pieces,
+    quality,
+    secrets,
+    simhash,
+    token_files,
+    variants,
+    whitening,
+)
 from ledgerloom.llm.oracles import ORACLES  # noqa: F401  given on with the queries
 from ledgerloom.sources.scratch import Scratch
 
@@ -114,6 +128,35 @@ def op10_token_files(spark, sf_dir: str) -> DataFrame:
     return token_files.crc32_of_ids(rows, ["doc_id", "start", "n_tokens"])
 
 
+def op11_whitening(spark, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    rows = whitening.whiten(vectors, whitening.fit(vectors))
+    return rows.select(
+        "vec_id",
+        "n",
+        F.col("deviation").try_cast("long").alias("deviation"),
+        "identity_error",
+        F.posexplode(F.arrays_zip("whitened", "explained")).alias("place", "values"),
+    ).select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        "n",
+        "deviation",
+        "values.whitened",
+        "values.explained",
+        "identity_error",
+    )
+
+
+def op12_mixing(spark, sf_dir: str) -> DataFrame:
+    rows = mixing.mix(mixing.sizes(table(spark, sf_dir, "documents")), Scratch(spark))
+    return rows.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+def op13_variants(spark, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_quality": op2_quality,
@@ -125,4 +168,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_embeddings": op9_embeddings,
     "op10_token_files": op10_token_files,
+    "op11_whitening": op11_whitening,
+    "op12_mixing": op12_mixing,
+    "op13_variants": op13_variants,
 }

@@ -23,6 +23,6 @@ def test_matches_oracle(spark, name):
     con.execute(ORACLES[name])
     columns = [d[0] for d in con.description]
     order = sorted(columns)
-    theirs = sorted(tuple(r[columns.index(c)] for c in order) for r in con.fetchall())
+    theirs = sorted((tuple(r[columns.index(c)] for c in order) for r in con.fetchall()), key=repr)
     assert sorted(df.columns) == order
-    assert sorted(map(tuple, df.select(*order).collect())) == theirs
+    assert sorted(map(tuple, df.select(*order).collect()), key=repr) == theirs
