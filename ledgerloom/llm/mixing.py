@@ -59,14 +59,17 @@ def sizes(docs: DataFrame) -> DataFrame:
     )
 
 
-def targets(rows: DataFrame, scratch: Scratch) -> DataFrame:
-    """``source``, ``n``, ``source_size``, ``weight`` and ``target``, stored.
+def targets(units: DataFrame, scratch: Scratch) -> DataFrame:
+    """``source``, ``n``, ``source_size``, ``weight`` and ``target`` of ``units``,
+    rows with a count ``m``, stored.
 
     Sources may be many: they are numbered by a range-partitioned sort, and the
     words per weight are found by rounds of sums, each of which finds the sources
     that their own size stops.
     """
-    found = rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("source_size"))
+    found = units.groupBy("source").agg(
+        F.sum("m").alias("n"), F.sum(F.col("m") * F.col("size")).alias("source_size")
+    )
     ordered = scratch.stage(
         found.orderBy(F.asc_nulls_last("source")).withColumn("row", F.monotonically_increasing_id()), "ordered"
     ).withColumns({"part": F.shiftright("row", 33), "offset": F.col("row").bitwiseAND((1 << 33) - 1)})
@@ -184,7 +187,7 @@ def mix(rows: DataFrame, scratch: Scratch) -> DataFrame:
         .withColumn("spot", F.xxhash64("doc_id", "text_hash")),
         "units",
     )
-    sources = targets(rows, scratch)
+    sources = targets(units, scratch)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(ratio)
     about = sources.select("source", "n", "source_size", whole.alias("whole"), (ratio - whole).alias("share"))
