@@ -104,17 +104,19 @@ class Tree:
 
 def near_vectors(points: np.ndarray, queries: np.ndarray, gain: int, lose: int, leaf: int = 24) -> np.ndarray:
     """Pairs (query, point) of distinct vectors within reach, or clipped ones."""
+    used = points.any(0) | queries.any(0)
+    points, queries = np.ascontiguousarray(points[:, used]), np.ascontiguousarray(queries[:, used])
+    total, asked = points.sum(1, dtype=np.int32), queries.sum(1, dtype=np.int32)
+    clipped = (points == CLIP).any(1)
     tree, found = Tree(points, leaf), []
     for number, at in tree.search(queries, gain, lose):
         inside = tree.leaves[number]
-        box = points[inside].astype(np.int16)
-        for start in range(0, len(at), 256):
-            some = at[start : start + 256]
-            apart = box[None] - queries[some].astype(np.int16)[:, None]
-            more, less = np.maximum(apart, 0).sum(2), np.maximum(-apart, 0).sum(2)
-            near = (more <= gain) & (less <= lose)
-            clipped = (box == CLIP).any(1)
-            near &= (more + less > 0) | clipped[None]
+        for start in range(0, len(at), 1024):
+            some = at[start : start + 1024]
+            # letters that either has: what exceeds one's letters the other one has more
+            either = np.maximum(points[inside][None], queries[some][:, None]).sum(2, dtype=np.uint16).astype(np.int32)
+            more, less = either - asked[some][:, None], either - total[inside][None]
+            near = (more <= gain) & (less <= lose) & ((more + less > 0) | clipped[inside][None])
             q, p = np.nonzero(near)
             found.append(np.stack([some[q], inside[p]], 1))
     return np.concatenate(found) if found else np.zeros((0, 2), np.int64)

@@ -283,9 +283,19 @@ def linked(xs: list[str], ys: list[str]) -> list[tuple[int, int]]:
     """Places of words one edit apart; all ``xs`` have one length, and all ``ys``
     the same or one more.  Many short words are met by what is left of them
     without a letter."""
+    longer = len(ys[0]) > len(xs[0])
     if len(xs) * len(ys) <= PAIRS or len(xs[0]) > SHORT:
-        return [(i, j) for i, x in enumerate(xs) for j, y in enumerate(ys) if one_edit(x, y)]
-    out, longer = set(), len(ys[0]) > len(xs[0])
+        half = len(xs[0]) // 2
+        # the edit leaves one half as it is
+        halves = [(y[:half], y[half + longer :]) for y in ys]
+        out = []
+        for i, x in enumerate(xs):
+            first, second = x[:half], x[half:]
+            for j, (a, b) in enumerate(halves):
+                if (a == first or b == second) and one_edit(x, ys[j]):
+                    out.append((i, j))
+        return out
+    out = set()
     left: dict = {}
     for i, x in enumerate(xs):
         for key in [x] if longer else [(at, x[:at] + x[at + 1 :]) for at in range(len(x))]:
@@ -304,13 +314,10 @@ def _links(place: str, role: np.ndarray, words: list[str]) -> np.ndarray:
     counts = letter_counts(words)
 
     def distinct(wanted):
-        at = np.flatnonzero(role == wanted)
-        if not len(at):
-            return counts[:0], []
-        vectors, inverse = np.unique(counts[at], axis=0, return_inverse=True)
-        order = np.argsort(inverse.ravel(), kind="stable")
-        ends = np.cumsum(np.bincount(inverse.ravel()))[:-1]
-        return vectors, np.split(at[order], ends)
+        groups: dict[bytes, list[int]] = {}
+        for i in np.flatnonzero(role == wanted).tolist():
+            groups.setdefault(counts[i].tobytes(), []).append(i)
+        return counts[[same[0] for same in groups.values()]], list(groups.values())
 
     (points, held), found = distinct(0), []
     second = "/+2" in place
