@@ -18,6 +18,7 @@ from ledgerloom.plans import bronze, gold, silver
 from ledgerloom.plans.calendar import month_spine, month_starts
 from ledgerloom.schemas import SNAPSHOT
 from ledgerloom.sources.csv import read_csv
+from ledgerloom.sources.jobs import side_by_side
 from ledgerloom.sources.scratch import Scratch
 from ledgerloom.sources.snapshots import (
     legacy_path,
@@ -503,7 +504,8 @@ def _silver(spark, sf, scratch):
         "attributes": partial(silver.clean_attributes, scratch=scratch),
         "financials": partial(silver.clean_financials, scratch=scratch),
     }
-    return [scratch.stage(clean(raw(spark, sf, t)), t) for t, clean in cleaners.items()]
+    jobs = {t: lambda t=t, clean=clean: scratch.stage(clean(raw(spark, sf, t)), t) for t, clean in cleaners.items()}
+    return list(side_by_side(spark, jobs).values())
 
 
 def feature_store(spark, sf, **options):
@@ -513,7 +515,8 @@ def feature_store(spark, sf, **options):
 
 
 def dropped_rows(spark, sf):
-    return gold.audit_dropped(*_silver(spark, sf, Scratch(spark)))
+    scratch = Scratch(spark)
+    return gold.audit_dropped(*_silver(spark, sf, scratch), scratch)
 
 
 def legacy_slices(spark, sf):

@@ -3,15 +3,20 @@
 Fitting counts the values of all columns in one pass and numbers them by
 descending frequency, ties by value.  The vocabulary is a stored table, never a
 list on the driver or in one task: it is numbered by one range-partitioned
-sort, and looked up by a join per column.  Spark knows the stored tables' bytes,
-so it broadcasts small ones and shuffles large ones, where adaptive execution
-splits hot values.
+sort.
+
+Encoding meets the vocabulary once, whatever the number of columns: the
+combinations of values that occur, each once, are looked up column by column in
+one join of their narrow codes, and the rows then meet the combinations, in one
+join too.  Spark knows the stored tables' bytes, so it broadcasts small ones and
+shuffles large ones, where adaptive execution splits hot values.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
@@ -38,11 +43,8 @@ def count_levels(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (SNA
     Partial aggregation runs before the shuffle, so a value held by a third of
     all rows still sends one row per task.
     """
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
-    )
     return (
-        df.select(*by, F.explode(pairs).alias("pair"))
+        df.select(*by, F.explode(_pairs(columns)).alias("pair"))
         .select(*by, "pair.*")
         .where(F.col("value").isNotNull())
         .groupBy(*by, "column", "value")
@@ -50,6 +52,30 @@ def count_levels(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (SNA
     )
 
 
+def count_tuples(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (SNAPSHOT,)) -> DataFrame:
+    """How often every combination of values (NULL is one) occurs, per group."""
+    return df.groupBy(*by, *columns).agg(F.count(F.lit(1)).alias("count"))
+
+
+def levels_of_tuples(tuples: DataFrame, by: Sequence[str] = (SNAPSHOT,)) -> DataFrame:
+    """:func:`count_levels` from the combinations' counts."""
+    columns = [c for c in tuples.columns if c not in (*by, "count")]
+    return (
+        tuples.select(*by, "count", F.explode(_pairs(columns)).alias("pair"))
+        .select(*by, "count", "pair.*")
+        .where(F.col("value").isNotNull())
+        .groupBy(*by, "column", "value")
+        .agg(F.sum("count").alias("count"))
+    )
+
+
+def _pairs(columns: Sequence[str]) -> Column:
+    """Column names and their values as text."""
+    return F.array(
+        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
+    )
+
+
 def rank_levels(counts: DataFrame, by: Sequence[str], scratch: Scratch) -> DataFrame:
     """Number the levels 0, 1, ... without collecting a vocabulary in one task.
 
@@ -109,20 +135,56 @@ def frozen(levels: Levels, group: object, groups: Sequence[object]) -> Levels:
     )
 
 
-def index_columns(df: DataFrame, levels: Levels) -> DataFrame:
+def look_up(tuples: DataFrame, levels: Levels) -> DataFrame:
+    """The groups and combinations of values in ``tuples``, which are distinct, with
+    ``__<column>`` = {size, slot} for each of their columns.
+
+    ``size`` is the number of levels in the group, ``slot`` the value's level, or
+    NULL where it has none.
+    """
+    own = [c for c in levels.columns if c in tuples.columns]
+    known = levels.table.where(F.col("column").isin(own)).select(
+        *[F.col(k).alias(f"__{k}") for k in levels.by],
+        F.col("column").alias("__column"),
+        F.col("value").alias("__value"),
+        F.col("level").alias("__level"),
+    )
+    same = (F.col("column") == F.col("__column")) & (F.col("value") == F.col("__value"))
+    for k in levels.by:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    codes = tuples.select(*levels.by, *own, F.explode(_pairs(own)).alias("pair")).select("*", "pair.*")
+    slots = (
+        codes.join(known, same, "left")
+        .groupBy(*levels.by, *own)
+        .agg(*[F.expr(f"max(__level) FILTER (WHERE column = '{c}') AS `__{c}_slot`") for c in own])
+    )
+    sizes = levels.table.groupBy(*levels.by).agg(
+        *[F.count_if(F.col("column") == c).cast("int").alias(f"__{c}_n") for c in own]
+    )
+    return attach(slots, sizes, levels.by).select(
+        *levels.by,
+        *own,
+        *[F.expr(f"struct(coalesce(`__{c}_n`, 0) AS size, `__{c}_slot` AS slot) AS `__{c}`") for c in own],
+    )
+
+
+def index_columns(df: DataFrame, levels: Levels, *, tuples: Sequence[DataFrame] = ()) -> DataFrame:
     """Add ``<column>_index``: the level of the value in its group.
 
     NULL and values outside the vocabulary get the extra last index, which is
-    the number of levels.
+    the number of levels.  ``tuples`` are tables of :func:`look_up` that together
+    hold all columns; by default they are made from ``df``.
     """
-    indexes = [
-        F.coalesce(f"__{c}_slot", f"__{c}_size").alias(f"{c}_index") for c in levels.columns
-    ]
-    return _looked_up(df, levels).select(*df.columns, *indexes)
+    indexes = [F.expr(f"coalesce(`__{c}`.slot, `__{c}`.size) AS `{c}_index`") for c in levels.columns]
+    return _looked_up(df, levels, tuples).select(*df.columns, *indexes)
 
 
 def one_hot_columns(
-    df: DataFrame, levels: Levels, *, alongside: DataFrame | None = None
+    df: DataFrame,
+    levels: Levels,
+    *,
+    alongside: DataFrame | None = None,
+    tuples: Sequence[DataFrame] = (),
 ) -> DataFrame:
     """Replace each categorical column by its one-hot vector ``<column>_ohe``.
 
@@ -131,16 +193,15 @@ def one_hot_columns(
     storage does not grow with the vocabulary; :func:`dense` spells it out.
 
     ``alongside`` are further statistics, a row for every group, whose columns
-    are added by the same join.
+    are added.  ``tuples`` are as in :func:`index_columns`.
     """
     kept = [c for c in df.columns if c not in levels.columns]
-    vectors = [
-        F.expr(f"struct(`__{c}_size` AS size, `__{c}_slot` AS slot) AS `{c}_ohe`")
-        for c in levels.columns
-    ]
-    added = [] if alongside is None else [c for c in alongside.columns if c not in levels.by]
-    looked_up = _looked_up(df, levels, alongside)
-    return looked_up.select(*kept, *vectors, *added)
+    vectors = [F.col(f"__{c}").alias(f"{c}_ohe") for c in levels.columns]
+    out = _looked_up(df, levels, tuples)
+    added = []
+    if alongside is not None:
+        out, added = attach(out, alongside, levels.by), [c for c in alongside.columns if c not in levels.by]
+    return out.select(*kept, *vectors, *added)
 
 
 def sparse_vector(vector: Column) -> Column:
@@ -168,24 +229,13 @@ def dense(vector: Column) -> Column:
     )
 
 
-def _looked_up(df: DataFrame, levels: Levels, alongside: DataFrame | None = None) -> DataFrame:
-    """``df`` with ``__<column>_size`` and ``__<column>_slot`` (or NULL)."""
-    sizes = levels.table.groupBy(*levels.by).agg(
-        *[F.count_if(F.col("column") == c).cast("int").alias(f"__{c}_n") for c in levels.columns]
-    )
-    if alongside is not None:
-        sizes = attach(alongside, sizes, levels.by)
-    out = attach(df, sizes, levels.by).withColumns(
-        {f"__{c}_size": F.coalesce(f"__{c}_n", F.lit(0)) for c in levels.columns}
-    )
-    for c in levels.columns:
-        one = levels.table.where(F.col("column") == c).select(
-            *[F.col(k).alias(f"__{k}") for k in levels.by],
-            F.col("value").alias("__value"),
-            F.col("level").alias(f"__{c}_slot"),
-        )
-        same = F.col(c).cast("string") == F.col("__value")
-        for k in levels.by:
-            same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
-        out = out.join(one, same, "left").drop("__value", *[f"__{k}" for k in levels.by])
+def _looked_up(df: DataFrame, levels: Levels, tuples: Sequence[DataFrame]) -> DataFrame:
+    """``df`` with ``__<column>`` = {size, slot}; a join per table of combinations."""
+    met = tuples or [look_up(df.select(*levels.by, *levels.columns).distinct(), levels)]
+    out = df
+    for table in met:
+        keys = [c for c in table.columns if c in (*levels.by, *levels.columns)]
+        right = table.withColumnsRenamed({k: f"__key_{k}" for k in keys})
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys])
+        out = out.join(right, same, "left").drop(*[f"__key_{k}" for k in keys])
     return out

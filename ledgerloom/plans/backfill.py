@@ -1,7 +1,9 @@
 """Backfill of a range of months, layer by layer.
 
 Each layer is a handful of jobs over all requested snapshots at once; the
-number of jobs and of source scans does not depend on the number of months.
+number of jobs and of source scans does not depend on the number of months.  The
+tables of a layer do not depend on each other and run side by side, so a layer
+takes as long as its longest table.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from ledgerloom.plans import bronze, gold, silver
 from ledgerloom.plans.bronze import FEATURE_TABLES, LEDGER_TABLE, table_path
 from ledgerloom.plans.calendar import month_starts
 from ledgerloom.plans.silver import CleaningRules
+from ledgerloom.sources.jobs import side_by_side
 from ledgerloom.sources.snapshots import read_snapshots
 
 LAYERS = ("bronze", "silver", "gold")
@@ -47,15 +50,23 @@ def backfill(
     paths.  Running it again replaces the same snapshots and nothing else.
     """
     dates = month_starts(start, end)
-    if "bronze" in layers:
-        bronze.ingest_features(spark, sources, lake, dates, undated=undated)
-        bronze.ingest_ledger(spark, sources[LEDGER_TABLE], lake, dates)
-    if "silver" in layers:
-        silver.refine_features(spark, lake, dates, choices)
-        silver.refine_ledger(spark, lake, dates)
-    if "gold" in layers:
-        gold.publish_features(spark, lake, dates)
-        gold.publish_labels(spark, lake, dates, dpd=dpd, mob=mob)
+    steps = {
+        "bronze": {
+            "bronze-features": lambda: bronze.ingest_features(spark, sources, lake, dates, undated=undated),
+            "bronze-ledger": lambda: bronze.ingest_ledger(spark, sources[LEDGER_TABLE], lake, dates),
+        },
+        "silver": {
+            "silver-features": lambda: silver.refine_features(spark, lake, dates, choices),
+            "silver-ledger": lambda: silver.refine_ledger(spark, lake, dates),
+        },
+        "gold": {
+            "gold-features": lambda: gold.publish_features(spark, lake, dates),
+            "gold-labels": lambda: gold.publish_labels(spark, lake, dates, dpd=dpd, mob=mob),
+        },
+    }
+    for layer in LAYERS:
+        if layer in layers:
+            side_by_side(spark, steps[layer])
 
 
 def audit(spark: SparkSession, lake: str, layers: Sequence[str] = LAYERS) -> DataFrame:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import SparkSession
 
 from ledgerloom import schemas
 from ledgerloom.sources.csv import read_csv
+from ledgerloom.sources.jobs import side_by_side
 from ledgerloom.sources.snapshots import snapshot_slice, write_snapshots
 
 FEATURE_TABLES = {
@@ -31,11 +33,14 @@ def ingest_features(
     *,
     undated: str = "error",
 ) -> None:
-    """Ingest the feature sources, a CSV path per table name."""
-    for table, types in FEATURE_TABLES.items():
-        raw = snapshot_slice(read_csv(spark, sources[table], types), dates, undated=undated)
+    """Ingest the feature sources, a CSV path per table name, side by side."""
+
+    def ingest(table: str) -> None:
+        raw = snapshot_slice(read_csv(spark, sources[table], FEATURE_TABLES[table]), dates, undated=undated)
         write_snapshots(raw, table_path(lake, "bronze", table), dates=dates)
 
+    side_by_side(spark, {f"bronze-{table}": partial(ingest, table) for table in FEATURE_TABLES})
+
 
 def ingest_ledger(
     spark: SparkSession, source: str, lake: str, dates: Sequence[str | dt.date]

@@ -12,20 +12,22 @@ from pyspark.sql import functions as F
 
 from ledgerloom import schemas
 from ledgerloom.functions import rules
-from ledgerloom.operators.attach import attach
 from ledgerloom.operators.encode import (
     Levels,
-    count_levels,
-    fit_levels,
+    count_tuples,
+    levels_of_tuples,
+    look_up,
     number_levels,
     one_hot_columns,
     sparse_vector,
 )
-from ledgerloom.operators.joins import as_of_join, feature_join, hot_keys, key_counts
+from ledgerloom.operators.joins import as_of_join, feature_join, hot_keys
 from ledgerloom.operators.labels import build_labels
+from ledgerloom.operators.profile import JoinProfile, profile_join
 from ledgerloom.operators.scale import assemble, assemble_scaled, fit_min_max, skip_incomplete
 from ledgerloom.plans.bronze import LEDGER_TABLE, table_path
 from ledgerloom.schemas import CUSTOMER, SNAPSHOT
+from ledgerloom.sources.jobs import side_by_side
 from ledgerloom.sources.scratch import Scratch
 from ledgerloom.sources.snapshots import read_snapshots, write_snapshots
 
@@ -65,60 +67,20 @@ def join_features(
     return feature_join(clickstream, [df.drop(SNAPSHOT) for df in sides], **options)
 
 
-def count_joined_levels(clickstream: DataFrame, sides: Sequence[DataFrame]) -> DataFrame:
-    """Frequencies of the side tables' categories among the joined rows.
-
-    A customer's ``n`` clicks of a snapshot meet every one of its side rows:
-    a value's frequency is the sum of products of row counts, for which no row
-    needs to be joined.
-    """
-    clicks = clickstream.groupBy(CUSTOMER, SNAPSHOT).agg(F.count(F.lit(1)).alias("clicks"))
-    counts = [
-        df.groupBy(CUSTOMER).agg(F.count(F.lit(1)).alias(f"rows_{i}")) for i, df in enumerate(sides)
-    ]
-    out = []
-    for i, side in enumerate(sides):
-        own = [c for c in schemas.CATEGORIES if c in side.columns]
-        met = clicks
-        for j, other in enumerate(counts):
-            if i != j:
-                met = met.join(other, CUSTOMER)
-        product = F.col("clicks") * F.col("count")
-        for j in range(len(sides)):
-            if i != j:
-                product = product * F.col(f"rows_{j}")
-        levels = count_levels(side, own, by=[CUSTOMER])
-        out.append(
-            met.join(levels, CUSTOMER)
-            .groupBy(SNAPSHOT, "column", "value")
-            .agg(F.sum(product).alias("count"))
-        )
-    return reduce(DataFrame.unionAll, out)
-
-
-def joined_limits(clickstream: DataFrame, sides: Sequence[DataFrame]) -> DataFrame:
-    """Limits of the numeric features among the complete joined rows.
-
-    Joined rows are complete where all their parts are, so limits per customer
-    (and snapshot) are joined instead of rows.
-    """
-    parts = []
-    for df, keys in ((clickstream, [CUSTOMER, SNAPSHOT]), *((side, [CUSTOMER]) for side in sides)):
-        own = [c for c in schemas.NUMERIC_FEATURES if c in df.columns]
-        parts.append(fit_min_max(skip_incomplete(df, own), own, keys))
-    met = reduce(lambda a, b: a.join(b, CUSTOMER), parts)
-    names = schemas.NUMERIC_FEATURES
-    return met.groupBy(SNAPSHOT).agg(
-        *[F.min(f"{c}_min").alias(f"{c}_min") for c in names],
-        *[F.max(f"{c}_max").alias(f"{c}_max") for c in names],
+def profile(clickstream: DataFrame, sides: Sequence[DataFrame], scratch: Scratch) -> JoinProfile:
+    """The stored statistics from which the store's fits follow."""
+    return profile_join(
+        clickstream, sides, scratch, numeric=schemas.NUMERIC_FEATURES, categories=schemas.CATEGORIES
     )
 
 
-def encode_features(joined: DataFrame, levels: Levels, limits: DataFrame) -> DataFrame:
+def encode_features(
+    joined: DataFrame, levels: Levels, limits: DataFrame, tuples: Sequence[DataFrame] = ()
+) -> DataFrame:
     """One-hot vectors, assembled and scaled numerics of the complete rows."""
     numeric = schemas.NUMERIC_FEATURES
     return (
-        one_hot_columns(skip_incomplete(joined, numeric), levels, alongside=limits)
+        one_hot_columns(skip_incomplete(joined, numeric), levels, alongside=limits, tuples=tuples)
         .withColumns(
             {
                 "numeric_features": assemble(numeric),
@@ -141,46 +103,64 @@ def build_features(
 
     Vocabularies are those of all joined rows; rows with an incomplete numeric
     feature are then dropped, and the scaling limits are those of the rest.
-    Both are fitted without the joined rows, so these exist once, on their way
-    into the result: joined with salts for hot customers and regrouped by
-    snapshot while they are narrow.  With ``as_of`` rows do not multiply, and
-    the fits read the stored join.  The result reads from ``scratch``: store it
-    before discarding that.  The tables should be read from files.
+    Both follow from the tables' profiles, so the joined rows exist once, on
+    their way into the result: joined with salts for hot customers and regrouped
+    by snapshot while they are narrow.  Each table is read twice, for its profile
+    and for the join.  With ``as_of`` rows do not multiply, and the fits read the
+    stored join.  The result reads from ``scratch``: store it before discarding
+    that.  The tables should be read from files.
     """
+    spark, categories = scratch.spark, schemas.CATEGORIES
     if as_of:
         joined = join_features(clickstream, attributes, financials, as_of=True)
         joined = scratch.stage(joined, "joined", cluster_by=SNAPSHOT)
-        levels = fit_levels(joined, schemas.CATEGORIES, scratch)
         limits = fit_min_max(skip_incomplete(joined, schemas.NUMERIC_FEATURES), schemas.NUMERIC_FEATURES)
-        return encode_features(joined, levels, scratch.stage(limits, "limits"))
-    sides = [df.drop(SNAPSHOT) for df in _sides(attributes, financials)]
-    counts = scratch.stage(key_counts([clickstream, *sides]), "key-counts")
-    hot = scratch.stage(hot_keys(counts), "hot-keys")
-    levels = number_levels(count_joined_levels(clickstream, sides), schemas.CATEGORIES, scratch)
-    limits = scratch.stage(joined_limits(clickstream, sides), "limits")
-    joined = feature_join(clickstream, sides, hot=None if hot.isEmpty() else hot)
-    return encode_features(joined.hint("rebalance", F.col(SNAPSHOT)), levels, limits)
+        fitted = side_by_side(
+            spark,
+            {
+                "limits": lambda: scratch.stage(limits, "limits"),
+                "tuples": lambda: scratch.stage(count_tuples(joined, categories), "tuples"),
+            },
+        )
+        counted, hot = [fitted["tuples"]], None
+        limits = fitted["limits"]
+    else:
+        sides = [df.drop(SNAPSHOT) for df in _sides(attributes, financials)]
+        found = profile(clickstream, sides, scratch)
+        fitted = side_by_side(
+            spark,
+            {
+                "hot": lambda: scratch.stage(hot_keys(scratch.stage(found.key_counts(), "key-counts")), "hot-keys"),
+                "limits": lambda: scratch.stage(found.totals().drop("joined", "kept"), "limits"),
+                **{
+                    f"tuples-{i}": lambda i=i: scratch.stage(found.tuples(i), f"tuples-{i}")
+                    for i in range(len(sides))
+                },
+            },
+        )
+        counted = [fitted[f"tuples-{i}"] for i in range(len(sides))]
+        limits, hot = fitted["limits"], fitted["hot"]
+        joined = feature_join(clickstream, sides, hot=None if hot.isEmpty() else hot)
+        joined = joined.hint("rebalance", F.col(SNAPSHOT))
+    counts = reduce(DataFrame.unionAll, [levels_of_tuples(t) for t in counted])
+    levels = number_levels(counts, categories, scratch)
+    tuples = side_by_side(
+        spark,
+        {
+            f"look-up-{i}": lambda i=i, t=t: scratch.stage(look_up(t, levels), f"look-up-{i}")
+            for i, t in enumerate(counted)
+        },
+    )
+    return encode_features(joined, levels, limits, list(tuples.values()))
 
 
 def audit_dropped(
-    clickstream: DataFrame, attributes: DataFrame, financials: DataFrame
+    clickstream: DataFrame, attributes: DataFrame, financials: DataFrame, scratch: Scratch
 ) -> DataFrame:
     """Per snapshot, ``joined`` rows and how many are ``dropped`` as incomplete."""
     sides = [df.drop(SNAPSHOT) for df in _sides(attributes, financials)]
-
-    def total(complete: bool) -> DataFrame:
-        parts = []
-        for i, (df, keys) in enumerate([(clickstream, [CUSTOMER, SNAPSHOT]), *((s, [CUSTOMER]) for s in sides)]):
-            own = [c for c in schemas.NUMERIC_FEATURES if c in df.columns]
-            some = skip_incomplete(df, own) if complete else df
-            parts.append(some.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"n{i}")))
-        product = reduce(lambda a, b: a * b, [F.col(f"n{i}") for i in range(len(parts))])
-        met = reduce(lambda a, b: a.join(b, CUSTOMER), parts)
-        return met.groupBy(SNAPSHOT).agg(F.sum(product).alias("kept" if complete else "joined"))
-
-    return attach(total(False), total(True), [SNAPSHOT]).select(
-        SNAPSHOT, "joined", (F.col("joined") - F.coalesce("kept", F.lit(0))).alias("dropped")
-    )
+    totals = profile(clickstream, sides, scratch).totals()
+    return totals.select(SNAPSHOT, "joined", (F.col("joined") - F.col("kept")).alias("dropped"))
 
 
 def as_vectors(features: DataFrame) -> DataFrame:

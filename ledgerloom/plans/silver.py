@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from ledgerloom.operators.conform import enforce_schema, typed
 from ledgerloom.operators.impute import fill_constants, with_imputation
 from ledgerloom.operators.labels import enrich_ledger
 from ledgerloom.plans.bronze import LEDGER_TABLE, table_path
+from ledgerloom.sources.jobs import side_by_side
 from ledgerloom.sources.scratch import Scratch
 from ledgerloom.sources.snapshots import read_snapshots, write_snapshots
 
@@ -113,7 +115,7 @@ def refine_features(
     dates: Sequence[str | dt.date] | None = None,
     choices: CleaningRules = CleaningRules(),
 ) -> None:
-    """Bronze features to silver.
+    """Bronze features to silver, the tables side by side.
 
     Bronze is laid out by snapshot and nothing here moves rows, so the write
     needs no shuffle either.
@@ -124,12 +126,15 @@ def refine_features(
             "attributes": lambda df: clean_attributes(df, choices, scratch),
             "financials": lambda df: clean_financials(df, choices, scratch),
         }
-        for table, clean in cleaners.items():
+
+        def refine(table: str) -> None:
             raw = read_snapshots(spark, table_path(lake, "bronze", table), dates=dates)
             write_snapshots(
-                clean(raw), table_path(lake, "silver", table), dates=dates, clustered=True
+                cleaners[table](raw), table_path(lake, "silver", table), dates=dates, clustered=True
             )
 
+        side_by_side(spark, {f"silver-{table}": partial(refine, table) for table in cleaners})
+
 
 def refine_ledger(
     spark: SparkSession, lake: str, dates: Sequence[str | dt.date] | None = None
