@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +25,7 @@ def with_imputation(
     by: Sequence[str] = (SNAPSHOT,),
     accuracy: int | None = None,
     scratch: Scratch | None = None,
+    few: Collection[str] = (),
 ) -> DataFrame:
     """Both rules below from one set of statistics and one join.
 
@@ -50,7 +51,7 @@ def with_imputation(
         fill = want(source, MEDIAN).try_cast(df.schema[name].dataType)
         changed[name] = F.when(F.col(name) > want(name, q), fill).otherwise(F.col(name))
 
-    stats = group_quantiles(df, wanted, by, accuracy=accuracy, scratch=scratch)
+    stats = group_quantiles(df, wanted, by, accuracy=accuracy, scratch=scratch, few=few)
     stats = stats.select(*by, *[F.col(c).alias(f"__{c}") for c in stats.columns if c not in by])
     return attach(df, stats, by).select(
         *[changed[c].alias(c) if c in changed else F.col(c) for c in df.columns]

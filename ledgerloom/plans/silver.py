@@ -61,7 +61,9 @@ def clean_attributes(
             ),
         }
     )
-    filled = with_imputation(parsed, medians=["Age"], accuracy=choices.accuracy, scratch=scratch)
+    filled = with_imputation(
+        parsed, medians=["Age"], accuracy=choices.accuracy, scratch=scratch, few=["Age"]  # integers in AGE_RANGE
+    )
     return enforce_schema(filled, schemas.ATTRIBUTES)
 
 
@@ -69,7 +71,7 @@ def clean_financials(
     df: DataFrame, choices: CleaningRules = CleaningRules(), scratch: Scratch | None = None
 ) -> DataFrame:
     """Exact statistics are looked up when called, and need ``scratch``; they read
-    ``df`` twice."""
+    ``df`` twice, whatever the number and types of the columns."""
     ranged = {
         "Interest_Rate": typed(df, "Interest_Rate", "double"),
         "Num_of_Loan": typed(df, "Num_of_Loan", "int", strip="_"),
@@ -105,6 +107,7 @@ def clean_financials(
         outliers={"Num_Bank_Accounts": "Num_Bank_Accounts", "Num_Credit_Card": choices.cards_from},
         accuracy=choices.accuracy,
         scratch=scratch,
+        few=list(ranged),  # integers in FINANCIAL_RANGES
     )
     return enforce_schema(filled, schemas.FINANCIALS)
 

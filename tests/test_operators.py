@@ -122,7 +122,7 @@ def test_a_bad_sketch_only_costs_another_pass(spark, scratch, monkeypatch):
 
     df = spark.range(20_000).select(F.lit(JAN).alias("snapshot_date"), (F.col("id") * 7919 % 20_011).alias("x"))
     want = group_quantiles(df, {"x": [0.5, 0.99]}, ["snapshot_date"], scratch=scratch).collect()
-    monkeypatch.setattr(quantiles, "_SKETCH", 3)
+    monkeypatch.setattr(quantiles, "_SKETCH", 8)
     monkeypatch.setattr(quantiles, "_MARGINS", (0.0, 1.0))
     tried = []
     select = quantiles._select_exact
@@ -131,6 +131,48 @@ def test_a_bad_sketch_only_costs_another_pass(spark, scratch, monkeypatch):
     assert tried[0] is None and len(tried) == 2
 
 
+def test_quantiles_of_several_types_take_two_passes(spark, scratch, monkeypatch):
+    """Sketches once, counts once, whatever the types; none for columns of few values."""
+    from decimal import Decimal
+
+    rng = random.Random(3)
+    rows = [
+        (rng.choice([JAN, FEB, None]), rng.randrange(2**60), rng.gauss(0, 1), Decimal(rng.randrange(10**6)) / 100, rng.choice([1, 2, None]))
+        for _ in range(4000)
+    ]
+    df = dated(spark, rows, "n bigint, x double, d decimal(20,2), k int")
+    staged = []
+    real = Scratch.stage
+    monkeypatch.setattr(Scratch, "stage", lambda self, out, name, **o: staged.append(name) or real(self, out, name, **o))
+    wanted = {"n": [0.5, 0.07], "x": [0.99], "d": [0.14], "k": [0.5]}
+    got = group_quantiles(df, wanted, ["snapshot_date"], scratch=scratch, few=["k"]).collect()
+    assert staged == ["brackets", "bracket-counts"]
+    for r in got:
+        for name, qs in wanted.items():
+            values = sorted(v for day, *rest in rows if day == r[0] and (v := rest["nxdk".index(name)]) is not None)
+            for q in qs:
+                rank = max(math.ceil(len(values) * Decimal(str(q))), 1)
+                assert r[f"{name}_p{q * 100:g}"] == values[rank - 1]
+    assert len(got) == 3
+    staged.clear()
+    few = group_quantiles(df, {"k": [0.5]}, ["snapshot_date"], scratch=scratch, few=["k"])
+    assert staged == ["bracket-counts"]
+    assert sorted(map(repr, few.collect())) == sorted(repr(r) for r in group_quantiles(df, {"k": [0.5]}, ["snapshot_date"], scratch=scratch).collect())
+
+
+def test_sketches_are_merged_in_two_levels(spark):
+    df = spark.range(0, 40_000, 1, 16).select(F.lit(JAN).alias("snapshot_date"), (F.col("id") * 7919 % 40_009).alias("x"))
+    got = group_quantiles(df, {"x": [0.5, 0.07]}, ["snapshot_date"], accuracy=100)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "__salt" in plan
+    n, exact = 40_000, sorted(r.x for r in df.collect())
+    (row,) = got.collect()
+    for q, value in ((0.5, row.x_p50), (0.07, row.x_p7)):
+        assert abs(exact.index(value) - q * n) <= n / 100
+    with pytest.raises(ValueError, match="accuracy"):
+        group_quantiles(df, {"x": [0.5]}, ["snapshot_date"], accuracy=10**6)
+
+
 def test_fills(spark):
     df = dated(spark, [(JAN, None, None, None), (FEB, 1, float("nan"), "a")], "i int, d double, s string")
     assert impute.fill_constants(df, {"i": 0, "s": 0}).orderBy("snapshot_date").first()[1:] == (0, None, "0")
