@@ -298,6 +298,10 @@ ORACLES = {
     "(VALUES (DATE '2023-01-01'), (DATE '2023-02-01')) v(d)",
     "q_snapshot_audit": f'SELECT snapshot_date, count(*) AS "rows" FROM ({ORDERS_BY_MONTH}) o GROUP BY 1',
     "q_partitioned_roundtrip": ORDERS_BY_MONTH,
+    "q_interrupted_publish": f"""
+SELECT o_orderkey, o_custkey, CASE WHEN snapshot_date = DATE '1997-10-01' THEN 2 * o_totalprice
+  ELSE o_totalprice END AS o_totalprice, snapshot_date
+FROM ({ORDERS_BY_MONTH}) o WHERE snapshot_date <> DATE '1992-05-01'""",
     "q_csv_ingest": "SELECT *, DATE '2023-01-01' AS opened FROM customer",
     "q_month_spine_gaps": f"""
 WITH o AS ({ORDERS_BY_MONTH}),

@@ -27,6 +27,7 @@ from ledgerloom.sources.snapshots import (
     snapshot_slice,
     write_snapshots,
 )
+from ledgerloom.sources.versions import VersionedTable
 
 FIRST_MONTH, LAST_MONTH = "2023-01-01", "2024-12-01"
 
@@ -91,6 +92,19 @@ def partitioned_roundtrip(spark, sf):
     return read_snapshots(spark, path, rows.schema)
 
 
+def interrupted_publish(spark, sf):
+    """A month is written but not published, as by a driver that is lost; another
+    one is published after it."""
+    path = Scratch(spark).path("orders")
+    rows = orders_by_month(spark, sf)
+    write_snapshots(rows, path)
+    twice = rows.withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    lost = snapshot_slice(twice, ["1996-03-01"])
+    lost.write.partitionBy(SNAPSHOT).parquet(f"{path}/{VersionedTable(spark, path, SNAPSHOT).new_run()}")
+    write_snapshots(snapshot_slice(twice, ["1997-10-01"]), path, dates=["1997-10-01", "1992-05-01"])
+    return read_snapshots(spark, path)
+
+
 def csv_ingest(spark, sf):
     path = Scratch(spark).path("customer-csv")
     source = given(spark, sf, "customer").withColumn("opened", F.lit("2023-01-01"))
@@ -387,18 +401,17 @@ def index_frozen(spark, sf):
 
 
 def one_hot_vectors(spark, sf):
-    """Sparse ML vectors, taken apart by their own text form."""
-    events = _typed_events(spark, sf)
-    levels = encode.fit_levels(events, ["event_type"], Scratch(spark))
-    vectors = encode.one_hot_columns(events, levels).withColumn(
-        "v", F.to_json(F.struct(encode.sparse_vector(F.col("event_type_ohe")).alias("v")))
-    )
+    """Sparse ML vectors, taken apart into their stored form."""
+    events, scratch = _typed_events(spark, sf), Scratch(spark)
+    levels = encode.fit_levels(events, ["event_type"], scratch)
+    vectors = encode.with_vectors(encode.one_hot_columns(events, levels), ["event_type_ohe"], scratch)
+    stored = F.unwrap_udt("event_type_ohe")
     return vectors.select(
         "event_id",
         SNAPSHOT,
-        F.get_json_object("v", "$.v.size").cast("int").alias("size"),
-        F.get_json_object("v", "$.v.indices[0]").cast("int").alias("index"),
-        F.get_json_object("v", "$.v.values[0]").cast("double").alias("value"),
+        stored["size"].alias("size"),
+        F.get(stored["indices"], F.lit(0)).alias("index"),
+        F.get(stored["values"], F.lit(0)).alias("value"),
     )
 
 
@@ -585,6 +598,7 @@ QUERIES = {
     "q_replicated_snapshots": replicated_snapshots,
     "q_snapshot_audit": snapshot_audit,
     "q_partitioned_roundtrip": partitioned_roundtrip,
+    "q_interrupted_publish": interrupted_publish,
     "q_csv_ingest": csv_ingest,
     "q_month_spine_gaps": month_spine_gaps,
     "q_strip_parse_int": strip_parse_int,

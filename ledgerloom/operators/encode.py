@@ -14,6 +14,7 @@ shuffles large ones, where adaptive execution splits hot values.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -204,21 +205,30 @@ def one_hot_columns(
     return out.select(*kept, *vectors, *added)
 
 
-def sparse_vector(vector: Column) -> Column:
-    """A one-hot vector as a sparse ML vector; nothing is as wide as the vocabulary.
+def with_vectors(df: DataFrame, columns: Sequence[str], scratch: Scratch) -> DataFrame:
+    """``df``, stored, with its ``{size, slot}`` columns as sparse ML vectors; nothing is
+    as wide as the vocabulary.
 
-    Built-in functions make ML vectors from dense arrays only, so the vector's
-    parts take the way through JSON, which reads any type.
+    Built-in functions make ML vectors from dense arrays only.  A stored vector is
+    a struct, though: the columns are written as such structs and read back under
+    the vector type, which costs no conversion at all.
     """
-    some = vector["slot"].isNotNull()
-    parts = F.struct(
-        F.lit(0).alias("type"),
-        vector["size"].alias("size"),
-        F.when(some, F.array(vector["slot"])).otherwise(F.array().cast("array<int>")).alias("indices"),
-        F.when(some, F.array(F.lit(1.0))).otherwise(F.array().cast("array<double>")).alias("values"),
+    parts = {}
+    for c in columns:
+        size, slot = F.col(c)["size"], F.col(c)["slot"]
+        some = slot.isNotNull()
+        parts[c] = F.struct(
+            F.lit(0).cast("tinyint").alias("type"),
+            size.alias("size"),
+            F.when(some, F.array(slot)).otherwise(F.array().cast("array<int>")).alias("indices"),
+            F.when(some, F.array(F.lit(1.0))).otherwise(F.array().cast("array<double>")).alias("values"),
+        )
+    stored = scratch.path(f"vectors-{uuid.uuid4().hex}")
+    df.withColumns(parts).write.parquet(stored)
+    schema = T.StructType(
+        [T.StructField(f.name, VectorUDT()) if f.name in columns else f for f in df.schema]
     )
-    schema = T.StructType([T.StructField("v", VectorUDT())])
-    return F.from_json(F.to_json(F.struct(parts.alias("v"))), schema.json())["v"]
+    return scratch.spark.read.schema(schema).parquet(stored)
 
 
 def dense(vector: Column) -> Column:

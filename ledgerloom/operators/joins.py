@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ledgerloom.schemas import CUSTOMER, SNAPSHOT
 
@@ -100,30 +102,62 @@ def _salt(df: DataFrame, own: int, key: str, hot: DataFrame, salts: Sequence[str
 
 
 def as_of_join(
-    rows: DataFrame, sides: Sequence[DataFrame], key: str = CUSTOMER, when: str = SNAPSHOT
+    rows: DataFrame,
+    sides: Sequence[DataFrame],
+    key: str = CUSTOMER,
+    when: str = SNAPSHOT,
+    *,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Each of ``rows`` with the latest row of every side not after its ``when``.
 
-    Rows without one in some side are left out.  A side has one row per key
-    and date after :func:`latest_per_date`, and dates are few per key, so a key
-    brings a short sorted list; no row of a side is repeated per row.
+    Rows without one in some side, without key or without date are left out.  Rows
+    and dated side rows are laid out in the order of their dates, once for all
+    sides, and each row takes the last side rows before it: no key's side rows are
+    gathered, and no row multiplies.
+
+    ``hot`` is a :func:`hot_keys` table of ``rows`` alone.  A hot key's rows are
+    spread over its salts, and its side rows, one per date, repeated for each.
+    The tables must then be read from files, whose row order is stable, so that a
+    repeated task assigns the same salts.
     """
-    out = rows
-    for side in sides:
-        kept = [c for c in side.columns if c not in (key, when)]
-        one = F.struct(F.col(when).alias("__at"), *kept)
-        # dates per key are those of the calendar
-        listed = latest_per_date(side, key, when).groupBy(key).agg(
-            F.sort_array(F.collect_list(one)).alias("__dated")
-        )
-        past = F.filter("__dated", lambda s: s["__at"] <= F.col(when))
-        out = (
-            out.join(listed, key)
-            .withColumn("__last", F.try_element_at(past, F.lit(-1)))
-            .where(F.col("__last").isNotNull())
-            .select(*out.columns, *[F.col(f"__last.{c}").alias(c) for c in kept])
-        )
-    return out
+    parts = [rows.where(F.col(key).isNotNull() & F.col(when).isNotNull())] + [
+        latest_per_date(side, key, when) for side in sides
+    ]
+    kept = [[c for c in df.columns if c not in (key, when)] for df in parts]
+    if hot is not None:
+        # as many rows as pieces of the table at most
+        salts = F.broadcast(hot.select(key, F.col("salts_0").alias("__salts")))
+        parts = [df.join(salts, key, "left") for df in parts]
+        count = F.coalesce("__salts", F.lit(1))
+        own = F.pmod(F.monotonically_increasing_id(), count).cast("int")
+        parts = [parts[0].withColumn("__salt", own)] + [
+            df.withColumn("__salt", F.explode(F.sequence(F.lit(0), count - 1))) for df in parts[1:]
+        ]
+    else:
+        parts = [df.withColumn("__salt", F.lit(0)) for df in parts]
+    kinds = [T.StructType([df.schema[c] for c in names]) for df, names in zip(parts, kept, strict=True)]
+
+    def laid_out(i: int) -> DataFrame:
+        held = [
+            (F.struct(*kept[i]) if j == i else F.lit(None)).cast(kind).alias(f"__{j}") for j, kind in enumerate(kinds)
+        ]
+        # a side row of the same date comes before the rows
+        return parts[i].select(key, when, "__salt", F.lit(int(i == 0)).alias("__last"), *held)
+
+    before = (
+        Window.partitionBy(key, "__salt").orderBy(when, "__last").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    lines = reduce(DataFrame.unionByName, [laid_out(i) for i in range(len(parts))])
+    found = [f"__{j}" for j in range(1, len(parts))]
+    out = lines.select(key, when, "__last", "__0", *[F.last(c, ignorenulls=True).over(before).alias(c) for c in found])
+    out = out.where(F.col("__last") == 1)
+    for c in found:
+        out = out.where(F.col(c).isNotNull())
+    columns = [F.col(c) if c in (key, when) else F.col(f"__0.{c}").alias(c) for c in rows.columns]
+    return out.select(
+        *columns, *[F.col(f"__{j}.{c}").alias(c) for j in range(1, len(parts)) for c in kept[j]]
+    )
 
 
 def latest_per_date(side: DataFrame, key: str, when: str) -> DataFrame:

@@ -19,9 +19,9 @@ from ledgerloom.operators.encode import (
     look_up,
     number_levels,
     one_hot_columns,
-    sparse_vector,
+    with_vectors,
 )
-from ledgerloom.operators.joins import as_of_join, feature_join, hot_keys
+from ledgerloom.operators.joins import as_of_join, feature_join, hot_keys, key_counts
 from ledgerloom.operators.labels import build_labels
 from ledgerloom.operators.profile import JoinProfile, profile_join
 from ledgerloom.operators.scale import assemble, assemble_scaled, fit_min_max, skip_incomplete
@@ -53,18 +53,24 @@ def _sides(attributes: DataFrame, financials: DataFrame) -> list[DataFrame]:
 
 
 def join_features(
-    clickstream: DataFrame, attributes: DataFrame, financials: DataFrame, *, as_of: bool = False, **options
+    clickstream: DataFrame,
+    attributes: DataFrame,
+    financials: DataFrame,
+    *,
+    as_of: bool = False,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Each clickstream row with every attribute and financial row of its customer.
 
     The side tables take part with all their snapshots, as published.  With
     ``as_of`` they take part with their latest row that is not after the
     click's snapshot: one result row per click, and nothing from its future.
+    ``hot`` is that of the joins: of all tables, or with ``as_of`` of clickstream.
     """
     sides = _sides(attributes, financials)
     if as_of:
-        return as_of_join(clickstream, sides)
-    return feature_join(clickstream, [df.drop(SNAPSHOT) for df in sides], **options)
+        return as_of_join(clickstream, sides, hot=hot)
+    return feature_join(clickstream, [df.drop(SNAPSHOT) for df in sides], hot=hot)
 
 
 def profile(clickstream: DataFrame, sides: Sequence[DataFrame], scratch: Scratch) -> JoinProfile:
@@ -112,7 +118,9 @@ def build_features(
     """
     spark, categories = scratch.spark, schemas.CATEGORIES
     if as_of:
-        joined = join_features(clickstream, attributes, financials, as_of=True)
+        hot = scratch.stage(hot_keys(scratch.stage(key_counts([clickstream]), "key-counts")), "hot-keys")
+        some = None if hot.isEmpty() else hot
+        joined = join_features(clickstream, attributes, financials, as_of=True, hot=some)
         joined = scratch.stage(joined, "joined", cluster_by=SNAPSHOT)
         limits = fit_min_max(skip_incomplete(joined, schemas.NUMERIC_FEATURES), schemas.NUMERIC_FEATURES)
         fitted = side_by_side(
@@ -122,7 +130,7 @@ def build_features(
                 "tuples": lambda: scratch.stage(count_tuples(joined, categories), "tuples"),
             },
         )
-        counted, hot = [fitted["tuples"]], None
+        counted = [fitted["tuples"]]
         limits = fitted["limits"]
     else:
         sides = [df.drop(SNAPSHOT) for df in _sides(attributes, financials)]
@@ -163,15 +171,12 @@ def audit_dropped(
     return totals.select(SNAPSHOT, "joined", (F.col("joined") - F.col("kept")).alias("dropped"))
 
 
-def as_vectors(features: DataFrame) -> DataFrame:
+def as_vectors(features: DataFrame, scratch: Scratch) -> DataFrame:
     """One-hot codes and numeric arrays as ML vectors, for estimators that want
-    them; one-hot vectors are sparse, whatever their width."""
-    return features.withColumns(
-        {
-            **{f"{c}_ohe": sparse_vector(F.col(f"{c}_ohe")) for c in schemas.CATEGORIES},
-            "numeric_features": array_to_vector("numeric_features"),
-            "scaled_numeric_features": array_to_vector("scaled_numeric_features"),
-        }
+    them; one-hot vectors are sparse, whatever their width.  The result reads from
+    ``scratch``."""
+    return with_vectors(features, [f"{c}_ohe" for c in schemas.CATEGORIES], scratch).withColumns(
+        {c: array_to_vector(c) for c in ("numeric_features", "scaled_numeric_features")}
     )
 
 

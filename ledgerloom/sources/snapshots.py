@@ -1,16 +1,17 @@
-"""Tables laid out as one directory per snapshot: slice, write, read."""
+"""Tables of a directory per snapshot: slice, write in one step, read."""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Collection, Sequence
+from collections.abc import Sequence
+from functools import reduce
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.schemas import SNAPSHOT
+from ledgerloom.sources.versions import NO_DATE, RUN, VersionedTable
 
 
 def as_date(value: str | dt.date) -> dt.date:
@@ -47,79 +48,41 @@ def write_snapshots(
     snapshot: str = SNAPSHOT,
     clustered: bool = False,
 ) -> None:
-    """Overwrite just the snapshots present in ``df`` (and those in ``dates``).
+    """Overwrite just the snapshots present in ``df`` (and those in ``dates``), in one
+    step: readers see all of the table as it was, or all of it as it will be.
+
+    The rows go to a new directory beside the stored ones; then the table's next
+    version, which names a directory per snapshot, takes effect by the renaming of
+    one file (:mod:`~ledgerloom.sources.versions`).  A driver that is lost before
+    has changed nothing, and one lost after it has only left files to remove.
 
     Rows of all snapshots usually sit mixed in every task, which would write
     one small file per task and snapshot.  The rebalance hint regroups them by
     snapshot and, unlike a plain repartition, lets AQE cut a large snapshot
     into several evenly sized tasks.  ``clustered=True`` skips that shuffle for
     input that was read from, and still is in, snapshot order.
-
-    Dynamic overwrite leaves directories alone that receive no row, so an
-    earlier snapshot of ``dates`` that now has no rows is removed explicitly.
-    Which dates did receive rows is observed during the write itself.
     """
     spark = df.sparkSession
-    if dates is None:
-        _write(df, path, snapshot, clustered)
-        return
-    seen = Observation()
-    # At most one entry per snapshot directory.
-    _write(df.observe(seen, F.collect_set(snapshot).alias("days")), path, snapshot, clustered)
-    stored = snapshot_directories(spark, path, snapshot)
-    stale = (stored.keys() & {as_date(d) for d in dates}) - _observed_days(seen, df, stored)
-    for day in stale:
-        hadoop_path, files = _hadoop(spark, stored[day])
-        files.delete(hadoop_path, True)
-    if dates and stored.keys() == stale:
-        # Nothing is stored at all: one empty file keeps the schema readable.
-        body = T.StructType([f for f in df.schema if f.name != snapshot])
-        empty = f"{path}/{snapshot}={min(as_date(d) for d in dates).isoformat()}"
-        spark.createDataFrame([], body).write.mode("overwrite").parquet(empty)
-
-
-def _observed_days(seen: Observation, df: DataFrame, stored: Collection[dt.date]) -> set[dt.date]:
-    try:
-        return set(seen.get["days"])
-    except Py4JJavaError:
-        # A plan that the optimizer proves empty loses its metrics.  If that is
-        # not the reason, count every stored snapshot as written.
-        return set() if df.isEmpty() else set(stored)
-
-
-def _write(df: DataFrame, path: str, snapshot: str, clustered: bool) -> None:
-    if not clustered and df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+    if not clustered and spark.conf.get("spark.sql.adaptive.enabled") != "true":
         raise ValueError("regrouping by snapshot needs spark.sql.adaptive.enabled")
+    table = VersionedTable(spark, path, snapshot)
     out = df if clustered else df.hint("rebalance", F.col(snapshot))
-    (
-        out.write.mode("overwrite")
-        .partitionBy(snapshot)
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(path)
-    )
-
-
-def _hadoop(spark: SparkSession, path: str):
-    """A path and its file system, for directory listings and removals."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    run = table.new_run()
+    out.write.partitionBy(snapshot).parquet(f"{path.rstrip('/')}/{run}")
+    emptied = {as_date(d).isoformat() for d in dates or ()}
+    body = T.StructType([f for f in df.schema if f.name != snapshot] + [df.schema[snapshot]])
+    table.publish(run, emptied, body)
+    table.remove_superseded()
 
 
 def snapshot_directories(
     spark: SparkSession, path: str, snapshot: str = SNAPSHOT
 ) -> dict[dt.date, str]:
-    """The stored snapshots and their directories; lists one level, reads no data."""
-    hadoop_path, files = _hadoop(spark, path)
-    if not files.exists(hadoop_path):
-        return {}
-    prefix = f"{snapshot}="
-    found = {}
-    for status in files.listStatus(hadoop_path):
-        name = status.getPath().getName()
-        value = name.removeprefix(prefix)
-        if name != value and value != "__HIVE_DEFAULT_PARTITION__":
-            found[as_date(value)] = status.getPath().toString()
-    return found
+    """The stored snapshots and their directories; reads no data."""
+    stored = VersionedTable(spark, path, snapshot).current().directories
+    return {
+        as_date(day): f"{path.rstrip('/')}/{directory}" for day, directory in stored.items() if day != NO_DATE
+    }
 
 
 def read_snapshots(
@@ -130,10 +93,25 @@ def read_snapshots(
     dates: Sequence[str | dt.date] | None = None,
     snapshot: str = SNAPSHOT,
 ) -> DataFrame:
-    """Read some or all snapshots; ``dates`` prunes directories, not rows."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    df = reader.parquet(path)
-    if dates is None:
+    """Read some or all snapshots of the table's current version; ``dates`` prunes
+    directories, not rows."""
+    version = VersionedTable(spark, path, snapshot).current()
+    wanted = None if dates is None else {as_date(d).isoformat() for d in dates}
+    chosen = [d for day, d in sorted(version.directories.items()) if wanted is None or day in wanted]
+    schema = schema or version.schema
+    if version.number == 0:  # not written by this library
+        df = (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
+    elif not chosen:
+        df = spark.createDataFrame([], schema)
+    else:
+        root = path.rstrip("/")
+        parts = []
+        for inside in (True, False):
+            some = [f"{root}/{d}" for d in chosen if d.startswith(RUN) == inside]
+            if some:
+                parts.append(spark.read.schema(schema).option("basePath", root).parquet(*some).select(*schema.names))
+        df = reduce(DataFrame.unionByName, parts)
+    if wanted is None:
         return df
     return df.where(F.col(snapshot).isin([as_date(d) for d in dates]))
 

@@ -235,8 +235,10 @@ def test_index_and_one_hot(spark, scratch):
     levels = encode.fit_levels(df, ["x"], scratch)
     index = encode.index_columns(df, levels).orderBy("i").collect()
     assert [r["x_index"] for r in index] == [1, 0, 0, 2, 3, 0, 1]
-    vectors = encode.one_hot_columns(df, levels).withColumn("v", encode.sparse_vector(F.col("x_ohe")))
-    assert [(r.v.size, r.v.indices.tolist()) for r in vectors.orderBy("i").collect()] == [
+    vectors = encode.with_vectors(encode.one_hot_columns(df, levels), ["x_ohe"], scratch)
+    plan = vectors._jdf.queryExecution().executedPlan().toString()
+    assert not any(f in plan for f in ("from_json", "to_json", "UDF", "Project"))
+    assert [(r.x_ohe.size, r.x_ohe.indices.tolist()) for r in vectors.orderBy("i").collect()] == [
         (3, [1]), (3, [0]), (3, [0]), (3, [2]), (3, []), (1, [0]), (1, []),
     ]
     later = encode.index_columns(df, encode.frozen(levels, JAN, [JAN, FEB])).orderBy("i").collect()
@@ -342,6 +344,47 @@ def test_as_of_join(spark):
     assert sorted(map(tuple, got.select("snapshot_date", "v").collect())) == [(days[2], 3), (days[3], 3)]
 
 
+def as_of_by_hand(rows, sides):
+    out = []
+    for when, key, *own in rows:
+        found = []
+        for side in sides:
+            past = [r for r in side if r[1] == key and r[0] and when and r[0] <= when]
+            if key is None or not past:
+                break
+            found += max(past)[2:]
+        else:
+            out.append((when, key, *own, *found))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("pieces", [None, 3, 40])
+def test_as_of_join_of_a_hot_customer(spark, scratch, pieces):
+    """Equal to a search by hand, salted or not; rows spread over their salts."""
+    rng = random.Random(11)
+    days = [None, *[dt.date(2023, m, 1) for m in range(1, 9)]]
+
+    def table(n, high):
+        return [
+            (rng.choice(days), rng.choice(["hot"] * 6 + ["a", "b", "c", None]), rng.randrange(high), rng.randrange(high))
+            for _ in range(n)
+        ]
+
+    rows, one, two = table(400, 1000), table(25, 9), table(12, 9)
+    frames = [
+        scratch.stage(dated(spark, t, f"Customer_ID string, {n}1 int, {n}2 int").repartition(3), n)
+        for t, n in ((rows, "r"), (one, "s"), (two, "t"))
+    ]
+    hot = None
+    if pieces:
+        hot = joins.hot_keys(scratch.stage(joins.key_counts(frames[:1]), "counts"), pieces=pieces)
+        assert {r[0]: r[1] for r in hot.collect()}["hot"] > 1
+    got = joins.as_of_join(frames[0], frames[1:], hot=hot)
+    assert sorted(map(tuple, got.collect()), key=repr) == as_of_by_hand(rows, [one, two])
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and plan.count("Window [") == 1
+
+
 def test_rules_keep_every_row(spark, scratch):
     df = dated(spark, [(JAN, 1), (JAN, None), (None, 5), (None, None)], "x int")
     got = impute.fill_median(df, ["x"], scratch=scratch)
