@@ -159,6 +159,16 @@ joined AS (
   JOIN ({CLEAN_ATTRIBUTES}) a ON c.Customer_ID = a.Customer_ID
   JOIN fin ON c.Customer_ID = fin.Customer_ID)"""
 
+# years or months alone are a duration as well
+_YEARS, _MONTHS = (
+    f"try_cast(nullif(regexp_extract(Credit_History_Age, '([0-9]+) {part}', 1), '') AS int)" for part in ("Year", "Month")
+)
+JOINED_LENIENT = JOINED.replace(
+    MONTHS.format(x="Credit_History_Age"),
+    f"CASE WHEN coalesce({_YEARS}, {_MONTHS}) IS NOT NULL "
+    f"THEN 12 * coalesce({_YEARS}, 0) + coalesce({_MONTHS}, 0) END",
+)
+
 FEATURE_STORE = f"""
 WITH {JOINED}, {','.join(_vocabulary(c) for c in CATEGORIES)},
 complete AS (SELECT * FROM joined WHERE {_COMPLETE}),
@@ -366,6 +376,21 @@ SELECT o_orderkey, CASE WHEN o_orderkey % 6 IN (0, 1, 3) THEN 'Unknown' WHEN o_o
     f"FROM ({HOLES}) p",
     "q_clean_clickstream": CLEAN_CLICKSTREAM,
     "q_clean_attributes": CLEAN_ATTRIBUTES,
+    "q_clean_attributes_strict": "SELECT Customer_ID, Age, coalesce(Occupation, 'Unknown') AS Occupation, "
+    f"snapshot_date FROM ({CLEAN_ATTRIBUTES}) a",
+    "q_clean_financials_strict": "SELECT * REPLACE (coalesce(Credit_Mix, 'Unknown') AS Credit_Mix, "
+    f"coalesce(Payment_of_Min_Amount, 'Unknown') AS Payment_of_Min_Amount) FROM ({clean_financials()}) f",
+    "q_derived_financials": f"""
+SELECT Customer_ID,
+  CASE WHEN list_contains(entries, 'Loan') THEN 'Yes' ELSE 'No' END AS has_Loan,
+  CASE WHEN list_contains(entries, 'Auto Loan') THEN 'Yes' ELSE 'No' END AS has_Auto_Loan,
+  CASE WHEN list_contains(entries, 'Student Loan') THEN 'Yes' ELSE 'No' END AS has_Student_Loan,
+  CASE WHEN list_contains(entries, 'Personal Loan') THEN 'Yes' ELSE 'No' END AS has_Personal_Loan,
+  CASE WHEN y IS NOT NULL OR m IS NOT NULL THEN coalesce(12 * y, 0) + coalesce(m, 0) END AS months
+FROM (SELECT Customer_ID, string_split(replace(Type_of_Loan, ', and ', ', '), ', ') AS entries,
+  try_cast(nullif(regexp_extract(Credit_History_Age, '([0-9]+) Year', 1), '') AS int) AS y,
+  try_cast(nullif(regexp_extract(Credit_History_Age, '([0-9]+) Month', 1), '') AS int) AS m
+  FROM ({raw_sql('financials')}) r) parts""",
     "q_clean_financials": clean_financials(),
     "q_clean_financials_published": clean_financials("Unkonwn", "ba"),
     "q_membership_flags": f"SELECT p_partkey, {flags('p_name', TERMS)} FROM part",
@@ -419,6 +444,9 @@ JOIN (SELECT {PRODUCT_KEYS['region']} AS user_id, r_regionkey FROM region) r ON
     "q_feature_store_as_of": FEATURE_STORE_AS_OF,
     "q_dropped_rows": f"""
 WITH {JOINED} SELECT snapshot_date, count(*) AS joined, count(*) - count(*) FILTER ({_COMPLETE}) AS dropped
+FROM joined GROUP BY 1""",
+    "q_dropped_rows_lenient": f"""
+WITH {JOINED_LENIENT} SELECT snapshot_date, count(*) AS joined, count(*) - count(*) FILTER ({_COMPLETE}) AS dropped
 FROM joined GROUP BY 1""",
     "q_legacy_slices": "SELECT o_orderkey, o_custkey, o_totalprice, "
     "make_date(2023, month(o_orderdate), 1) AS snapshot_date FROM orders",

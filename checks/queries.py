@@ -315,8 +315,11 @@ def clean_clickstream(spark, sf):
     return silver.clean_clickstream(raw(spark, sf, "clickstream"))
 
 
-def clean_attributes(spark, sf):
-    return silver.clean_attributes(raw(spark, sf, "attributes"), scratch=Scratch(spark))
+STRICT = silver.CleaningRules(null_too=True, drop_pii=True)
+
+
+def clean_attributes(spark, sf, choices=silver.CleaningRules()):
+    return silver.clean_attributes(raw(spark, sf, "attributes"), choices, Scratch(spark))
 
 
 def clean_financials(spark, sf, choices=silver.CleaningRules()):
@@ -348,6 +351,26 @@ def text_flags(spark, sf):
     )
 
 
+LOAN_TERMS = ["Loan", "Auto Loan", "Student Loan", "Personal Loan"]
+
+
+def derived_financials(spark, sf):
+    """Exact loan flags and partial durations of the loan texts."""
+    loans, age = F.col("Type_of_Loan"), F.col("Credit_History_Age")
+    return raw(spark, sf, "financials").select(
+        "Customer_ID",
+        *[rules.membership_flag(loans, t, exact=True).alias(schemas.flag_name(t)) for t in LOAN_TERMS],
+        rules.duration_months(age, missing_as_zero=True).alias("months"),
+    )
+
+
+def dropped_rows_lenient(spark, sf):
+    """Fewer rows are incomplete where years alone are a duration."""
+    scratch = Scratch(spark)
+    choices = gold.FeatureRules(exact_loans=True, missing_as_zero=True)
+    return gold.audit_dropped(*_silver(spark, sf, scratch), scratch, choices=choices)
+
+
 def duration_months(spark, sf):
     text = F.expr(
         "CASE p_partkey % 6 WHEN 0 THEN concat(cast(p_size AS string), ' Years') "
@@ -618,11 +641,14 @@ QUERIES = {
     "q_fill_all_numeric": fill_all_numeric,
     "q_clean_clickstream": clean_clickstream,
     "q_clean_attributes": clean_attributes,
+    "q_clean_attributes_strict": partial(clean_attributes, choices=STRICT),
     "q_clean_financials": clean_financials,
+    "q_clean_financials_strict": partial(clean_financials, choices=STRICT),
     "q_clean_financials_published": partial(clean_financials, choices=silver.PUBLISHED_RULES),
     "q_membership_flags": membership_flags,
     "q_text_flags": text_flags,
     "q_duration_months": duration_months,
+    "q_derived_financials": derived_financials,
     "q_level_counts": level_counts,
     "q_index": index,
     "q_index_medium": index_props,
@@ -640,6 +666,7 @@ QUERIES = {
     "q_feature_store": feature_store,
     "q_feature_store_as_of": partial(feature_store, as_of=True),
     "q_dropped_rows": dropped_rows,
+    "q_dropped_rows_lenient": dropped_rows_lenient,
     "q_legacy_slices": legacy_slices,
     "q_backfill_features": backfill_features,
     "q_backfill_labels": backfill_labels,

@@ -19,6 +19,7 @@ from ledgerloom.operators.audit import row_counts
 from ledgerloom.plans import bronze, gold, silver
 from ledgerloom.plans.bronze import FEATURE_TABLES, LEDGER_TABLE, table_path
 from ledgerloom.plans.calendar import month_starts
+from ledgerloom.plans.gold import FeatureRules
 from ledgerloom.plans.silver import CleaningRules
 from ledgerloom.sources.jobs import side_by_side
 from ledgerloom.sources.snapshots import read_snapshots
@@ -43,6 +44,7 @@ def backfill(
     mob: int = 6,
     undated: str = "error",
     choices: CleaningRules = CleaningRules(),
+    features: FeatureRules = FeatureRules(),
 ) -> None:
     """Build ``layers`` for every month start between ``start`` and ``end``.
 
@@ -60,7 +62,7 @@ def backfill(
             "silver-ledger": lambda: silver.refine_ledger(spark, lake, dates),
         },
         "gold": {
-            "gold-features": lambda: gold.publish_features(spark, lake, dates),
+            "gold-features": lambda: gold.publish_features(spark, lake, dates, choices=features),
             "gold-labels": lambda: gold.publish_labels(spark, lake, dates, dpd=dpd, mob=mob),
         },
     }

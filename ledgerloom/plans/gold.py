@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml.functions import array_to_vector
@@ -32,23 +33,39 @@ from ledgerloom.sources.scratch import Scratch
 from ledgerloom.sources.snapshots import read_snapshots, write_snapshots
 
 
-def derive_financials(df: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class FeatureRules:
+    """Choices of the derived features; the defaults are the published ones.
+
+    ``exact_loans`` flags a loan type only where an entry of the list is it, not
+    where it is part of a longer name.  ``missing_as_zero`` takes a credit history
+    of years or months alone as it stands, instead of as unknown.
+    """
+
+    exact_loans: bool = False
+    missing_as_zero: bool = False
+
+
+def derive_financials(df: DataFrame, choices: FeatureRules = FeatureRules()) -> DataFrame:
     """Loan type flags and credit history in months, instead of their texts."""
+    loans, age = F.col("Type_of_Loan"), F.col("Credit_History_Age")
     return df.withColumns(
         {
             **{
-                schemas.flag_name(term): rules.membership_flag(F.col("Type_of_Loan"), term)
+                schemas.flag_name(term): rules.membership_flag(loans, term, exact=choices.exact_loans)
                 for term in schemas.LOAN_TYPES
             },
-            "Credit_History_Month": rules.duration_months(F.col("Credit_History_Age")),
+            "Credit_History_Month": rules.duration_months(age, missing_as_zero=choices.missing_as_zero),
         }
     ).drop("Credit_History_Age")
 
 
-def _sides(attributes: DataFrame, financials: DataFrame) -> list[DataFrame]:
+def _sides(
+    attributes: DataFrame, financials: DataFrame, choices: FeatureRules = FeatureRules()
+) -> list[DataFrame]:
     """What gold needs of the side tables, derived before any join."""
     return [
-        df.drop(*schemas.IDENTIFYING_COLUMNS) for df in (attributes, derive_financials(financials))
+        df.drop(*schemas.IDENTIFYING_COLUMNS) for df in (attributes, derive_financials(financials, choices))
     ]
 
 
@@ -59,6 +76,7 @@ def join_features(
     *,
     as_of: bool = False,
     hot: DataFrame | None = None,
+    choices: FeatureRules = FeatureRules(),
 ) -> DataFrame:
     """Each clickstream row with every attribute and financial row of its customer.
 
@@ -67,7 +85,7 @@ def join_features(
     click's snapshot: one result row per click, and nothing from its future.
     ``hot`` is that of the joins: of all tables, or with ``as_of`` of clickstream.
     """
-    sides = _sides(attributes, financials)
+    sides = _sides(attributes, financials, choices)
     if as_of:
         return as_of_join(clickstream, sides, hot=hot)
     return feature_join(clickstream, [df.drop(SNAPSHOT) for df in sides], hot=hot)
@@ -104,6 +122,7 @@ def build_features(
     scratch: Scratch,
     *,
     as_of: bool = False,
+    choices: FeatureRules = FeatureRules(),
 ) -> DataFrame:
     """The feature store of all snapshots of ``clickstream``.
 
@@ -120,7 +139,7 @@ def build_features(
     if as_of:
         hot = scratch.stage(hot_keys(scratch.stage(key_counts([clickstream]), "key-counts")), "hot-keys")
         some = None if hot.isEmpty() else hot
-        joined = join_features(clickstream, attributes, financials, as_of=True, hot=some)
+        joined = join_features(clickstream, attributes, financials, as_of=True, hot=some, choices=choices)
         joined = scratch.stage(joined, "joined", cluster_by=SNAPSHOT)
         limits = fit_min_max(skip_incomplete(joined, schemas.NUMERIC_FEATURES), schemas.NUMERIC_FEATURES)
         fitted = side_by_side(
@@ -133,7 +152,7 @@ def build_features(
         counted = [fitted["tuples"]]
         limits = fitted["limits"]
     else:
-        sides = [df.drop(SNAPSHOT) for df in _sides(attributes, financials)]
+        sides = [df.drop(SNAPSHOT) for df in _sides(attributes, financials, choices)]
         found = profile(clickstream, sides, scratch)
         fitted = side_by_side(
             spark,
@@ -163,10 +182,15 @@ def build_features(
 
 
 def audit_dropped(
-    clickstream: DataFrame, attributes: DataFrame, financials: DataFrame, scratch: Scratch
+    clickstream: DataFrame,
+    attributes: DataFrame,
+    financials: DataFrame,
+    scratch: Scratch,
+    *,
+    choices: FeatureRules = FeatureRules(),
 ) -> DataFrame:
     """Per snapshot, ``joined`` rows and how many are ``dropped`` as incomplete."""
-    sides = [df.drop(SNAPSHOT) for df in _sides(attributes, financials)]
+    sides = [df.drop(SNAPSHOT) for df in _sides(attributes, financials, choices)]
     totals = profile(clickstream, sides, scratch).totals()
     return totals.select(SNAPSHOT, "joined", (F.col("joined") - F.col("kept")).alias("dropped"))
 
@@ -186,6 +210,7 @@ def publish_features(
     dates: Sequence[str | dt.date] | None = None,
     *,
     as_of: bool = False,
+    choices: FeatureRules = FeatureRules(),
 ) -> DataFrame:
     """Silver features to the feature store; returns the stored snapshots."""
     path = table_path(lake, "gold", "feature_store")
@@ -200,6 +225,7 @@ def publish_features(
             silver("financials"),
             scratch,
             as_of=as_of,
+            choices=choices,
         )
         write_snapshots(features, path, dates=dates, clustered=True)
     return read_snapshots(spark, path, dates=dates)

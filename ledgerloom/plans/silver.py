@@ -28,13 +28,18 @@ class CleaningRules:
     ``mismatch`` replaces values of the wrong pattern and placeholder
     occupations, ``unknown`` the other missing categories.  ``cards_from`` is
     the column whose median replaces credit card outliers.  ``accuracy``
-    selects sketched quantiles instead of exact ones.
+    selects sketched quantiles instead of exact ones.  ``null_too`` treats a missing
+    occupation, credit mix or minimum payment like its placeholders.  ``drop_pii``
+    leaves names and social security numbers out of silver, which no later layer
+    reads.
     """
 
     mismatch: str = rules.UNKNOWN
     unknown: str = rules.UNKNOWN
     cards_from: str = "Num_Credit_Card"
     accuracy: int | None = None
+    null_too: bool = False
+    drop_pii: bool = False
 
 
 # The published rules to the letter: a misspelt sentinel, and card outliers
@@ -57,10 +62,16 @@ def clean_attributes(
             "Age": rules.null_out_of_range(typed(df, "Age", "int", strip="_"), lo, hi),
             "SSN": rules.valid_or(F.col("SSN"), schemas.SSN_PATTERN, choices.mismatch),
             "Occupation": rules.placeholder_to(
-                F.col("Occupation"), schemas.OCCUPATION_PLACEHOLDERS, choices.mismatch, trim=True
+                F.col("Occupation"),
+                schemas.OCCUPATION_PLACEHOLDERS,
+                choices.mismatch,
+                trim=True,
+                null_too=choices.null_too,
             ),
         }
     )
+    if choices.drop_pii:
+        parsed = parsed.drop(*schemas.PII_COLUMNS)
     filled = with_imputation(
         parsed, medians=["Age"], accuracy=choices.accuracy, scratch=scratch, few=["Age"]  # integers in AGE_RANGE
     )
@@ -91,10 +102,13 @@ def clean_financials(
             **{name: typed(df, name, "double") for name in ("Num_Bank_Accounts", "Num_Credit_Card")},
             "Type_of_Loan": rules.null_to(F.col("Type_of_Loan"), choices.unknown),
             "Credit_Mix": rules.placeholder_to(
-                F.col("Credit_Mix"), schemas.CREDIT_MIX_PLACEHOLDERS, choices.unknown
+                F.col("Credit_Mix"), schemas.CREDIT_MIX_PLACEHOLDERS, choices.unknown, null_too=choices.null_too
             ),
             "Payment_of_Min_Amount": rules.placeholder_to(
-                F.col("Payment_of_Min_Amount"), schemas.MIN_AMOUNT_PLACEHOLDERS, choices.unknown
+                F.col("Payment_of_Min_Amount"),
+                schemas.MIN_AMOUNT_PLACEHOLDERS,
+                choices.unknown,
+                null_too=choices.null_too,
             ),
             "Payment_Behaviour": rules.valid_or(
                 F.col("Payment_Behaviour"), schemas.PAYMENT_BEHAVIOUR_PATTERN, choices.mismatch

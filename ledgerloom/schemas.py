@@ -72,6 +72,7 @@ LOAN_DAILY = {
 SSN_PATTERN = r"^\d{3}-\d{2}-\d{4}$"
 PAYMENT_BEHAVIOUR_PATTERN = r"^[a-zA-Z]+_[a-zA-Z]+_[a-zA-Z]+_[a-zA-Z]+_[a-zA-Z]+$"
 YEARS_PATTERN = r"(\d+)\s+Years?"
+LIST_PATTERN = r"\s*,\s*(?:and\s+)?|\s+and\s+"
 MONTHS_PATTERN = r"(\d+)\s+Months?"
 OCCUPATION_PLACEHOLDERS = ["_______", ""]
 CREDIT_MIX_PLACEHOLDERS = ["_"]
@@ -127,7 +128,8 @@ NUMERIC_FEATURES = [
     "Credit_History_Month",
 ]
 
-IDENTIFYING_COLUMNS = ["Name", "SSN", "Type_of_Loan"]
+PII_COLUMNS = ["Name", "SSN"]
+IDENTIFYING_COLUMNS = [*PII_COLUMNS, "Type_of_Loan"]
 
 
 def flag_name(term: str) -> str:

@@ -136,3 +136,22 @@ def test_first_missed_date_clamps_to_month_end(spark):
         lambda c: ledger.first_missed_date(c, F.lit(1)),
     )
     assert got == [dt.date(2023, 2, 28), dt.date(2023, 2, 1)]
+
+
+def test_rule_options(spark):
+    rows = [("Auto Loan, and Home Equity Loan", "5 Years"), ("Not Auto Loan", "3 Months"), ("Auto Loan", "2 Years and 1 Month"), (None, "soon"), ("", None)]
+    df = spark.createDataFrame(rows, "loans string, age string").select(
+        rules.membership_flag(F.col("loans"), "Auto Loan").alias("part"),
+        rules.membership_flag(F.col("loans"), "Auto Loan", exact=True).alias("entry"),
+        rules.membership_flag(F.col("loans"), "Home Equity Loan", exact=True).alias("last"),
+        rules.duration_months(F.col("age")).alias("both"),
+        rules.duration_months(F.col("age"), missing_as_zero=True).alias("any"),
+        rules.placeholder_to(F.col("loans"), [""], "?", null_too=True).alias("filled"),
+    )
+    assert [tuple(r) for r in df.collect()] == [
+        ("Yes", "Yes", "Yes", None, 60, rows[0][0]),
+        ("Yes", "No", "No", None, 3, "Not Auto Loan"),
+        ("Yes", "Yes", "No", 25, 25, "Auto Loan"),
+        ("No", "No", "No", None, None, "?"),
+        ("No", "No", "No", None, None, "?"),
+    ]
