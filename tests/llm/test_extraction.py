@@ -101,23 +101,82 @@ PAGE = """<!DOCTYPE html><html><head><title>Site &amp; {i}</title><style>p{{}}</
 <footer>&copy; {i}</footer></body></html>"""
 
 
+def extracted(spark, rows):
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.page_id: r.text for r in extract.extract(df, Scratch(spark)).collect()}
+
+
+def on_a_host(n, html):
+    return [(i, f"https://host.example/{i}", html(i)) for i in range(n)]
+
+
 def test_template_of_a_host(spark):
-    """No article element: the main slot follows from where the text is, and a
-    constant line from its class."""
+    """No article element: slots follow from what varies, marked parts go."""
     long = "a long comment " * 30
-    rows = [(i, f"https://host.example/{i}", PAGE.format(i=i, long=long).replace("{body}", "")) for i in range(12)]
-    rows = [(i, u, h.replace("line<p>", f"line {'words of page %d ' % i * 30}<p>")) for i, u, h in rows]
-    df = spark.createDataFrame(rows, "page_id long, url string, html string")
-    template = {r.host: r for r in extract.template(
-        df.select(extract.host_of(F.col("url")).alias("host"), F.xxhash64("page_id").alias("page"), "html"),
-        Scratch(spark),
-    ).collect()}["host.example"]
-    assert template.main == "html/body.has-sidebar/div.content" and template.constants
-    for r in extract.extract(df, Scratch(spark)).collect():
-        i = r.page_id
+    got = extracted(
+        spark,
+        [
+            (i, u, h.replace("line<p>", f"line {'words of page %d ' % i * 30}<p>"))
+            for i, u, h in on_a_host(12, lambda i: PAGE.format(i=i, long=long))
+        ],
+    )
+    for i, text in got.items():
         middle = " ".join(("words of page %d " % i * 30).split())
-        # "two" and the line for readers are on all pages alike
-        assert r.text == f"Title {i} First bold text {i} line {middle} unclosed <{i} one {i}"
+        # "two" and the line for readers stand in slots, among text that varies
+        assert text == (
+            f"Title {i} First bold text {i} line {middle} unclosed <{i} Written for our readers. one {i} two"
+        )
+
+
+@pytest.mark.parametrize("n", [2, 3, 7, 8, 20])
+def test_constant_containers_go_at_any_number_of_pages(spark, n):
+    """Unmarked boilerplate, also where only some pages have it."""
+
+    def html(i):
+        some = "<div class='hint'><b>Read on</b> elsewhere</div>" if i % 2 == 0 else ""
+        return (
+            f"<html><head><title>t</title></head><body><div class='x'>Our site since 1999</div>{some}"
+            f"<div class='lead'>Lead {i}</div><div class='content'><p>Body {i}</p><p>The end</p></div></body></html>"
+        )
+
+    got = extracted(spark, on_a_host(n, html))
+    optional = "Read on elsewhere " if n < 3 else ""  # one page alone has it
+    assert got == {i: (optional if i % 2 == 0 else "") + f"Lead {i} Body {i} The end" for i in range(n)}
+
+
+def test_nothing_of_the_article_is_lost(spark):
+    two = on_a_host(10, lambda i: f"<article class=a>One {i}</article><div class=x>no</div><article class=b>Two {i}</article>")
+    assert extracted(spark, two) == {i: f"One {i} Two {i}" for i in range(10)}
+    study = (
+        "<article><div class='search-results-study'><p>We search for life.</p></div><div class='form-factor'>Small.</div>"
+        "<p class='legal'>By law.</p><p>Rest.</p><div class='related-posts'>More</div><div class=ad>Buy</div></article>"
+    )
+    assert extracted(spark, [(1, "http://h/1", study)]) == {1: "We search for life. Small. By law. Rest."}
+    # near copies that differ in one line
+    copies = on_a_host(9, lambda i: f"<html><body><div class=c><p>Same text.</p><p>Line {i}</p><p>Same end.</p></div></body></html>")
+    assert extracted(spark, copies) == {i: f"Same text. Line {i} Same end." for i in range(9)}
+    same = on_a_host(4, lambda i: "<html><body><div class=c><p>Same text.</p></div></body></html>")
+    assert extracted(spark, same) == {i: "Same text." for i in range(4)}
+
+
+def test_the_template_finds_the_articles_of_the_tables(spark):
+    """Given pages without their article elements give the same texts."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url", "html")
+    bare = pages.withColumn("html", F.regexp_replace("html", "(</?)article>", "$1div>"))
+    own = {r.page_id: r.text for r in extract.extract(pages, Scratch(spark)).collect()}
+    assert {r.page_id: r.text for r in extract.extract(bare, Scratch(spark)).collect()} == own
+
+
+def test_deep_nesting_takes_little_memory():
+    import tracemalloc
+
+    deep = "<div>" * 100_000
+    tracemalloc.start()
+    page = html_blocks.read(deep + "text" + "</section>" * 100_000 + "<p>" * 1000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [b.text for b in page.blocks] == ["text"] and len(page.tags) == 101_000
+    assert peak < 200 << 20
 
 
 def test_page_edges(spark):
