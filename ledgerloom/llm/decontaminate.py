@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerloom.sources.scratch import Scratch
 
@@ -34,6 +35,7 @@ WINDOW = 10
 GRAM = 5
 #: A fingerprint holds a hash above and the place of its run below.
 PLACES = 1 << 24
+LENGTH_BITS = 4
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -173,11 +175,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, scratch: Scratch) -> DataFr
     counted = hits.where("length = 0").select(*keys, F.col("place").alias("n_words"))
     starts = scratch.stage(_starts(hits.where("length > 0"), keys), "starts")
     found = scratch.stage(_extended(rows, starts, windows.select("window").distinct()), "found")
-    spans = (
-        found.groupBy(*keys)
-        .agg(F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("hit"))
-        .select(*keys, _merged(F.col("hit")).alias("spans"))
-    )
+    spans = _merged(found, keys)
     listed = (
         found.join(windows, "window")
         .select(*keys, F.col("item_id").cast("string").alias("item"))
@@ -216,7 +214,12 @@ def _starts(hits: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _extended(rows: DataFrame, starts: DataFrame, windows: DataFrame) -> DataFrame:
-    """The windows around each hit that an item has, by their words."""
+    """The windows around each hit that an item has, by their words.
+
+    A window's words are cut out before the windows become rows, so that no row
+    holds the text; a window is a number (its begin and, in ``LENGTH_BITS``, its
+    length) until then, as distinct numbers are found by hash.
+    """
     keys = ["doc_id", "row_hash"]
     size = F.size("words")
 
@@ -224,47 +227,55 @@ def _extended(rows: DataFrame, starts: DataFrame, windows: DataFrame) -> DataFra
         # every place of a run that is known modulo PLACES
         return F.transform(
             F.sequence(hit["first"], hit["place"]),
-            lambda i: F.struct(i.alias("begin"), hit["length"].alias("length")),
+            lambda i: F.shiftleft(i.cast("long"), LENGTH_BITS) + hit["length"],
         )
 
-    long_texts = F.transform(
+    turns = F.transform(
         F.sequence(F.lit(0), F.floor((size - 1) / PLACES)),
         lambda turn: F.transform(
             F.flatten(F.transform("hits", around)),
-            lambda w: F.struct((w["begin"] + turn * PLACES).alias("begin"), w["length"].alias("length")),
+            lambda w: w + F.shiftleft((turn * PLACES).cast("long"), LENGTH_BITS),
+        ),
+    )
+
+    def begin(w):
+        return F.shiftright(w, LENGTH_BITS)
+
+    def end(w):
+        return begin(w) + w.bitwiseAND(F.lit((1 << LENGTH_BITS) - 1))
+
+    inside = F.filter(F.array_distinct(F.flatten(turns)), lambda w: (begin(w) >= 0) & (end(w) <= size))
+    cut = F.transform(
+        inside,
+        lambda w: F.struct(
+            begin(w).cast("int").alias("begin"),
+            end(w).cast("int").alias("end"),
+            F.array_join(F.slice("words", begin(w).cast("int") + 1, (end(w) - begin(w)).cast("int")), " ").alias("window"),
         ),
     )
     # merged at any size: hits grow with the documents, so does what is shuffled
     return (
         same_row(rows.where("text is not null"), starts.hint("merge"), keys, "inner")
         .select(*keys, "hits", words(F.col("text")).alias("words"))
-        .select(*keys, "words", F.explode_outer(F.array_distinct(F.flatten(long_texts))).alias("w"))
-        .where((F.col("w.begin") >= 0) & (F.col("w.begin") + F.col("w.length") <= size))
-        .select(
-            *keys,
-            F.col("w.begin").cast("int").alias("begin"),
-            (F.col("w.begin") + F.col("w.length")).cast("int").alias("end"),
-            F.array_join(F.slice("words", F.col("w.begin").cast("int") + 1, F.col("w.length")), " ").alias(
-                "window"
-            ),
-        )
+        .select(*keys, F.explode_outer(cut).alias("w"))
+        .select(*keys, "w.*")
         .join(windows, "window")
         .distinct()
     )
 
 
-def _merged(spans: Column) -> Column:
-    """Sorted spans, those that overlap or touch put together."""
-    empty = F.array().cast("array<struct<begin:int,end:int>>")
-
-    def add(done, span):
-        last = F.element_at(done, -1)
-        joins = (F.size(done) > 0) & (F.get(done, F.size(done) - 1)["end"] >= span["begin"])
-        grown = F.struct(
-            last["begin"].alias("begin"), F.greatest(last["end"], span["end"]).alias("end")
-        )
-        return F.when(
-            joins, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(grown))
-        ).otherwise(F.concat(done, F.array(F.struct(span["begin"].alias("begin"), span["end"].alias("end")))))
-
-    return F.aggregate(spans, empty, add)
+def _merged(found: DataFrame, keys: list[str]) -> DataFrame:
+    """Per row the sorted ``spans``, those that overlap or touch put together."""
+    along = Window.partitionBy(*keys).orderBy("begin", "end")
+    before = F.max("end").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.when(F.coalesce(F.col("begin") > before, F.lit(True)), 1).otherwise(0)
+    return (
+        found.select(*keys, "begin", "end")
+        .distinct()
+        .withColumn("fresh", fresh)
+        .withColumn("stretch", F.sum("fresh").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy(*keys, "stretch")
+        .agg(F.min("begin").alias("begin"), F.max("end").alias("end"))
+        .groupBy(*keys)
+        .agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("spans"))
+    )

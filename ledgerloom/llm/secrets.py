@@ -3,9 +3,11 @@
 Three patterns find assignments, access keys and long hexadecimal runs.  Beside
 them, any run of ``LEAST`` or more key characters is split by a public byte-pair
 vocabulary: text that was written has several characters a token, a random
-string hardly more than one.  Runs below the ratio for their alphabet are
-reported as ``random``, unless they are digests of a known size, identifiers
-(UUIDs, plain numbers, words joined by signs) or lie in a span found before.
+string hardly more than one.  What the patterns found is cut out of a run; the
+rest, or else its parts between signs, is reported as ``random`` if it is below
+the ratio for its alphabet, unless it is a digest of a known size and alphabet,
+an identifier (a UUID, a plain number, words joined by signs) or made of few
+different characters.
 
 Defined cases: a null or empty text has no spans; spans are places of code
 points, the end exclusive, in order of begin and then of kind as in ``KINDS``;
@@ -48,7 +50,16 @@ LEAST = 20
 MIXED_RATIO, LETTERS_RATIO = 1.9, 1.6
 DIGEST_SIZES = frozenset((32, 40, 48, 56, 64, 96, 128))
 DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
-NAMED_DIGEST = re.compile(r"(?:md5|sha1|sha224|sha256|sha384|sha512)[-_=/]", re.IGNORECASE)
+NAMED_DIGEST = re.compile(r"(md5|sha1|sha224|sha256|sha384|sha512)[-_=/](.*)\Z", re.IGNORECASE)
+#: Bytes of the digests.
+DIGEST_BYTES = {"md5": 16, "sha1": 20, "sha224": 28, "sha256": 32, "sha384": 48, "sha512": 64}
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]+\Z")
+SIGNS = "+/_=-"
+PART = re.compile(r"[A-Za-z0-9]+")
+#: Different characters that a random string of ``LEAST`` has at least.
+VARIETY = 7
+#: Runs are tokenised in stretches of so many characters.
+STRETCH = 4096
 UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}\Z")
 NUMBER = re.compile(r"[0-9+/_=-]+\Z")
 #: Words (lower, upper or capitalised, perhaps numbered) joined by signs or case.
@@ -96,11 +107,22 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def is_named_digest(run: str) -> bool:
+    """``sha256-`` or the like with a digest of that size, hexadecimal or base 64."""
+    named = NAMED_DIGEST.match(run)
+    if not named:
+        return False
+    size, value = DIGEST_BYTES[named[1].lower()], named[2].rstrip("=")
+    if len(value) == 2 * size:
+        return bool(DIGEST.match(value))
+    return len(value) == -(-size * 4 // 3) and bool(BASE64.match(value))
+
+
 def is_known(run: str) -> bool:
     """A digest of a usual size, or an identifier."""
     return bool(
         (len(run) in DIGEST_SIZES and DIGEST.match(run))
-        or NAMED_DIGEST.match(run)
+        or is_named_digest(run)
         or UUID.match(run)
         or NUMBER.match(run)
         or WORDS.match(run)
@@ -108,27 +130,61 @@ def is_known(run: str) -> bool:
 
 
 def is_random(run: str, encoding) -> bool:
+    if len(set(run)) < VARIETY:
+        return False
     kinds = sum(bool(re.search(k, run)) for k in ("[a-z]", "[A-Z]", "[0-9]"))
     words = kinds == 1 or re.match("[A-Z]?[a-z]+\\Z", run)
-    ratio = len(run) / len(encoding.encode_ordinary(run))
-    return ratio < (LETTERS_RATIO if words else MIXED_RATIO) and not is_known(run)
+    tokens = sum(len(encoding.encode_ordinary(run[i : i + STRETCH])) for i in range(0, len(run), STRETCH))
+    return len(run) / tokens < (LETTERS_RATIO if words else MIXED_RATIO) and not is_known(run)
+
+
+def _random_in(text: str, begin: int, end: int, encoding) -> list[tuple[int, int, int]]:
+    """The stretch, without signs at its ends, if it is random, or else its parts that are."""
+    while begin < end and text[begin] in SIGNS:
+        begin += 1
+    while begin < end and text[end - 1] in SIGNS:
+        end -= 1
+    if end - begin < LEAST:
+        return []
+    run = text[begin:end]
+    if is_random(run, encoding):
+        return [(begin, 3, end)]
+    if is_known(run):
+        return []
+    return [
+        (begin + m.start(), 3, begin + m.end())
+        for m in PART.finditer(run)
+        if LEAST <= m.end() - m.start() < len(run) and is_random(m[0], encoding)
+    ]
 
 
 def spans_of(text: str, encoding) -> list[tuple[int, int, int]]:
+    """All spans; both lists of runs and of base spans are walked once."""
     found = base_spans(text)
-    more = []
+    more, at, reached = [], 0, 0
     for m in RUN.finditer(text):
         begin, end = m.span()
-        # signs at either end belong to what stands around
-        begin += len(m[0]) - len(m[0].lstrip("+/_=-"))
-        end -= len(m[0]) - len(m[0].rstrip("+/_=-"))
-        if end - begin < LEAST or any(b < end and begin < e for b, _, e in found):
-            continue
-        if is_random(text[begin:end], encoding):
-            more.append((begin, 3, end))
+        # ends of the base spans that begin before the run's end
+        while at < len(found) and found[at][0] < end:
+            b, _, e = found[at]
+            if begin < b:
+                more += _random_in(text, max(begin, reached), b, encoding)
+            reached, at = max(reached, e), at + 1
+            begin = max(begin, min(reached, end))
+        more += _random_in(text, max(begin, reached), end, encoding)
     return sorted(found + more)
 
 
+def redact(text: str, spans: list[tuple[int, int, int]], mark: str = SECRET) -> str:
+    """``text`` with each stretch of sorted spans replaced by ``mark``."""
+    parts, at = [], 0
+    for begin, _, end in spans:
+        if begin >= at:
+            parts += [text[at:begin], mark]
+        at = max(at, end)
+    return "".join([*parts, text[at:]]) if parts else text
+
+
 class Scanner:
     _made: dict[str, object] = {}
 
@@ -139,16 +195,21 @@ class Scanner:
         return cls._made[path]
 
 
-def scan(docs: DataFrame, ranks: str, pattern: str, column: str = "text") -> DataFrame:
+def scan(
+    docs: DataFrame, ranks: str, pattern: str, column: str = "text", *, redacted: str | None = None
+) -> DataFrame:
     """Add ``spans``: kind, begin and end of each.
 
     ``ranks`` is the vocabulary's file, ``pattern`` its rule for words.
+    ``redacted`` names a column (that of the text, or another one) that takes the
+    text with its spans replaced; null stays null.
     """
 
     def run(batches):
         encoding = Scanner.of(ranks, pattern)
         for batch in slices(batches, column):
-            spans = [spans_of(t, encoding) for t in texts_of(batch, column)]
+            texts = texts_of(batch, column)
+            spans = [spans_of(t, encoding) for t in texts]
             flat = [s for some in spans for s in some]
             items = pa.StructArray.from_arrays(
                 [
@@ -160,9 +221,14 @@ def scan(docs: DataFrame, ranks: str, pattern: str, column: str = "text") -> Dat
             )
             ends = np.cumsum([0] + [len(s) for s in spans], dtype=np.int32)
             made = pa.ListArray.from_arrays(pa.array(ends), items).cast(_SPANS)
-            yield with_columns(batch, {"spans": made})
+            added = {"spans": made}
+            if redacted:
+                clean = [redact(t, some) for t, some in zip(texts, spans, strict=True)]
+                missing = batch.column(column).is_null().to_numpy(zero_copy_only=False)
+                added[redacted] = pa.array(clean, pa.string(), mask=missing)
+            yield with_columns(batch, added)
 
-    return adding(docs, run, {"spans": SPANS})
+    return adding(docs, run, {"spans": SPANS} | ({redacted: T.StringType()} if redacted else {}))
 
 
 def written(spans: Column) -> Column:
@@ -174,25 +240,3 @@ def written(spans: Column) -> Column:
         ),
         ",",
     )
-
-
-def redacted(text: Column, spans: Column, mark: str = SECRET) -> Column:
-    """``text`` with each stretch of spans replaced by ``mark``."""
-    start = F.struct(F.lit("").alias("done"), F.lit(0).alias("at"))
-
-    def step(state, span):
-        new = span["begin"] >= state["at"]
-        before = F.substr(text, state["at"] + 1, F.greatest(span["begin"] - state["at"], F.lit(0)))
-        return F.struct(
-            F.when(new, F.concat(state["done"], before, F.lit(mark)))
-            .otherwise(state["done"])
-            .alias("done"),
-            F.greatest(state["at"], span["end"]).alias("at"),
-        )
-
-    return F.when(
-        F.size(spans) > 0,
-        F.aggregate(
-            spans, start, step, lambda s: F.concat(s["done"], F.substr(text, s["at"] + 1, F.length(text)))
-        ),
-    ).otherwise(text)

@@ -241,3 +241,20 @@ def test_decontamination_runs_without_python(spark):
     df = decontaminate.decontaminate(docs, items, Scratch(spark))
     plan = df._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "InPandas", "InArrow", "CartesianProduct"))
+
+
+def test_many_separate_hits_in_one_text(spark):
+    """10 MB with over 100,000 hits: no row holds the text, spans merge in order."""
+    import time
+
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    text = f"{item} some other words in between the passages " * 103_000
+    docs = spark.createDataFrame([(1, text), (2, "nothing of it"), (3, f"x {item} {item} y")], "doc_id long, text string")
+    items = spark.createDataFrame([("a", item)], "item_id string, text string")
+    begin = time.perf_counter()
+    got = {r.doc_id: r for r in decontaminate.decontaminate(docs, items, Scratch(spark)).collect()}
+    assert len(text) > 10_000_000 and time.perf_counter() - begin < 60
+    assert (got[1].n_hit, len(got[1].spans), got[1].n_words) == (1_030_000, 103_000, 1_751_000)
+    assert [tuple(s) for s in got[1].spans[:2]] == [(0, 10), (17, 27)]
+    assert got[2].n_hit == 0 and got[2].spans == []
+    assert [tuple(s) for s in got[3].spans] == [(1, 21)] and got[3].items == ["a"]
