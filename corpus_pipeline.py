@@ -72,8 +72,8 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
         docs.select(*COLUMNS),
         public_tokenizers.path("byte_bpe_50k.tiktoken"),
         public_tokenizers.PATTERN,
+        redacted="text",
     )
-    rows = rows.withColumn("text", secrets.redacted(F.col("text"), F.col("spans")))
     changed = F.size("spans") > 0
     size = F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return rows.withColumn("n_chars", size).select(*COLUMNS)
