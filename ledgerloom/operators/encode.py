@@ -6,9 +6,9 @@ list on the driver or in one task: it is numbered by one range-partitioned
 sort.
 
 Encoding meets the vocabulary once, whatever the number of columns: the
-combinations of values that occur, each once, are looked up column by column in
-one join of their narrow codes, and the rows then meet the combinations, in one
-join too.  Spark knows the stored tables' bytes, so it broadcasts small ones and
+combinations of values that occur, each once and long values as digests, are
+looked up column by column in one join of these narrow codes, and the rows then
+meet the combinations, in one join too.  Spark knows the stored tables' bytes, so it broadcasts small ones and
 shuffles large ones, where adaptive execution splits hot values.
 """
 
@@ -240,12 +240,30 @@ def dense(vector: Column) -> Column:
 
 
 def _looked_up(df: DataFrame, levels: Levels, tuples: Sequence[DataFrame]) -> DataFrame:
-    """``df`` with ``__<column>`` = {size, slot}; a join per table of combinations."""
-    met = tuples or [look_up(df.select(*levels.by, *levels.columns).distinct(), levels)]
-    out = df
-    for table in met:
+    """``df`` with ``__<column>`` = {size, slot}; a join per table of combinations.
+
+    Without ``tuples`` the combinations are those of ``df``, of short codes instead
+    of long values: only codes are shuffled for the look-up, and long values not at
+    all, unless the result has them.
+    """
+    names, out = {}, df
+    if not tuples:
+        names = {c: f"__code_{c}" for c in levels.columns}
+        out = df.withColumns({code: _code(F.col(c).cast("string")) for c, code in names.items()})
+        found = out.select(*levels.by, *[F.col(code).alias(c) for c, code in names.items()]).distinct()
+        table = levels.table.withColumn("value", _code(F.col("value")))
+        tuples = [look_up(found, Levels(table, levels.columns, levels.by))]
+    for table in tuples:
         keys = [c for c in table.columns if c in (*levels.by, *levels.columns)]
         right = table.withColumnsRenamed({k: f"__key_{k}" for k in keys})
-        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys])
+        same = reduce(
+            lambda a, b: a & b, [F.col(names.get(k, k)).eqNullSafe(F.col(f"__key_{k}")) for k in keys]
+        )
         out = out.join(right, same, "left").drop(*[f"__key_{k}" for k in keys])
-    return out
+    return out.drop(*names.values())
+
+
+def _code(value: Column) -> Column:
+    """The text itself, or its SHA-256 where that is shorter; two texts never share one."""
+    digest = F.concat(F.lit("#"), F.sha2(value, 256))
+    return F.when(F.octet_length(value) < 64, F.concat(F.lit("="), value)).otherwise(digest)
