@@ -102,7 +102,10 @@ def rank_levels(counts: DataFrame, by: Sequence[str], scratch: Scratch) -> DataF
     placed = ordered.join(F.broadcast(parts), "part").withColumn(
         "position", F.col("start") + F.col("offset")
     )
-    firsts = placed.groupBy(*by, "column").agg(F.min("position").alias("first"))
+    # stored, so that Spark knows how small it is before it lays out the join
+    firsts = scratch.stage(
+        placed.groupBy(*by, "column").agg(F.min("position").alias("first")), "first-levels"
+    )
     return attach(placed, firsts, by, within=["column"]).select(
         *by, "column", "value", "count", (F.col("position") - F.col("first")).cast("int").alias("level")
     )
