@@ -109,7 +109,7 @@ def _placed(nodes: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
     return map_arrow(
         nodes.select("node", "embedding", "copies"),
         run,
-        "node long, embedding array<float>, copies long, size int, cell int, apart double",
+        "node long, embedding array<double>, copies long, size int, cell int, apart double",
     )
 
 
@@ -179,7 +179,7 @@ def near_duplicates(
 ) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id`` and ``kept`` of every row."""
     spark, reach = vectors.sparkSession, float(np.sqrt(2 - 2 * cosine))
-    own = F.col("embedding").cast("array<float>")
+    own = F.col("embedding").cast("array<double>")
     rows = vectors.select(F.col("vec_id").cast("long"), own.alias("embedding"))
     valid = rows.where(is_valid(F.col("embedding")))
     nodes = valid.groupBy("embedding").agg(

@@ -163,20 +163,52 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, **op
     encode(docs, tokenizer, end_id).write.options(**WRITER | options).parquet(path)
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """The files' rows with ``start``: the number of ids of all documents before."""
-    rows = spark.read.schema(FILES).parquet(path)
+def _bases(rows: DataFrame) -> DataFrame:
+    """Per shard its ids (``total``) and those of all shards before (``base``)."""
     totals = rows.groupBy("shard").agg(F.sum("n_tokens").alias("total"))
     # one row per write task: a window over all of them, and their broadcast, stay small
-    before = totals.selectExpr(
-        "shard", "coalesce(sum(total) over (order by shard rows between unbounded preceding and 1 preceding), 0) as base"
+    return totals.selectExpr(
+        "shard",
+        "total",
+        "coalesce(sum(total) over (order by shard rows between unbounded preceding and 1 preceding), 0) as base",
     )
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """The files' rows with ``start``: the number of ids of all documents before."""
+    rows = spark.read.schema(FILES).parquet(path)
+    before = _bases(rows).drop("total")
     return rows.join(F.broadcast(before), "shard").withColumn("start", F.col("base") + F.col("offset")).drop("base")
 
 
-def span(rows: DataFrame, begin: int, end: int) -> DataFrame:
-    """Documents that hold any of the ids ``begin`` to ``end`` of the whole corpus."""
-    return rows.where((F.col("start") < end) & (F.col("start") + F.col("n_tokens") > begin))
+def read_span(spark: SparkSession, path: str, begin: int, end: int) -> DataFrame:
+    """Documents that hold any of the ids ``begin`` to ``end`` of the whole corpus, as
+    of :func:`read`.
+
+    The range is first turned into shards and offsets, from the small columns
+    alone; the scan then filters by these, so only pages that hold such documents
+    are read.
+    """
+    rows = spark.read.schema(FILES).parquet(path)
+    met = _bases(rows).where((F.col("base") < end) & (F.col("base") + F.col("total") > begin))
+    ends = met.agg(F.min(F.struct("shard", "base")), F.max(F.struct("shard", "base"))).first()
+    if begin >= end or ends[0] is None:
+        return read(spark, path).where(F.lit(False))
+    (first, low), (last, high) = ends
+    # the document with id ``begin``
+    at = rows.where((F.col("shard") == first) & (F.col("offset") <= max(begin - low, 0)))
+    offset = at.agg(F.max("offset")).first()[0]
+    shard = F.col("shard")
+    rows = rows.where(
+        shard.between(first, last)
+        & ((shard > first) | (F.col("offset") >= offset))
+        & ((shard < last) | (F.col("offset") < end - high))
+    )
+    if first == last:  # a range of offsets alone, which the page index answers best
+        rows = rows.where((F.col("offset") >= offset) & (F.col("offset") < end - high))
+    bases = spark.read.schema(FILES).parquet(path)
+    before = _bases(bases).drop("total")
+    return rows.join(F.broadcast(before), "shard").withColumn("start", F.col("base") + F.col("offset")).drop("base")
 
 
 def crc32_of_ids(rows: DataFrame, columns: list[str]) -> DataFrame:

@@ -258,3 +258,15 @@ def test_many_separate_hits_in_one_text(spark):
     assert [tuple(s) for s in got[1].spans[:2]] == [(0, 10), (17, 27)]
     assert got[2].n_hit == 0 and got[2].spans == []
     assert [tuple(s) for s in got[3].spans] == [(1, 21)] and got[3].items == ["a"]
+
+
+def test_cosines_are_of_doubles(spark):
+    """Vectors that only differ beyond a float, and values no float holds."""
+    near, far = 0.95 + 1e-12, 0.95 - 1e-12
+    rows = [(i, [c, float(np.sqrt(1 - c * c))]) for i, c in ((2, near), (3, far))]
+    rows += [(1, [1.0, 0.0]), (4, [1e300, 1e300]), (5, [1e299, 1e299])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in embeddings.near_duplicates(df, Scratch(spark)).collect()}
+    assert got[4].component_id == got[5].component_id == 4
+    assert got[1].n_links == 1 and got[2].component_id == 1
+    assert got[3].n_links == 1 and got[3].component_id == 1  # by way of 2

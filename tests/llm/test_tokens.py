@@ -81,7 +81,7 @@ def test_token_files_layout_and_edges(spark, tmp_path):
     assert [r.doc_id for r in rows] == [None, 1, 2, 2, 2, 3]
     assert [r.start for r in rows] == np.cumsum([0, *[r.n_tokens for r in rows[:-1]]]).tolist()
     assert rows[1].ids == [0] and all(r.ids[-1] == 0 and len(r.ids) == r.n_tokens for r in rows)
-    found = token_files.span(token_files.read(spark, path), rows[2].start, rows[2].start + 1)
+    found = token_files.read_span(spark, path, rows[2].start, rows[2].start + 1)
     assert [r.start for r in found.collect()] == [rows[2].start]
     file = next(p for p in sorted((tmp_path / "files").glob("*.parquet")) if pq.read_metadata(p).num_rows)
     column = pq.read_metadata(file).row_group(0).column(4)
@@ -212,3 +212,27 @@ def test_pieces_query_and_edges(spark):
     twice = pieces.encode(docs, MODEL, decoded="decoded").where(F.col("decoded") == F.col("text"))
     assert twice.count() == 3
     assert pieces.encode(docs.limit(0), MODEL).count() == 0
+
+
+def test_reads_by_place_filter_at_the_scan(spark, tmp_path):
+    """Any range of ids gives the documents that hold one of them, and no more."""
+    import random
+
+    docs = spark.range(300).selectExpr("id AS doc_id", "repeat('some words ', cast(id % 17 AS int)) AS text")
+    path = str(tmp_path / "tokens")
+    token_files.write(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
+    rows = token_files.read(spark, path).select("doc_id", "start", "n_tokens").collect()
+    total, rng = max(r.start + r.n_tokens for r in rows), random.Random(4)
+    ranges = [(0, 1), (total - 1, total), (0, total), (total, total + 5), (7, 7)]
+    for begin, end in ranges + [tuple(sorted(rng.sample(range(total), 2))) for _ in range(4)]:
+        got = token_files.read_span(spark, path, begin, end)
+        assert {r.doc_id for r in got.collect()} == {
+            r.doc_id for r in rows if begin < end and r.start < end and r.start + r.n_tokens > begin
+        }
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+    try:
+        plan = token_files.read_span(spark, path, 5, 9)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "ids" in line)
+    assert "GreaterThanOrEqual(offset," in scan and "LessThan(offset," in scan
