@@ -1,8 +1,9 @@
 """Encode the parts of many texts, each distinct part once.
 
-What a part was encoded to is remembered per Python worker in arrays of
-bounded size: sorted keys in a few runs of growing length, which are searched
-and merged as arrays.
+What a part was encoded to is remembered per Python worker in arrays: sorted
+keys in a few runs of growing length, which are searched and merged as arrays.
+Both the parts and their ids that are remembered are bounded; parts of over
+``LONGEST`` characters are encoded each time and never remembered.
 """
 
 from __future__ import annotations
@@ -32,10 +33,19 @@ class Run:
 
 
 class PartStore:
-    """``encode_many`` gives the ids of each of a list of parts."""
+    """``encode_many`` gives the ids of each of a list of parts.
 
-    def __init__(self, encode_many: Callable[[list[str]], list[list[int]]], limit: int = 1_000_000):
-        self.encode_many, self.limit = encode_many, limit
+    What is remembered is dropped before a call once it is over ``limit`` parts or
+    ``room`` ids; one call adds its own distinct parts to that at most.
+    """
+
+    def __init__(
+        self,
+        encode_many: Callable[[list[str]], list[list[int]]],
+        limit: int = 1_000_000,
+        room: int = 8_000_000,
+    ):
+        self.encode_many, self.limit, self.room = encode_many, limit, room
         self._forget()
 
     def _forget(self) -> None:
@@ -58,14 +68,16 @@ class PartStore:
         """Ids of all parts, one after the other, and where each part's begin.
 
         A part goes from one of ``begin`` to the next in ``joined``, the string
-        of ``codes``; parts of over ``LONGEST`` characters are not remembered.
+        of ``codes``.
         """
         ends = np.append(begin[1:], len(codes))
-        if sum(len(r.keys) for r in self.runs) > self.limit:
+        if sum(len(r.keys) for r in self.runs) > self.limit or self.used > self.room:
             self._forget()
-        long = np.flatnonzero(ends - begin > LONGEST)
+        is_long = ends - begin > LONGEST
+        short, long = np.flatnonzero(~is_long), np.flatnonzero(is_long)
+        begins, stops = begin[short], ends[short]
         key, place, which = np.unique(
-            part_hashes(codes, begin), return_index=True, return_inverse=True
+            part_hashes(codes, begin)[short], return_index=True, return_inverse=True
         )
         first, size = np.zeros(len(key), np.int64), np.zeros(len(key), np.int32)
         missing = np.ones(len(key), bool)
@@ -76,15 +88,24 @@ class PartStore:
             missing &= ~hit
         new = np.flatnonzero(missing)
         if len(new):
-            spans = zip(begin[place[new]].tolist(), ends[place[new]].tolist(), strict=True)
+            spans = zip(begins[place[new]].tolist(), stops[place[new]].tolist(), strict=True)
             first[new], size[new] = self._keep(self.encode_many([joined[a:b] for a, b in spans]))
             self.runs.append(Run(key[new], first[new], size[new]))
             while len(self.runs) > 1 and len(self.runs[-2].keys) < 2 * len(self.runs[-1].keys):
                 self.runs[-2:] = [self.runs[-2] + self.runs[-1]]
-        first, size = first[which], size[which].astype(np.int64)
-        if len(long):
-            apart = [joined[a:b] for a, b in zip(begin[long], ends[long], strict=True)]
-            first[long], size[long] = self._keep(self.encode_many(apart))
-        after = np.concatenate([[0], np.cumsum(size)])
-        shift = np.repeat(first - after[:-1], size)
-        return self.ids[np.arange(after[-1]) + shift], after
+        first, sizes = first[which], np.zeros(len(begin), np.int64)
+        sizes[short] = size[which]
+        apart = [
+            np.array(self.encode_many([joined[a:b]])[0], np.int32)
+            for a, b in zip(begin[long].tolist(), ends[long].tolist(), strict=True)
+        ]
+        sizes[long] = [len(x) for x in apart]
+        after = np.concatenate([[0], np.cumsum(sizes)])
+        taken = sizes[short]
+        shift = np.repeat(first - np.cumsum(taken) + taken, taken)
+        found = self.ids[np.arange(len(shift)) + shift]
+        if not len(long):
+            return found, after
+        ids, of_long = np.empty(after[-1], np.int32), np.repeat(is_long, sizes)
+        ids[of_long], ids[~of_long] = np.concatenate(apart), found
+        return ids, after

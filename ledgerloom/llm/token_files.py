@@ -69,7 +69,8 @@ class Encoder:
     single space before them, and encodes each on its own.  For texts of ASCII
     and Latin letters without apostrophes and double spaces the cuts are found
     here, and each distinct part is encoded by the library once; any other
-    text, and one that holds a special token, is given to the library whole.
+    text, and one that holds a special token, is given to the library whole and
+    leaves nothing in the store.
     """
 
     _made: dict[str, "Encoder"] = {}
@@ -98,30 +99,42 @@ class Encoder:
         """Each text's ids."""
         laid = Codes.of(texts)
         kind = KINDS[np.minimum(laid.codes, len(KINDS) - 1)]
-        space, blank = kind == SPACE, laid.codes == 32
+        space = kind == SPACE
         odd = kind == OTHER
         odd[1:] |= space[1:] & space[:-1]
         # the spaces around a text are no part of it
         odd[laid.starts - 1] = odd[laid.ends] = False
         whole = np.logical_or.reduceat(odd, np.minimum(laid.starts, len(odd) - 1))
         whole[laid.starts == laid.ends] = False
+        for i, text in enumerate(texts):
+            if any(s in text for s in self.special):
+                whole[i] = True
+        if not whole.any():
+            return self._by_parts(laid, kind)
+        out: list = [None] * len(texts)
+        apart, rest = np.flatnonzero(whole), np.flatnonzero(~whole)
+        for i, made in zip(apart, self._many([texts[i] for i in apart]), strict=True):
+            out[i] = np.array(made, np.int32)
+        if len(rest):
+            laid = Codes.of([texts[i] for i in rest])
+            kind = KINDS[np.minimum(laid.codes, len(KINDS) - 1)]
+            for i, made in zip(rest, self._by_parts(laid, kind), strict=True):
+                out[i] = made
+        return out
+
+    def _by_parts(self, laid: Codes, kind: np.ndarray) -> list[np.ndarray]:
+        """Each text's ids, where every text is cut by the kinds of its characters."""
+        space, blank = kind == SPACE, laid.codes == 32
         cut = np.empty(len(kind), bool)
         cut[0] = True
         cut[1:] = (kind[1:] != kind[:-1]) & (space[1:] | ~blank[:-1])
         cut[laid.starts] = cut[laid.ends] = True
         begin = np.flatnonzero(cut)
-        for i, text in enumerate(texts):
-            if any(s in text for s in self.special):
-                whole[i] = True
         ids, after = self.store.encode(laid.codes, laid.joined, begin)
         # the spaces between texts are parts of their own, left out here
         low = after[np.searchsorted(begin, laid.starts)]
         high = after[np.searchsorted(begin, laid.ends)]
-        out = [ids[a:b] for a, b in zip(low, high, strict=True)]
-        apart = np.flatnonzero(whole)
-        for i, made in zip(apart, self._many([texts[i] for i in apart]), strict=True):
-            out[i] = np.array(made, np.int32)
-        return out
+        return [ids[a:b] for a, b in zip(low, high, strict=True)]
 
 
 def encode(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:

@@ -55,6 +55,42 @@ def test_store_forgets_but_stays_right():
             assert ids[after[i] : after[i + 1]].tolist() == [b - a, ord(text[a])]
 
 
+def test_store_is_bounded_whatever_the_parts():
+    """Long parts are encoded each time; ids in store are bounded besides the parts."""
+    calls = []
+
+    def each(parts):
+        calls.append([len(p) for p in parts])
+        return [[ord(c) for c in p] for p in parts]
+
+    store = PartStore(each, room=50_000)
+    rng = random.Random(1)
+    for turn in range(60):
+        parts = [chr(97 + turn % 26) * 3, *["".join(rng.choices("abcdef", k=rng.choice([3, 900, 5000]))) for _ in range(9)]]
+        rng.shuffle(parts)
+        text = "".join(parts)
+        begin = np.cumsum([0, *map(len, parts[:-1])])
+        ids, after = store.encode(np.frombuffer(text.encode("utf-32-le"), "<u4"), text, begin)
+        assert ids.tolist() == [ord(c) for c in text] and after.tolist() == [*begin, len(text)]
+        assert store.used <= 50_000 + 10_000 and len(store.ids) <= 4 * 60_000
+    assert sum(n for sizes in calls for n in sizes if n > 4096) % 5000 == 0
+    # only long parts: nothing stays
+    store = PartStore(each)
+    for _ in range(20):
+        store.encode(np.full(1_000_000, 97, np.uint32), "a" * 1_000_000, np.array([0]))
+    assert store.used == 0 and not store.runs and store.ids.nbytes < 1 << 20
+
+
+def test_whole_texts_leave_nothing_in_the_store():
+    encoder = token_files.Encoder(BYTES)
+    odd = [f"日本{i} it's {i}" for i in range(50)]
+    made = encoder.batch(odd)
+    assert not encoder.store.runs and all(len(x) for x in made)
+    mixed = encoder.batch(["plain words", odd[0], "", "more"])
+    assert mixed[1].tolist() == made[0].tolist() and len(mixed[2]) == 0
+    assert encoder.store.runs
+
+
 def test_token_files_of_the_tables(spark):
     from tokenizers import Tokenizer
 
