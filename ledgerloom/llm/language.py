@@ -4,14 +4,16 @@ Every word (a run of letters) gets a label, so that texts which switch between
 languages are told apart word by word.  A word's features are its hashed form
 (lexicon), its first and last one to three letters (affixes) and its character
 n-grams with word edges; label transitions are learned with them by gradient
-ascent of the sequence likelihood, computed by forward-backward.  A chain is
-``CHAIN`` words of one text at most; every word of a text is in one chain.  A
-text's language is the label with the largest mean marginal over its words,
-and that mean is its score.
+ascent of the sequence likelihood, computed by forward-backward.  A text is one
+chain, whatever its length: stretches of ``CHAIN`` words are worked on side by
+side, with the messages that cross their ends, which follow from each stretch's
+product of transitions and emissions.  A text's language is the label with the
+largest mean marginal over its words, and that mean is its score.
 
 Training uses a sample of ``SAMPLE`` documents per language at most, whole
-texts of up to ``SAMPLE_CHARS`` characters, and chains that are put together
-from stretches of several documents, which is how switching is learned.
+texts of up to ``SAMPLE_CHARS`` characters, and chains of up to ``CHAIN`` words
+that are put together from stretches of several documents, which is how
+switching is learned.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0,
 and so is any text where nothing could be learned; with one language every
@@ -117,8 +119,8 @@ class Chains:
     ``active[t]`` of them, and ``place[t, i]`` the word there."""
 
     def __init__(self, first: np.ndarray, length: np.ndarray):
-        order = np.argsort(-length, kind="stable")
-        self.first, self.length = first[order], length[order]
+        self.order = np.argsort(-length, kind="stable")
+        self.first, self.length = first[self.order], length[self.order]
         steps = int(self.length[0]) if len(length) else 0
         self.active = np.searchsorted(-self.length, -np.arange(steps), "left")
 
@@ -127,7 +129,7 @@ class Chains:
 
 
 def cut(owner: np.ndarray, most: int = CHAIN) -> tuple[np.ndarray, np.ndarray]:
-    """First word and length of each chain, given each word's text."""
+    """First word and length of each stretch, given each word's text."""
     if not len(owner):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     begin = np.flatnonzero(np.diff(owner, prepend=-1))
@@ -136,22 +138,64 @@ def cut(owner: np.ndarray, most: int = CHAIN) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.append(first, len(owner)))
 
 
-def forward_backward(emission: np.ndarray, move: np.ndarray, chains: Chains, pairs: bool = False):
+def _normal(messages: np.ndarray) -> np.ndarray:
+    return messages / messages.sum(-1, keepdims=True)
+
+
+def crossing(local: np.ndarray, step: np.ndarray, chains: Chains, text: np.ndarray):
+    """The messages into each stretch from what is before and after it in its text.
+
+    ``text`` is each stretch's text, in the order they were given, which is that of
+    the words; the messages are in the order of ``chains``.
+    """
+    count, size = len(text), local.shape[1]
+    enter, leave = np.ones((count, size)), np.ones((count, size))
+    starts = np.flatnonzero(np.diff(text, prepend=-1))
+    if len(starts) == count:
+        return enter, leave
+    # what a stretch makes of a message: emissions, with transitions between them
+    made = np.zeros((count, size, size))
+    for t, n in enumerate(chains.active):
+        now = local[chains.word(t)][:, None, :]
+        made[:n] = now * (made[:n] @ step if t else np.eye(size))
+        made[:n] /= made[:n].max((1, 2), keepdims=True)
+    whole = np.empty_like(made)
+    whole[chains.order] = made
+    texts = Chains(starts, np.diff(np.append(starts, count)))
+    for t, n in enumerate(texts.active):
+        now = texts.word(t)
+        if t:
+            enter[now] = _normal(np.einsum("ij,ijk->ik", enter[now - 1], whole[now - 1]) @ step)
+    for t in range(len(texts.active) - 1, 0, -1):
+        now = texts.word(t)
+        leave[now - 1] = _normal(np.einsum("ijk,ik->ij", whole[now], leave[now]) @ step.T)
+    return enter[chains.order], leave[chains.order]
+
+
+def forward_backward(
+    emission: np.ndarray,
+    move: np.ndarray,
+    chains: Chains,
+    pairs: bool = False,
+    text: np.ndarray | None = None,
+):
     """Marginals of each word's label, and the expected transitions if asked.
 
     ``emission`` are scores, ``move`` the transitions' scores.  Messages are
-    normalised at each step, so no chain under- or overflows.
+    normalised at each step, so no chain under- or overflows.  With ``text`` (see
+    :func:`crossing`) the chains of one text are one chain.
     """
     local = np.exp(emission - emission.max(1, keepdims=True)).astype(np.float64)
     step = np.exp(move - move.max())
     out = np.empty_like(local)
+    enter = back = np.ones((len(chains.first), local.shape[1]))
+    if text is not None:
+        enter, back = crossing(local, step, chains, text)
+    back = back.copy()
     ahead = []
     for t, n in enumerate(chains.active):
-        now = local[chains.word(t)]
-        if t:
-            now = now * (ahead[-1][:n] @ step)
-        ahead.append(now / now.sum(1, keepdims=True))
-    back = np.ones((len(chains.first), local.shape[1]))
+        coming = ahead[-1][:n] @ step if t else enter
+        ahead.append(_normal(local[chains.word(t)] * coming))
     expected = np.zeros_like(step)
     for t in range(len(ahead) - 1, -1, -1):
         n = chains.active[t]
@@ -161,10 +205,8 @@ def forward_backward(emission: np.ndarray, move: np.ndarray, chains: Chains, pai
             if pairs:
                 both = ahead[t][:m, :, None] * step * coming[:, None, :]
                 expected += (both / both.sum((1, 2), keepdims=True)).sum(0)
-            message = coming @ step.T
-            back[:m] = message / message.sum(1, keepdims=True)
-        both = ahead[t] * back[:n]
-        out[chains.word(t)] = both / both.sum(1, keepdims=True)
+            back[:m] = _normal(coming @ step.T)
+        out[chains.word(t)] = _normal(ahead[t] * back[:n])
     return out, expected
 
 
@@ -180,8 +222,10 @@ class Model:
         owner = found.laid.owner(found.begin)
         if not len(found):
             return owner, np.zeros((0, len(self.labels)))
-        chains = Chains(*cut(owner))
-        return owner, forward_backward(found.emissions(self.table), self.move, chains)[0]
+        first, length = cut(owner)
+        emission = found.emissions(self.table)
+        chains = Chains(first, length)
+        return owner, forward_backward(emission, self.move, chains, text=owner[first])[0]
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         size = len(self.labels)
