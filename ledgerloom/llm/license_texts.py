@@ -28,6 +28,8 @@ TEMPLATES: dict[str, list[str]] = {
     ],
     "BSD": [
         "Released under the BSD License.",
+        "SPDX-License-Identifier: BSD-2-Clause",
+        "SPDX-License-Identifier: BSD-3-Clause",
         "Use of this source code is governed by a BSD-style license that can be found in the"
         " LICENSE file.",
         "Redistribution and use in source and binary forms, with or without modification, are"
@@ -54,48 +56,80 @@ TEMPLATES: dict[str, list[str]] = {
     ],
     "LGPL": [
         "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "SPDX-License-Identifier: LGPL-2.1",
+        "SPDX-License-Identifier: LGPL-3.0",
         "This library is free software; you can redistribute it and/or modify it under the terms of"
         " the GNU Lesser General Public License as published by the Free Software Foundation;"
         " either version 2.1 of the License, or (at your option) any later version.",
     ],
     "AGPL-3.0": [
         "This work is licensed under the GNU Affero General Public License, version 3.",
+        "SPDX-License-Identifier: AGPL-3.0",
         "This program is free software: you can redistribute it and/or modify it under the terms of"
         " the GNU Affero General Public License as published by the Free Software Foundation,"
         " either version 3 of the License, or (at your option) any later version.",
     ],
     "MPL-2.0": [
         "Licensed under the Mozilla Public License, version 2.0.",
+        "SPDX-License-Identifier: MPL-2.0",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a"
         " copy of the MPL was not distributed with this file, You can obtain one at"
         " https://mozilla.org/MPL/2.0/.",
     ],
     "ISC": [
         "Released under the ISC License.",
+        "SPDX-License-Identifier: ISC",
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or"
         " without fee is hereby granted, provided that the above copyright notice and this"
         " permission notice appear in all copies.",
     ],
     "CC0-1.0": [
         "This work is dedicated to the public domain under CC0 1.0.",
+        "SPDX-License-Identifier: CC0-1.0",
         "To the extent possible under law, the author has waived all copyright and related or"
         " neighboring rights to this work.",
-        "This is free and unencumbered software released into the public domain.",
     ],
     "CC-BY": [
         "Licensed under CC BY 4.0.",
+        "SPDX-License-Identifier: CC-BY-4.0",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     ],
     "CC-BY-SA": [
         "Licensed under CC BY-SA 4.0.",
+        "SPDX-License-Identifier: CC-BY-SA-4.0",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International"
         " License.",
     ],
     "CC-BY-NC": [
         "Licensed under CC BY-NC 4.0.",
+        "SPDX-License-Identifier: CC-BY-NC-4.0",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International"
         " License.",
     ],
+    "Unlicense": [
+        "Released under the Unlicense.",
+        "SPDX-License-Identifier: Unlicense",
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software,"
+        " either in source code form or as a compiled binary, for any purpose, commercial or"
+        " non-commercial, and by any means.",
+    ],
+    "EPL-2.0": [
+        "Licensed under the Eclipse Public License, version 2.0.",
+        "SPDX-License-Identifier: EPL-2.0",
+        "This program and the accompanying materials are made available under the terms of the"
+        " Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    ],
+    "Zlib": [
+        "Released under the zlib License.",
+        "SPDX-License-Identifier: Zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event"
+        " will the authors be held liable for any damages arising from the use of this software.",
+    ],
+    "BSL-1.0": [
+        "Distributed under the Boost Software License, Version 1.0.",
+        "SPDX-License-Identifier: BSL-1.0",
+    ],
 }
 
 #: Sentences about licences that name none: examples of the unknown class.

@@ -109,6 +109,26 @@ def test_forward_backward_is_exact():
     assert np.allclose(expected, total)
 
 
+@pytest.mark.parametrize("most", [1, 2, 5, 64])
+def test_messages_cross_the_ends_of_stretches(most):
+    """A text is one chain, however it is cut for the work."""
+    rng = np.random.default_rng(4)
+    sizes = [1, 200, 64, 3, 129, 128]
+    owner = np.repeat(np.arange(len(sizes)) * 2, sizes)  # some texts have no word
+    emission, move = 2 * rng.normal(size=(len(owner), 4)), 2 * rng.normal(size=(4, 4))
+    ends = np.cumsum(sizes)
+    whole, _ = language.forward_backward(
+        emission, move, language.Chains(ends - np.array(sizes), np.array(sizes))
+    )
+    first, length = language.cut(owner, most)
+    chains = language.Chains(first, length)
+    share, _ = language.forward_backward(emission, move, chains, text=owner[first])
+    assert np.allclose(share, whole, rtol=1e-9, atol=1e-12)
+    if most < 64:
+        alone, _ = language.forward_backward(emission, move, chains)
+        assert not np.allclose(alone, whole, atol=1e-3)
+
+
 def test_language_of_switching_text(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = language.fit(docs, F.lit(True))
