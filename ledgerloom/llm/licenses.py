@@ -34,6 +34,7 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -71,24 +72,25 @@ def grams_here(tokens: list[str]) -> set[str]:
     return {" ".join(tokens[i : i + n]) for n in SIZES for i in range(len(tokens) - n + 1)}
 
 
-def hash_here(gram: str) -> int:
-    value = xxh64(gram.encode(), seed=42).intdigest()
-    return value - (1 << 64) if value >> 63 else value
+def _of_longs(first: int, second: int) -> int:
+    """As Spark hashes two longs: the first's hash seeds the second's."""
+    seed = xxh64(first.to_bytes(8, "little"), seed=42).intdigest()
+    return xxh64(second.to_bytes(8, "little"), seed=seed).intdigest()
 
 
-def runs(tokens: Column, n: int) -> Column:
-    """Hashes of all runs of ``n`` words, by the place of their first."""
-    size = F.size(tokens)
-    joined = F.transform(
-        F.sequence(F.lit(0), size - n),
-        lambda i: F.xxhash64(F.concat_ws(" ", *[F.get(tokens, i + j) for j in range(n)])),
-    )
-    return F.when(size >= n, joined).otherwise(F.array().cast("array<bigint>"))
+def hash_here(gram: str) -> int:
+    """The hash of a run of words that :func:`runs` gives."""
+    value = reduce(_of_longs, [xxh64(w.encode(), seed=42).intdigest() for w in gram.split(" ")])
+    return value - (1 << 64) if value >> 63 else value
 
 
-def grams(tokens: Column) -> Column:
-    """Hashes of distinct pairs and triples."""
-    return F.array_distinct(F.concat(*[runs(tokens, n) for n in SIZES]))
+def runs(shorter: Column, hashes: Column, n: int) -> Column:
+    """Hashes of all runs of ``n`` words, by the place of their first, from those of
+    runs of one word less and of the words."""
+    last = F.slice(hashes, n, F.greatest(F.size(hashes) - n + 1, F.lit(0)))
+    # both are as long as there are runs, but for the last of the shorter ones
+    heads = F.slice(shorter, 1, F.size(last))
+    return F.zip_with(heads, last, lambda a, b: F.xxhash64(a, b))
 
 
 def _stretches() -> list[tuple[int, int, int]]:
@@ -260,13 +262,14 @@ def _lines(docs: DataFrame, own: list[str]) -> DataFrame:
     tokens = docs.select(*own, F.array_remove(F.split(marked, NOT_WORD_NOR_BREAK), "").alias("marked"))
     laid = tokens.select(
         *own,
-        F.transform(F.array_remove("marked", BREAK), _lower).alias("words"),
+        F.transform(F.array_remove("marked", BREAK), lambda w: F.xxhash64(_lower(w))).alias("words"),
         F.filter(
             F.transform("marked", lambda w, i: F.when(w == BREAK, i)), lambda i: i.isNotNull()
         ).alias("breaks"),
     ).select(
-        *own,
-        *[runs(F.col("words"), n).alias(f"runs{n}") for n in SIZES],
+        *own, "words", "breaks", runs(F.col("words"), F.col("words"), 2).alias("runs2")
+    ).select(
+        *own, "runs2", runs(F.col("runs2"), F.col("words"), 3).alias("runs3"),
         # where each line begins, and the end of the last
         F.concat(
             F.array(F.lit(0)), F.transform("breaks", lambda at, i: at - i), F.array(F.size("words"))
