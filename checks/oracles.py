@@ -2,17 +2,51 @@
 
 from __future__ import annotations
 
-from checks.queries import PRODUCT_KEYS, TERMS, TEXT_TERMS
 from checks.raw import raw_sql
-from ledgerloom.schemas import (
-    CATEGORIES,
-    CLICK_COUNTERS,
-    FINANCIALS,
-    LOAN_TYPES,
-    NUMERIC_FEATURES,
-    PLAIN_CATEGORIES,
-    flag_name,
-)
+
+# Columns of the tables as SQL expects them, apart from the library's own lists.
+
+CLICK_COUNTERS = [f"fe_{n}" for n in range(1, 21)]
+
+SIDE_DOUBLES = [
+    "Annual_Income",
+    "Monthly_Inhand_Salary",
+    "Changed_Credit_Limit",
+    "Outstanding_Debt",
+    "Credit_Utilization_Ratio",
+    "Total_EMI_per_month",
+    "Amount_invested_monthly",
+    "Monthly_Balance",
+]
+
+SIDE_INTEGERS = [
+    "Num_Bank_Accounts",
+    "Num_Credit_Card",
+    "Interest_Rate",
+    "Num_of_Loan",
+    "Delay_from_due_date",
+    "Num_of_Delayed_Payment",
+    "Num_Credit_Inquiries",
+]
+
+NUMERIC_FEATURES = [*CLICK_COUNTERS, "Age", *SIDE_DOUBLES, *SIDE_INTEGERS, "Credit_History_Month"]
+
+LOAN_FLAGS = {
+    "Auto Loan": "has_Auto_Loan",
+    "Credit-Builder Loan": "has_Credit_Builder_Loan",
+    "Debt Consolidation Loan": "has_Debt_Consolidation_Loan",
+    "Home Equity Loan": "has_Home_Equity_Loan",
+    "Not Specified": "has_Not_Specified",
+    "Mortgage Loan": "has_Mortgage_Loan",
+    "Payday Loan": "has_Payday_Loan",
+    "Student Loan": "has_Student_Loan",
+    "Personal Loan": "has_Personal_Loan",
+}
+PART_FLAGS = {"ring": "has_ring", "hot": "has_hot", "small ring": "has_small_ring"}
+TEXT_FLAGS = {"the": "has_the", "queque": "has_queque", "Elle": "has_Elle"}
+
+SIDE_CATEGORIES = ["Credit_Mix", "Payment_of_Min_Amount", "Payment_Behaviour"]
+CATEGORIES = ["Occupation", *SIDE_CATEGORIES, *LOAN_FLAGS.values()]
 
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)\s*$"
 
@@ -28,10 +62,10 @@ def bare(x: str) -> str:
     return f"regexp_replace({x}, '_', '', 'g')"
 
 
-def flags(column: str, terms) -> str:
+def flags(column: str, named: dict[str, str]) -> str:
     return ", ".join(
-        f"CASE WHEN contains({column}, '{t}') THEN 'Yes' ELSE 'No' END AS {flag_name(t)}"
-        for t in terms
+        f"CASE WHEN contains({column}, '{t}') THEN 'Yes' ELSE 'No' END AS {name}"
+        for t, name in named.items()
     )
 
 
@@ -75,8 +109,7 @@ def clean_financials(mismatch: str = "Unknown", cards_from: str = "cc") -> str:
     }
     doubles = {
         name: f"try_cast({bare(name) if name in ('Annual_Income', 'Outstanding_Debt', 'Amount_invested_monthly') else name} AS double)"
-        for name, kind in FINANCIALS.items()
-        if kind == "double"
+        for name in SIDE_DOUBLES
     }
     return f"""
 WITH parsed AS (
@@ -132,10 +165,7 @@ FROM ({CLEAN_LEDGER}) s WHERE mob = 6"""
 
 # --- feature store ----------------------------------------------------------
 
-_FLAGS = [flag_name(t) for t in LOAN_TYPES]
-_SIDE_NUMERIC = [
-    c for c in NUMERIC_FEATURES if c not in CLICK_COUNTERS and c not in ("Age", "Credit_History_Month")
-]
+_SIDE_NUMERIC = [*SIDE_DOUBLES, *SIDE_INTEGERS]
 _COMPLETE = " AND ".join(f"{c} IS NOT NULL AND NOT isnan(cast({c} AS double))" for c in NUMERIC_FEATURES)
 
 
@@ -150,8 +180,8 @@ def _vocabulary(c: str) -> str:
 
 JOINED = f"""
 fin AS (
-  SELECT Customer_ID, {', '.join(_SIDE_NUMERIC)}, {', '.join(c for c in PLAIN_CATEGORIES if c != 'Occupation')},
-    {flags('Type_of_Loan', LOAN_TYPES)}, {MONTHS.format(x='Credit_History_Age')} AS Credit_History_Month
+  SELECT Customer_ID, {', '.join(_SIDE_NUMERIC)}, {', '.join(SIDE_CATEGORIES)},
+    {flags('Type_of_Loan', LOAN_FLAGS)}, {MONTHS.format(x='Credit_History_Age')} AS Credit_History_Month
   FROM ({clean_financials()}) f),
 joined AS (
   SELECT c.*, a.Age, a.Occupation, fin.* EXCLUDE (Customer_ID)
@@ -198,8 +228,8 @@ def _latest(rows: str, columns) -> str:
 JOINED_AS_OF = f"""
 fin AS (
   SELECT Customer_ID, snapshot_date, {', '.join(_SIDE_NUMERIC)},
-    {', '.join(c for c in PLAIN_CATEGORIES if c != 'Occupation')},
-    {flags('Type_of_Loan', LOAN_TYPES)}, {MONTHS.format(x='Credit_History_Age')} AS Credit_History_Month
+    {', '.join(SIDE_CATEGORIES)},
+    {flags('Type_of_Loan', LOAN_FLAGS)}, {MONTHS.format(x='Credit_History_Age')} AS Credit_History_Month
   FROM ({clean_financials()}) f),
 fin1 AS ({_latest('SELECT * FROM fin', _SIDE_NUMERIC)}),
 att1 AS ({_latest(f'SELECT Customer_ID, snapshot_date, Age, Occupation FROM ({CLEAN_ATTRIBUTES}) a', ['Age', 'Occupation'])}),
@@ -355,8 +385,12 @@ SELECT cast(date_trunc('month', l_shipdate) AS date) AS snapshot_date,
   quantile_disc(l_linenumber, 0.5) AS line_p50, quantile_disc(l_linenumber, 0.99) AS line_p99
 FROM lineitem GROUP BY 1""",
     "q_approx_median_error": """
-SELECT cast(date_trunc('month', l_shipdate) AS date) AS snapshot_date, count(*) AS "rows",
-  true AS within_bound FROM lineitem GROUP BY 1""",
+WITH lines AS (
+  SELECT cast(date_trunc('month', l_shipdate) AS date) AS snapshot_date, l_extendedprice AS price FROM lineitem),
+exact AS (SELECT snapshot_date AS d, quantile_disc(price, 0.5) AS median FROM lines GROUP BY 1)
+SELECT snapshot_date, count(*) AS "rows", median, count(*) FILTER (price < median) AS below,
+  0.0::double AS ranks_beyond
+FROM lines JOIN exact ON snapshot_date = d GROUP BY 1, 3""",
     "q_valid_regex_or": """
 SELECT c_name AS text, CASE WHEN regexp_matches(c_name, '^Customer#[0-9]+[02468]$') THEN c_name
   ELSE 'Unknown' END AS valid FROM customer
@@ -393,8 +427,8 @@ FROM (SELECT Customer_ID, string_split(replace(Type_of_Loan, ', and ', ', '), ',
   FROM ({raw_sql('financials')}) r) parts""",
     "q_clean_financials": clean_financials(),
     "q_clean_financials_published": clean_financials("Unkonwn", "ba"),
-    "q_membership_flags": f"SELECT p_partkey, {flags('p_name', TERMS)} FROM part",
-    "q_text_flags": f"SELECT doc_id, {flags('text', TEXT_TERMS)} FROM documents",
+    "q_membership_flags": f"SELECT p_partkey, {flags('p_name', PART_FLAGS)} FROM part",
+    "q_text_flags": f"SELECT doc_id, {flags('text', TEXT_FLAGS)} FROM documents",
     "q_duration_months": """
 SELECT p_partkey, cast(CASE p_partkey % 6 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN NULL WHEN 3 THEN 13
   ELSE 12 * p_size + p_partkey % 12 END AS int) AS months FROM part""",
@@ -437,9 +471,9 @@ FROM ({ORDERS_BY_MONTH}) o GROUP BY 1""",
     "q_feature_join_fanout_salted": FANOUT,
     "q_feature_join_product_hot": f"""
 SELECT e.user_id, event_id, n_nationkey, r_regionkey
-FROM (SELECT {PRODUCT_KEYS['events']} AS user_id, event_id FROM events) e
-JOIN (SELECT {PRODUCT_KEYS['nation']} AS user_id, n_nationkey FROM nation) n ON e.user_id = n.user_id
-JOIN (SELECT {PRODUCT_KEYS['region']} AS user_id, r_regionkey FROM region) r ON e.user_id = r.user_id""",
+FROM (SELECT CASE WHEN event_id % 20 = 0 THEN -1 ELSE event_id % 30 END AS user_id, event_id FROM events) e
+JOIN (SELECT CASE n_nationkey % 2 WHEN 0 THEN -1 ELSE n_nationkey END AS user_id, n_nationkey FROM nation) n ON e.user_id = n.user_id
+JOIN (SELECT CASE r_regionkey % 2 WHEN 0 THEN -1 ELSE r_regionkey END AS user_id, r_regionkey FROM region) r ON e.user_id = r.user_id""",
     "q_feature_store": FEATURE_STORE,
     "q_feature_store_as_of": FEATURE_STORE_AS_OF,
     "q_dropped_rows": f"""
